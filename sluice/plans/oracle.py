@@ -250,3 +250,69 @@ FROM (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) AS a FROM customer)""",
         + _WIDE
     ),
 }
+
+_COMMANDS = """commands AS (
+  SELECT o_orderkey AS cmd_id, o_orderdate AS ts,
+    CASE o_orderkey % 3 WHEN 0 THEN 'MoneyDeposit' WHEN 1 THEN 'MoneyWithdraw' ELSE 'MoneyTransfer' END AS kind,
+    CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 101 = 0 THEN -1 ELSE o_custkey END AS src,
+    CASE WHEN o_orderkey % 3 = 1 THEN NULL WHEN o_orderkey % 103 = 0 THEN -1
+      WHEN o_orderkey % 3 = 0 THEN o_custkey WHEN o_orderkey % 97 = 2 THEN o_custkey
+      ELSE (o_custkey * 7 + 1) % (SELECT count(*) FROM customer) END AS dst,
+    CASE WHEN o_orderkey % 50 = 0 THEN CAST(0 AS DECIMAL(18,2))
+      WHEN o_orderkey % 50 = 1 THEN CAST(0.99 AS DECIMAL(18,2))
+      ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount
+  FROM orders),
+accounts AS (SELECT c_custkey AS acc_id, CAST(c_acctbal AS DECIMAL(18,2)) AS opening FROM customer),
+checked AS (SELECT c.*, s.opening AS src_open, d.opening AS dst_open,
+    CASE WHEN trunc(amount) <= 0 THEN 'Invalid amount'
+      WHEN src = dst THEN 'Same source and destination accounts not allowed'
+      WHEN (src IS NOT NULL AND s.acc_id IS NULL) OR (dst IS NOT NULL AND d.acc_id IS NULL)
+        THEN 'No account data found' END AS fault
+  FROM commands c LEFT JOIN accounts s ON s.acc_id = c.src LEFT JOIN accounts d ON d.acc_id = c.dst)"""
+
+_REPLAY = f"""WITH RECURSIVE {_COMMANDS},
+own AS (SELECT cmd_id, ts, kind, coalesce(src, dst) AS acc_id, amount,
+    CASE WHEN src IS NULL THEN amount ELSE -amount END AS change, coalesce(src_open, dst_open) AS opening,
+    row_number() OVER (PARTITION BY coalesce(src, dst) ORDER BY ts, cmd_id) AS n
+  FROM checked WHERE kind <> 'MoneyTransfer' AND fault IS NULL),
+steps AS (
+  SELECT acc_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS cmd_id, CAST(NULL AS BOOLEAN) AS accepted,
+    CAST(opening AS DECIMAL(18,2)) AS balance FROM accounts
+  UNION ALL
+  SELECT s.acc_id, o.n, o.cmd_id, s.balance + o.change >= 0 OR o.change > 0,
+    CAST(CASE WHEN s.balance + o.change >= 0 OR o.change > 0 THEN s.balance + o.change ELSE s.balance END
+      AS DECIMAL(18,2))
+  FROM steps s JOIN own o ON o.acc_id = s.acc_id AND o.n = s.n + 1),
+verdicts AS (SELECT c.cmd_id, coalesce(s.accepted, false) AS accepted,
+    coalesce(c.fault, CASE WHEN NOT s.accepted THEN 'Insufficient balance' END) AS reason
+  FROM checked c LEFT JOIN steps s ON s.cmd_id = c.cmd_id WHERE c.kind <> 'MoneyTransfer'),
+postings AS (SELECT coalesce(src, dst) AS acc_id,
+    CASE WHEN src IS NULL THEN 'TX_' ELSE 'TX#' END || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '#' || cmd_id AS sort,
+    cmd_id, ts, CASE WHEN src IS NULL THEN 'Credit' ELSE 'Debit' END AS indicator, amount, kind,
+    coalesce(CAST(src AS varchar), 'External') AS src_account,
+    coalesce(CAST(dst AS varchar), 'External') AS dst_account
+  FROM commands JOIN verdicts USING (cmd_id) WHERE accepted)
+"""
+
+LEDGER: dict[str, str] = {
+    "command_check": f"""WITH {_COMMANDS}
+SELECT cmd_id, kind, fault IS NULL AS valid, fault AS reason FROM checked""",
+    "account_replay": _REPLAY + "SELECT * FROM verdicts",
+    "postings": _REPLAY + "SELECT * FROM postings",
+    "statement": _REPLAY
+    + """SELECT p.acc_id, p.ts, p.cmd_id, p.kind, p.indicator, p.amount, s.balance
+FROM postings p JOIN steps s ON s.cmd_id = p.cmd_id""",
+    "statement_compat": _REPLAY + "SELECT * FROM postings WHERE starts_with(sort, 'TX_')",
+    "balances": _REPLAY
+    + """, requested AS (SELECT DISTINCT acc_id FROM (
+    SELECT src AS acc_id FROM commands UNION ALL SELECT dst FROM commands) WHERE acc_id IS NOT NULL),
+closing AS (SELECT acc_id, max_by(balance, n) AS balance FROM steps GROUP BY acc_id)
+SELECT r.acc_id, coalesce(c.balance, 0)::DECIMAL(18,2) AS balance, 'Credit' AS indicator,
+  c.acc_id IS NOT NULL AS result, CASE WHEN c.acc_id IS NULL THEN 'No account data found!' END AS error_msg
+FROM requested r LEFT JOIN closing c ON c.acc_id = r.acc_id""",
+    "open_accounts": """SELECT acc_id, balance, 'Credit' AS indicator, n_creations FROM (
+  SELECT o_custkey AS acc_id, CAST(o_totalprice AS DECIMAL(18,2)) AS balance,
+    count(*) OVER (PARTITION BY o_custkey) AS n_creations,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1""",
+}

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.plans import dashboard, oracle
+from sluice.plans import dashboard, ledger, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +24,8 @@ def _in_utc(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _in_utc(q) for name, q in dashboard.QUERIES.items()}
+    return {name: _in_utc(q) for name, q in {**dashboard.QUERIES, **ledger.QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.DASHBOARD)
+    return {**oracle.DASHBOARD, **oracle.LEDGER}
