@@ -18,7 +18,9 @@ The replay decides in rounds, from bounds:
   per chunk, so that table is bounded by the number of partitions.
 
 The earliest open command always gets decided in the end, so the rounds end. An
-account without incoming transfers is decided in its first exact pass.
+account without incoming transfers is decided in its first exact pass. A chain of
+transfers that each pay for the next takes a round per link, so once few legs are
+left (counted, not guessed) one task applies them one by one, which is as exact.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SAME_ACCOUNT = "Same source and destination accounts not allowed"
 UNKNOWN_ACCOUNT = "No account data found"
 TOO_LITTLE = "Insufficient balance"
 
+FINISH_LEGS = 20_000  # open legs that one task may finish
+
 NO_BOUND = 4 * 10**18  # cents; above any balance, with room to add without overflow
 LAST = 2**63 - 1  # sorts a tail behind all legs of its account
 
@@ -73,7 +77,9 @@ def check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
     return joined.withColumn("reason", static_reason(known)).drop("src_key", "dst_key")
 
 
-def replay(commands: DataFrame, accounts: DataFrame, partitions: int | None = None) -> DataFrame:
+def replay(
+    commands: DataFrame, accounts: DataFrame, partitions: int | None = None, finish_legs: int = FINISH_LEGS
+) -> DataFrame:
     """Verdicts ``(cmd_id, accepted, reason)`` of all commands, applied in (ts, cmd_id) order.
 
     Runs one Spark job per round at once; each round is a table in the shared
@@ -85,12 +91,20 @@ def replay(commands: DataFrame, accounts: DataFrame, partitions: int | None = No
     first = ordered_chunks(legs, "acc", ["at", "cmd_id"], partitions).withColumns(
         {"before": F.lit(0).cast("bigint"), "lo": F.lit(None).cast("bigint"), "hi": F.lit(None).cast("bigint")}
     )
-    _run_round(first, f"{base}/round=1", first_round=True)
     n = 1
-    while not _read(spark, f"{base}/round={n}").filter("kind = 'leg' AND side < 0").isEmpty():
-        todo = _next_round(_read(spark, f"{base}/round={n}"))
+    _run_round(first, _fold(first_round=True), f"{base}/round={n}")
+    while True:
+        done = spark.read.schema(OUT).parquet(f"{base}/round={n}")
+        left = done.filter("kind = 'leg'").agg(F.count("*").alias("legs"), F.count_if(F.col("side") < 0).alias("debits"))
+        counts = left.first()
+        if counts.debits == 0:
+            break
         n += 1
-        _run_round(todo, f"{base}/round={n}", first_round=False)
+        path = f"{base}/round={n}"
+        if counts.legs <= finish_legs:
+            _run_round(_in_one_task(_open_rows(done)), _settle, path)
+            break
+        _run_round(_in_chunks(_open_rows(done), _tails(done)), _fold(first_round=False), path)
     decided = (
         spark.read.schema(f"{OUT}, round int")
         .parquet(base)
@@ -116,40 +130,52 @@ def _legs(valid: DataFrame) -> DataFrame:
     ).filter(F.col("acc").isNotNull())
 
 
-def _run_round(todo: DataFrame, path: str, first_round: bool) -> None:
-    folded = todo.select(*FOLD_INPUT).mapInArrow(_fold(first_round), OUT)
+def _run_round(todo: DataFrame, fold, path: str) -> None:
+    folded = todo.select(*FOLD_INPUT).mapInArrow(fold, OUT)
     folded.write.partitionBy("kind").mode("overwrite").parquet(path)
 
 
-def _read(spark, path: str) -> DataFrame:
-    return spark.read.schema(OUT).parquet(path)
+def _tails(done: DataFrame) -> DataFrame:
+    return done.filter("kind = 'tail'")
 
 
-def _next_round(done: DataFrame) -> DataFrame:
-    """Open legs and tails of a round, with its decisions applied and new starting bounds."""
-    spark = done.sparkSession
+def _open_rows(done: DataFrame) -> DataFrame:
+    """Open legs and tails of a round, with its decisions applied to the waiting credits."""
+    columns = [c.split()[0] for c in LEG.split(", ")]
     verdicts = done.filter("kind = 'verdict'").select("cmd_id", "accepted")
-    legs = done.filter("kind = 'leg'").select(*[c.split()[0] for c in LEG.split(", ")])
+    legs = done.filter("kind = 'leg'").select(*columns)
     debits = legs.filter("side < 0").withColumn("sure", F.lit(False))
+    rejected = F.coalesce(~F.col("accepted"), F.lit(False))
     credits = (
         legs.filter("side > 0")
         .join(verdicts, "cmd_id", "left")
-        .withColumn("amount", F.when(F.col("accepted") | F.col("accepted").isNull(), F.col("amount")).otherwise(0))
+        .withColumn("amount", F.when(rejected, 0).otherwise(F.col("amount")))
         .withColumn("sure", F.col("accepted").isNotNull())
         .drop("accepted")
     )
-    tails = done.filter("kind = 'tail'")
-    open_tails = tails.select(*legs.columns).withColumn("sure", F.lit(True))
-    rows = debits.unionByName(credits).unionByName(open_tails)
-    starts = F.broadcast(_starts(tails))
-    # Each chunk goes to one task again. Chunks shrink every round, so the task count is left to AQE.
+    tails = _tails(done).select(*columns).withColumn("sure", F.lit(True))
+    return debits.unionByName(credits).unionByName(tails)
+
+
+def _in_chunks(rows: DataFrame, tails: DataFrame) -> DataFrame:
+    """Each chunk in one task again, with new starting bounds. Chunks shrink, so AQE sets the task count."""
     return (
-        rows.join(starts, ["chunk", "acc"], "left")
+        rows.join(F.broadcast(_starts(tails)), ["chunk", "acc"], "left")
         .repartition("chunk")
         .sortWithinPartitions("chunk", "acc", "at", "cmd_id")
     )
 
 
+def _in_one_task(rows: DataFrame) -> DataFrame:
+    """The last few rows in order of time, tails first."""
+    none = F.lit(None).cast("bigint")
+    return (
+        rows.withColumns({"lo": none, "hi": none})
+        .repartition(1)
+        .sortWithinPartitions(F.col("side") != 0, "at", "cmd_id", "side", "chunk")
+    )
+
+
 def _starts(tails: DataFrame) -> DataFrame:
     """Bounds on an account's balance at the start of each of its chunks.
 
@@ -200,15 +226,16 @@ def _verdict(cmd, accepted):
     return (None, None, None, cmd, *[None] * 4, accepted, *[None] * 4, "verdict")
 
 
-def _fold(first_round: bool):
-    """One pass over sorted legs, with one account's bounds as the only state."""
-    names = [f.split()[0] for f in OUT.split(", ")]
+def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
     arrow = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
-    schema = pa.schema([(f.split()[0], arrow[f.split()[1]]) for f in OUT.split(", ")])
+    fields = [f.split() for f in OUT.split(", ")]
+    schema = pa.schema([(name, arrow[kind]) for name, kind in fields])
+    columns = zip(*rows) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
 
-    def to_batch(rows):
-        columns = zip(*rows) if rows else [[] for _ in names]
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+
+def _fold(first_round: bool):
+    """One pass over sorted legs, with one account's bounds as the only state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, seen, out = None, 0, []
@@ -251,15 +278,39 @@ def _fold(first_round: bool):
                     a.waiting = []
                     a.lo, a.hi = min(a.lo, 0), max(amount - 1, a.hi - amount)
                     a.min_net -= amount
-            yield to_batch(out)
+            yield _to_batch(out)
             out = []
         if a is not None and first_round:
             out += [*a.waiting, a.tail()]  # the last account of a chunk may go on in the next
-        yield to_batch(out)
+        yield _to_batch(out)
 
     return run
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Applies the last open legs one by one, in order of time."""
+    balance, tails, accepted = {}, {}, {}
+    for batch in batches:
+        out = []
+        for chunk, acc, _at, cmd, side, amount, opening, before, sure, _lo, _hi in zip(
+            *[c.to_pylist() for c in batch.columns]
+        ):
+            if side == 0:
+                tails.setdefault(acc, []).append((chunk, before))
+                continue
+            now = balance.get(acc, opening) + before
+            while tails.get(acc) and tails[acc][0][0] < chunk:
+                now += tails[acc].pop(0)[1]
+            if side < 0:
+                accepted[cmd] = now >= amount
+                now -= amount if accepted[cmd] else 0
+                out.append(_verdict(cmd, accepted[cmd]))
+            elif sure or accepted[cmd]:
+                now += amount
+            balance[acc] = now
+        yield _to_batch(out)
+
+
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:
     """Verdict per command; one that never became a leg was rejected statically."""
     known = F.col("accepted").isNotNull()
