@@ -27,10 +27,6 @@ def transfer_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.postings(_own(spark, folder), account_replay(spark, folder))
-
-
-def transfer_postings(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.postings(tables.commands(spark, folder), transfer_replay(spark, folder))
 
 
@@ -55,6 +51,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         command_check, account_replay, postings, statement, statement_compat, balances, open_accounts,
-        transfer_replay, transfer_postings,
+        transfer_replay,
     )
 }

@@ -270,46 +270,64 @@ checked AS (SELECT c.*, s.opening AS src_open, d.opening AS dst_open,
         THEN 'No account data found' END AS fault
   FROM commands c LEFT JOIN accounts s ON s.acc_id = c.src LEFT JOIN accounts d ON d.acc_id = c.dst)"""
 
+# Replay in SQL: in each step every account may apply its next command, once the
+# other account of that command is as far.
 _REPLAY = f"""WITH RECURSIVE {_COMMANDS},
-own AS (SELECT cmd_id, ts, kind, coalesce(src, dst) AS acc_id, amount,
-    CASE WHEN src IS NULL THEN amount ELSE -amount END AS change, coalesce(src_open, dst_open) AS opening,
-    row_number() OVER (PARTITION BY coalesce(src, dst) ORDER BY ts, cmd_id) AS n
-  FROM checked WHERE kind <> 'MoneyTransfer' AND fault IS NULL),
-steps AS (
-  SELECT acc_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS cmd_id, CAST(NULL AS BOOLEAN) AS accepted,
-    CAST(opening AS DECIMAL(18,2)) AS balance FROM accounts
+chosen AS (SELECT * FROM checked WHERE {{chosen}}),
+legs AS (SELECT cmd_id, acc, row_number() OVER (PARTITION BY acc ORDER BY ts, cmd_id) AS n FROM (
+    SELECT cmd_id, ts, src AS acc FROM chosen WHERE fault IS NULL AND src IS NOT NULL
+    UNION ALL SELECT cmd_id, ts, dst FROM chosen WHERE fault IS NULL AND dst IS NOT NULL)),
+todo AS MATERIALIZED (SELECT c.cmd_id, c.src, c.dst, c.amount, s.n AS n_src, d.n AS n_dst
+  FROM chosen c LEFT JOIN legs s ON s.cmd_id = c.cmd_id AND s.acc = c.src
+    LEFT JOIN legs d ON d.cmd_id = c.cmd_id AND d.acc = c.dst WHERE fault IS NULL),
+steps(what, id, amount, n) USING KEY (what, id) AS (
+  SELECT 'balance' AS what, acc_id AS id, CAST(opening AS DECIMAL(18,2)) AS amount, CAST(0 AS BIGINT) AS n
+  FROM accounts
+  UNION
+  (WITH ready AS (SELECT t.*, coalesce(s.amount >= t.amount, true) AS ok, s.amount AS src_has, d.amount AS dst_has
+    FROM todo t
+      LEFT JOIN recurring.steps s ON s.what = 'balance' AND s.id = t.src AND s.n + 1 = t.n_src
+      LEFT JOIN recurring.steps d ON d.what = 'balance' AND d.id = t.dst AND d.n + 1 = t.n_dst
+    WHERE (t.src IS NULL OR s.id IS NOT NULL) AND (t.dst IS NULL OR d.id IS NOT NULL))
+  SELECT 'balance', src, CAST(src_has - CASE WHEN ok THEN amount ELSE 0 END AS DECIMAL(18,2)), n_src
+  FROM ready WHERE src IS NOT NULL
   UNION ALL
-  SELECT s.acc_id, o.n, o.cmd_id, s.balance + o.change >= 0 OR o.change > 0,
-    CAST(CASE WHEN s.balance + o.change >= 0 OR o.change > 0 THEN s.balance + o.change ELSE s.balance END
-      AS DECIMAL(18,2))
-  FROM steps s JOIN own o ON o.acc_id = s.acc_id AND o.n = s.n + 1),
-verdicts AS (SELECT c.cmd_id, coalesce(s.accepted, false) AS accepted,
-    coalesce(c.fault, CASE WHEN NOT s.accepted THEN 'Insufficient balance' END) AS reason
-  FROM checked c LEFT JOIN steps s ON s.cmd_id = c.cmd_id WHERE c.kind <> 'MoneyTransfer'),
-postings AS (SELECT coalesce(src, dst) AS acc_id,
-    CASE WHEN src IS NULL THEN 'TX_' ELSE 'TX#' END || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '#' || cmd_id AS sort,
-    cmd_id, ts, CASE WHEN src IS NULL THEN 'Credit' ELSE 'Debit' END AS indicator, amount, kind,
-    coalesce(CAST(src AS varchar), 'External') AS src_account,
+  SELECT 'balance', dst, CAST(dst_has + CASE WHEN ok THEN amount ELSE 0 END AS DECIMAL(18,2)), n_dst
+  FROM ready WHERE dst IS NOT NULL
+  UNION ALL
+  SELECT 'verdict', cmd_id, CAST(CASE WHEN ok THEN 1 ELSE 0 END AS DECIMAL(18,2)), 0 FROM ready)),
+verdicts AS (SELECT c.cmd_id, coalesce(v.amount = 1, false) AS accepted,
+    coalesce(c.fault, CASE WHEN v.amount = 0 THEN 'Insufficient balance' END) AS reason
+  FROM chosen c LEFT JOIN steps v ON v.what = 'verdict' AND v.id = c.cmd_id),
+accepted AS (SELECT c.* FROM commands c JOIN verdicts v ON v.cmd_id = c.cmd_id AND v.accepted),
+postings AS (SELECT acc_id, CASE WHEN kind = 'MoneyDeposit' OR (kind = 'MoneyTransfer' AND indicator = 'Debit')
+      THEN 'TX_' ELSE 'TX#' END || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '#' || cmd_id AS sort,
+    cmd_id, ts, indicator, amount, kind, coalesce(CAST(src AS varchar), 'External') AS src_account,
     coalesce(CAST(dst AS varchar), 'External') AS dst_account
-  FROM commands JOIN verdicts USING (cmd_id) WHERE accepted)
+  FROM (SELECT *, src AS acc_id, 'Debit' AS indicator FROM accepted WHERE src IS NOT NULL
+    UNION ALL SELECT *, dst, 'Credit' FROM accepted WHERE dst IS NOT NULL))
 """
+_REPLAY_OWN = _REPLAY.format(chosen="kind <> 'MoneyTransfer'")
+_REPLAY_ALL = _REPLAY.format(chosen="true")
 
 LEDGER: dict[str, str] = {
     "command_check": f"""WITH {_COMMANDS}
 SELECT cmd_id, kind, fault IS NULL AS valid, fault AS reason FROM checked""",
-    "account_replay": _REPLAY + "SELECT * FROM verdicts",
-    "postings": _REPLAY + "SELECT * FROM postings",
-    "statement": _REPLAY
-    + """SELECT p.acc_id, p.ts, p.cmd_id, p.kind, p.indicator, p.amount, s.balance
-FROM postings p JOIN steps s ON s.cmd_id = p.cmd_id""",
-    "statement_compat": _REPLAY + "SELECT * FROM postings WHERE starts_with(sort, 'TX_')",
-    "balances": _REPLAY
+    "account_replay": _REPLAY_OWN + "SELECT * FROM verdicts",
+    "transfer_replay": _REPLAY_ALL + "SELECT * FROM verdicts",
+    "postings": _REPLAY_ALL + "SELECT * FROM postings",
+    "statement": _REPLAY_ALL
+    + """SELECT p.acc_id, ts, cmd_id, kind, indicator, p.amount, CAST(a.opening + sum(
+    CASE WHEN indicator = 'Credit' THEN p.amount ELSE -p.amount END)
+    OVER (PARTITION BY p.acc_id ORDER BY ts, cmd_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS balance
+FROM postings p JOIN accounts a ON a.acc_id = p.acc_id""",
+    "statement_compat": _REPLAY_ALL + "SELECT * FROM postings WHERE starts_with(sort, 'TX_')",
+    "balances": _REPLAY_ALL
     + """, requested AS (SELECT DISTINCT acc_id FROM (
-    SELECT src AS acc_id FROM commands UNION ALL SELECT dst FROM commands) WHERE acc_id IS NOT NULL),
-closing AS (SELECT acc_id, max_by(balance, n) AS balance FROM steps GROUP BY acc_id)
-SELECT r.acc_id, coalesce(c.balance, 0)::DECIMAL(18,2) AS balance, 'Credit' AS indicator,
-  c.acc_id IS NOT NULL AS result, CASE WHEN c.acc_id IS NULL THEN 'No account data found!' END AS error_msg
-FROM requested r LEFT JOIN closing c ON c.acc_id = r.acc_id""",
+    SELECT src AS acc_id FROM commands UNION ALL SELECT dst FROM commands) WHERE acc_id IS NOT NULL)
+SELECT r.acc_id, coalesce(c.amount, 0)::DECIMAL(18,2) AS balance, 'Credit' AS indicator,
+  c.id IS NOT NULL AS result, CASE WHEN c.id IS NULL THEN 'No account data found!' END AS error_msg
+FROM requested r LEFT JOIN steps c ON c.what = 'balance' AND c.id = r.acc_id""",
     "open_accounts": """SELECT acc_id, balance, 'Credit' AS indicator, n_creations FROM (
   SELECT o_custkey AS acc_id, CAST(o_totalprice AS DECIMAL(18,2)) AS balance,
     count(*) OVER (PARTITION BY o_custkey) AS n_creations,
