@@ -21,11 +21,11 @@ def command_check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
     return check(commands, accounts).select("cmd_id", "kind", F.col("reason").isNull().alias("valid"), "reason")
 
 
-def postings(commands: DataFrame, verdicts: DataFrame) -> DataFrame:
+def postings(replayed: DataFrame) -> DataFrame:
     """One posting per accepted deposit or withdrawal, two per transfer."""
-    done = commands.join(verdicts.filter("accepted").select("cmd_id"), "cmd_id")
     return (
-        done.select(
+        replayed.filter("accepted")
+        .select(
             "cmd_id",
             "ts",
             "kind",
@@ -55,23 +55,23 @@ def signed(indicator: str = "indicator", amount: str = "amount"):
     return F.when(F.col(indicator) == CREDIT, F.col(amount)).otherwise(-F.col(amount))
 
 
-def statement(posted: DataFrame, accounts: DataFrame, account: int | None = None, partitions: int | None = None) -> DataFrame:
-    """All postings with the balance after each one; of one account if given."""
+def statement(
+    posted: DataFrame, accounts: DataFrame, account: int | None = None, partitions: int | None = None
+) -> DataFrame:
+    """All postings with the balance after each one; of one account if given.
+
+    An account's opening balance goes in as its first move (its time is null,
+    which sorts first), so the running total is the balance and needs no join.
+    """
     if account is not None:
         posted = posted.filter(F.col("acc_id") == account)
         accounts = accounts.filter(F.col("acc_id") == account)
-    moves = posted.select(
-        "acc_id", "ts", "cmd_id", "indicator", "amount", "kind", to_cents(signed()).alias("change")
-    )
-    total = running_total(moves, "acc_id", ["ts", "cmd_id"], "change", "moved", partitions)
-    return total.join(accounts, "acc_id").select(
-        "acc_id",
-        "ts",
-        "cmd_id",
-        "kind",
-        "indicator",
-        "amount",
-        (F.col("opening") + from_cents(F.col("moved"))).cast(MONEY).alias("balance"),
+    moves = posted.select("acc_id", "ts", "cmd_id", "kind", "indicator", "amount", to_cents(signed()).alias("change"))
+    openings = accounts.select("acc_id", to_cents(F.col("opening")).alias("change"))
+    both = moves.unionByName(openings, allowMissingColumns=True)
+    total = running_total(both, "acc_id", ["ts", "cmd_id"], "change", "cents", partitions)
+    return total.filter(F.col("cmd_id").isNotNull()).select(
+        "acc_id", "ts", "cmd_id", "kind", "indicator", "amount", from_cents(F.col("cents")).alias("balance")
     )
 
 

@@ -80,7 +80,7 @@ def check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
 def replay(
     commands: DataFrame, accounts: DataFrame, partitions: int | None = None, finish_legs: int = FINISH_LEGS
 ) -> DataFrame:
-    """Verdicts ``(cmd_id, accepted, reason)`` of all commands, applied in (ts, cmd_id) order.
+    """All commands with ``accepted`` and ``reason``, as applied in (ts, cmd_id) order.
 
     Runs one Spark job per round at once; each round is a table in the shared
     scratch folder, which also holds the result.
@@ -312,9 +312,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:
-    """Verdict per command; one that never became a leg was rejected statically."""
+    """Commands with their verdicts; one that never became a leg was rejected statically."""
     known = F.col("accepted").isNotNull()
     reason = F.coalesce(static_reason(known), F.when(~F.col("accepted"), TOO_LITTLE))
     return commands.join(decided, "cmd_id", "left").select(
-        "cmd_id", F.coalesce("accepted", F.lit(False)).alias("accepted"), reason.alias("reason")
+        *commands.columns, F.coalesce("accepted", F.lit(False)).alias("accepted"), reason.alias("reason")
     )

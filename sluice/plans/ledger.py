@@ -9,6 +9,9 @@ from sluice.operators import ledger, replay
 from sluice.sources import tables
 
 
+VERDICT = ["cmd_id", "accepted", "reason"]
+
+
 def _own(spark: SparkSession, folder: str) -> DataFrame:
     """The commands that touch one account: deposits and withdrawals."""
     return tables.commands(spark, folder).filter(F.col("kind").isin(ledger.ONE_ACCOUNT))
@@ -18,16 +21,20 @@ def command_check(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.command_check(tables.commands(spark, folder), tables.accounts(spark, folder))
 
 
+def _replayed(spark: SparkSession, folder: str) -> DataFrame:
+    return replay.replay(tables.commands(spark, folder), tables.accounts(spark, folder))
+
+
 def account_replay(spark: SparkSession, folder: str) -> DataFrame:
-    return replay.replay(_own(spark, folder), tables.accounts(spark, folder))
+    return replay.replay(_own(spark, folder), tables.accounts(spark, folder)).select(*VERDICT)
 
 
 def transfer_replay(spark: SparkSession, folder: str) -> DataFrame:
-    return replay.replay(tables.commands(spark, folder), tables.accounts(spark, folder))
+    return _replayed(spark, folder).select(*VERDICT)
 
 
 def postings(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.postings(tables.commands(spark, folder), transfer_replay(spark, folder))
+    return ledger.postings(_replayed(spark, folder))
 
 
 def statement(spark: SparkSession, folder: str) -> DataFrame:

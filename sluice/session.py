@@ -16,6 +16,8 @@ def local_session(cores: str | int = "*", name: str = "sluice", **conf: str) ->
         .appName(name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small test data: let every core have a part of it. Clusters keep Spark's default.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -19,11 +19,11 @@ def kpi_events(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events")
     d = region_dimension(spark)
     ts = F.col("ts").cast("timestamp")
-    late = F.make_dt_interval(secs=((F.col("event_id") % 7) * 97).cast("decimal(18,6)"))
+    late = (F.col("event_id") % 7) * 97 * 1_000_000
     return e.join(F.broadcast(d), d.idx == e.user_id % 27).select(
         "event_id",
         ts.alias("event_time"),
-        (ts + late).alias("ingest_time"),
+        F.timestamp_micros(F.unix_micros(ts) + late).alias("ingest_time"),
         "region",
         "state",
         (F.col("user_id") % 15 + 1).cast("int").alias("store_id"),
@@ -89,7 +89,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
 def commands(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger commands; a null account is outside the bank."""
     o = table(spark, folder, "orders")
-    n = table(spark, folder, "customer").agg(F.count("*").alias("n_accounts"))  # one row
+    n_accounts = table(spark, folder, "customer").agg(F.count("*")).scalar()
     key, acc = F.col("o_orderkey"), F.col("o_custkey")
     turn = key % 3
     src = F.when(turn == 0, None).when(key % 101 == 0, -1).otherwise(acc)
@@ -98,7 +98,7 @@ def commands(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 103 == 0, -1)
         .when(turn == 0, acc)
         .when(key % 97 == 2, acc)
-        .otherwise((acc * 7 + 1) % F.col("n_accounts"))
+        .otherwise((acc * 7 + 1) % n_accounts)
     )
     amount = (
         F.when(key % 50 == 0, F.lit(0).cast(MONEY))
@@ -106,7 +106,7 @@ def commands(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast(MONEY))
     )
     kind = F.when(turn == 0, "MoneyDeposit").when(turn == 1, "MoneyWithdraw").otherwise("MoneyTransfer")
-    return o.join(F.broadcast(n)).select(
+    return o.select(
         key.alias("cmd_id"),
         F.col("o_orderdate").alias("ts"),
         kind.alias("kind"),

@@ -62,7 +62,7 @@ def test_hot_account_and_ties(spark, partitions, finish_legs):
     want, closing = one_by_one(commands, openings)
     df, acc, verdicts, got = run(spark, commands, openings, partitions, finish_legs)
     assert got == want
-    balances = ledger.closing_balances(ledger.postings(df, verdicts), acc)
+    balances = ledger.closing_balances(ledger.postings(verdicts), acc)
     assert {r.acc_id: r.balance for r in balances.collect()} == closing
 
 
@@ -114,7 +114,7 @@ def test_transfers_of_the_test_tables(spark, small):
     want, closing = one_by_one(rows, openings)
     verdicts = replay(cmds, acc)
     assert {r.cmd_id: (r.accepted, r.reason) for r in verdicts.collect()} == want
-    posted = ledger.postings(cmds, verdicts)
+    posted = ledger.postings(verdicts)
     assert {r.acc_id: r.balance for r in ledger.closing_balances(posted, acc).collect()} == closing
     # two postings per transfer, and no money made or lost inside the bank
     per = {r.cmd_id: r for r in posted.groupBy("cmd_id", "kind").agg(
@@ -145,7 +145,7 @@ def test_running_total_with_a_hot_key(spark, partitions):
 
 def test_statement_of_one_account(spark, small):
     cmds, acc = tables.commands(spark, small), tables.accounts(spark, small)
-    posted = ledger.postings(cmds, replay(cmds, acc)).cache()
+    posted = ledger.postings(replay(cmds, acc)).cache()
     account = posted.groupBy("acc_id").count().orderBy(F.desc("count"), "acc_id").first().acc_id
     one = ledger.statement(posted, acc, account)
     whole = ledger.statement(posted, acc).filter(F.col("acc_id") == account)
