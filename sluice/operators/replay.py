@@ -17,15 +17,17 @@ The replay decides in rounds, from bounds:
   which the next chunks take their starting bounds. There are at most two tails
   per chunk, so that table is bounded by the number of partitions.
 
-The earliest open command always gets decided in the end, so the rounds end. An
-account without incoming transfers is decided in its first exact pass. A chain of
-transfers that each pay for the next takes a round per link, so once few legs are
-left (counted, not guessed) one task applies them one by one, which is as exact.
+* Bounds decide most commands at once, but where money is short each decision may
+  hang on the one before. So every round after the first also applies the earliest
+  open legs of all accounts one by one, in one task, up to a fixed number. This is
+  exact as well, needs bounded memory, and makes sure that a round gets on by that
+  number at least.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,14 +43,15 @@ SAME_ACCOUNT = "Same source and destination accounts not allowed"
 UNKNOWN_ACCOUNT = "No account data found"
 TOO_LITTLE = "Insufficient balance"
 
-FINISH_LEGS = 20_000  # open legs that one task may finish
+STEP_LEGS = 250_000  # open legs that one task applies one by one in each round
 
 NO_BOUND = 4 * 10**18  # cents; above any balance, with room to add without overflow
 LAST = 2**63 - 1  # sorts a tail behind all legs of its account
 
 LEG = "chunk int, acc bigint, at bigint, cmd_id bigint, side int, amount bigint, opening bigint, before bigint"
+LEG_COLUMNS = [c.split()[0] for c in LEG.split(", ")]
 OUT = f"{LEG}, accepted boolean, min_net bigint, max_net bigint, lo bigint, hi bigint, kind string"
-FOLD_INPUT = ["chunk", "acc", "at", "cmd_id", "side", "amount", "opening", "before", "sure", "lo", "hi"]
+FOLD_INPUT = [*LEG_COLUMNS, "sure", "lo", "hi"]
 
 
 def static_reason(known: Column) -> Column:
@@ -78,35 +81,35 @@ def check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def replay(
-    commands: DataFrame, accounts: DataFrame, partitions: int | None = None, finish_legs: int = FINISH_LEGS
+    commands: DataFrame, accounts: DataFrame, partitions: int | None = None, step_legs: int = STEP_LEGS
 ) -> DataFrame:
     """All commands with ``accepted`` and ``reason``, as applied in (ts, cmd_id) order.
 
-    Runs one Spark job per round at once; each round is a table in the shared
+    Runs its Spark jobs at once; the outcome of each is a table in the shared
     scratch folder, which also holds the result.
     """
     spark = commands.sparkSession
     base = scratch_folder(spark, "replay")
     legs = _legs(check(commands, accounts).filter(F.col("reason").isNull()))
     first = ordered_chunks(legs, "acc", ["at", "cmd_id"], partitions).withColumns(
-        {"before": F.lit(0).cast("bigint"), "lo": F.lit(None).cast("bigint"), "hi": F.lit(None).cast("bigint")}
+        {"before": F.lit(0).cast("bigint"), **_no_bounds()}
     )
-    n = 1
-    _run_round(first, _fold(first_round=True), f"{base}/round={n}")
-    while True:
-        done = spark.read.schema(OUT).parquet(f"{base}/round={n}")
-        left = done.filter("kind = 'leg'").agg(F.count("*").alias("legs"), F.count_if(F.col("side") < 0).alias("debits"))
-        counts = left.first()
-        if counts.debits == 0:
+    done = _run(first, _fold(first_round=True), base, 1)
+    for step in count(2, 2):
+        open_legs, open_debits = _count_open(done)
+        if open_debits == 0:
             break
-        n += 1
-        path = f"{base}/round={n}"
-        if counts.legs <= finish_legs:
-            _run_round(_in_one_task(_open_rows(done)), _settle, path)
+        rows = _open_rows(done)
+        early = _is_early(done, step_legs, open_legs)
+        is_tail = F.col("side") == 0
+        settled = _run(_in_one_task(rows.filter(early | is_tail)), _settle, base, step)
+        if open_legs <= step_legs:
             break
-        _run_round(_in_chunks(_open_rows(done), _tails(done)), _fold(first_round=False), path)
+        late = rows.filter(~early | is_tail)
+        known = settled.filter("kind = 'leg'").select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
+        done = _run(_in_chunks(late.unionByName(known), _tails(done)), _fold(first_round=False), base, step + 1)
     decided = (
-        spark.read.schema(f"{OUT}, round int")
+        spark.read.schema(f"{OUT}, step int")
         .parquet(base)
         .filter("kind = 'verdict'")
         .select("cmd_id", "accepted")
@@ -114,6 +117,10 @@ def replay(
     return _verdicts(commands, decided)
 
 
+def _no_bounds() -> dict[str, Column]:
+    return {c: F.lit(None).cast("bigint") for c in ("lo", "hi")}
+
+
 def _legs(valid: DataFrame) -> DataFrame:
     amount = to_cents(F.col("amount"))
     debit = F.struct(
@@ -130,9 +137,37 @@ def _legs(valid: DataFrame) -> DataFrame:
     ).filter(F.col("acc").isNotNull())
 
 
-def _run_round(todo: DataFrame, fold, path: str) -> None:
-    folded = todo.select(*FOLD_INPUT).mapInArrow(fold, OUT)
-    folded.write.partitionBy("kind").mode("overwrite").parquet(path)
+def _run(todo: DataFrame, fold, base: str, step: int) -> DataFrame:
+    """Runs one pass and returns its table."""
+    path = f"{base}/step={step}"
+    todo.select(*FOLD_INPUT).mapInArrow(fold, OUT).write.partitionBy("kind").mode("overwrite").parquet(path)
+    return todo.sparkSession.read.schema(OUT).parquet(path)
+
+
+def _open(done: DataFrame) -> DataFrame:
+    return done.filter("kind = 'leg'")
+
+
+def _count_open(done: DataFrame) -> tuple[int, int]:
+    """Number of open legs, and of debits among them."""
+    return tuple(_open(done).agg(F.count("*"), F.count_if(F.col("side") < 0)).first())
+
+
+def _is_early(done: DataFrame, wanted: int, total: int) -> Column:
+    """Condition that picks about ``wanted`` open legs, the earliest ones; both legs of a transfer or none."""
+    if total <= wanted:
+        return F.lit(True)
+    at, cmd = F.col("at"), F.col("cmd_id")
+    if wanted <= 0:
+        return F.lit(False)
+    until = _open(done).agg(F.percentile_approx("at", wanted / total)).first()[0]
+    before, same = _open(done).agg(F.count_if(at < until), F.count_if(at == until)).first()
+    if before + same <= 2 * wanted:
+        return at <= until
+    # Very many commands have the same time: cut within it, by command.
+    share = min(max((wanted - before) / same, 0.0), 1.0)
+    last = _open(done).filter(at == until).agg(F.percentile_approx("cmd_id", share)).first()[0]
+    return (at < until) | ((at == until) & (cmd <= last))
 
 
 def _tails(done: DataFrame) -> DataFrame:
@@ -141,9 +176,8 @@ def _tails(done: DataFrame) -> DataFrame:
 
 def _open_rows(done: DataFrame) -> DataFrame:
     """Open legs and tails of a round, with its decisions applied to the waiting credits."""
-    columns = [c.split()[0] for c in LEG.split(", ")]
     verdicts = done.filter("kind = 'verdict'").select("cmd_id", "accepted")
-    legs = done.filter("kind = 'leg'").select(*columns)
+    legs = _open(done).select(*LEG_COLUMNS)
     debits = legs.filter("side < 0").withColumn("sure", F.lit(False))
     rejected = F.coalesce(~F.col("accepted"), F.lit(False))
     credits = (
@@ -153,7 +187,7 @@ def _open_rows(done: DataFrame) -> DataFrame:
         .withColumn("sure", F.col("accepted").isNotNull())
         .drop("accepted")
     )
-    tails = _tails(done).select(*columns).withColumn("sure", F.lit(True))
+    tails = _tails(done).select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
     return debits.unionByName(credits).unionByName(tails)
 
 
@@ -167,10 +201,9 @@ def _in_chunks(rows: DataFrame, tails: DataFrame) -> DataFrame:
 
 
 def _in_one_task(rows: DataFrame) -> DataFrame:
-    """The last few rows in order of time, tails first."""
-    none = F.lit(None).cast("bigint")
+    """A bounded number of rows in order of time, tails first."""
     return (
-        rows.withColumns({"lo": none, "hi": none})
+        rows.withColumns(_no_bounds())
         .repartition(1)
         .sortWithinPartitions(F.col("side") != 0, "at", "cmd_id", "side", "chunk")
     )
@@ -288,11 +321,11 @@ def _fold(first_round: bool):
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Applies the last open legs one by one, in order of time."""
+    """Applies the earliest open legs one by one; each goes on as a leg that is sure, with what it moved."""
     balance, tails, accepted = {}, {}, {}
     for batch in batches:
         out = []
-        for chunk, acc, _at, cmd, side, amount, opening, before, sure, _lo, _hi in zip(
+        for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in zip(
             *[c.to_pylist() for c in batch.columns]
         ):
             if side == 0:
@@ -303,11 +336,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now += tails[acc].pop(0)[1]
             if side < 0:
                 accepted[cmd] = now >= amount
-                now -= amount if accepted[cmd] else 0
+                moved = -amount if accepted[cmd] else 0
                 out.append(_verdict(cmd, accepted[cmd]))
-            elif sure or accepted[cmd]:
-                now += amount
-            balance[acc] = now
+            else:
+                moved = amount if sure or accepted[cmd] else 0
+            balance[acc] = now + moved
+            out.append((chunk, acc, at, cmd, 1, moved, opening, before, *[None] * 5, "leg"))
         yield _to_batch(out)
 
 

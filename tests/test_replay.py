@@ -24,11 +24,11 @@ def command(n, ts, src, dst, cents):
     return (n, ts, kind, src, dst, money(cents))
 
 
-def run(spark, commands, openings, partitions, finish_legs=0):
-    """``finish_legs=0`` makes the replay decide everything in rounds."""
+def run(spark, commands, openings, partitions, step_legs=0):
+    """``step_legs=0`` makes the replay decide everything from bounds."""
     df = spark.createDataFrame(commands, COMMANDS)
     acc = spark.createDataFrame(list(openings.items()), ACCOUNTS)
-    verdicts = replay(df, acc, partitions, finish_legs)
+    verdicts = replay(df, acc, partitions, step_legs)
     got = {r.cmd_id: (r.accepted, r.reason) for r in verdicts.collect()}
     return df, acc, verdicts, got
 
@@ -55,12 +55,12 @@ def made_up(seed, n, accounts, hot_share, ties, transfer_share=0.5):
     return out, openings
 
 
-@pytest.mark.parametrize("partitions, finish_legs", [(1, 700), (3, 0), (16, 300), (16, 5000)])
-def test_hot_account_and_ties(spark, partitions, finish_legs):
-    """In rounds only, at once after the first round, and with some rounds before the last legs."""
+@pytest.mark.parametrize("partitions, step_legs", [(1, 100), (3, 0), (16, 40), (16, 5000)])
+def test_hot_account_and_ties(spark, partitions, step_legs):
+    """From bounds only, and with few, some and all open legs applied one by one in a round."""
     commands, openings = made_up(1, 1500, 12, 0.4, 5)
     want, closing = one_by_one(commands, openings)
-    df, acc, verdicts, got = run(spark, commands, openings, partitions, finish_legs)
+    df, acc, verdicts, got = run(spark, commands, openings, partitions, step_legs)
     assert got == want
     balances = ledger.closing_balances(ledger.postings(verdicts), acc)
     assert {r.acc_id: r.balance for r in balances.collect()} == closing
@@ -74,8 +74,8 @@ def test_one_account_only(spark, partitions):
     assert run(spark, commands, openings, partitions)[3] == want
 
 
-@pytest.mark.parametrize("links, finish_legs", [(12, 0), (200, 1000)])
-def test_chain(spark, links, finish_legs):
+@pytest.mark.parametrize("links, step_legs", [(12, 0), (200, 1000), (60, 30)])
+def test_chain(spark, links, step_legs):
     """Each transfer can be paid only from the one before."""
     openings = {a: money(0) for a in range(links + 1)}
     commands = [command(0, T0, None, 0, 10000)]
@@ -83,10 +83,18 @@ def test_chain(spark, links, finish_legs):
     early = [command(1000 + i, T0 + timedelta(seconds=i, milliseconds=500), i + 1, None, 10000) for i in range(links)]
     commands += early  # one withdrawal per account before the money gets there
     want, _ = one_by_one(commands, openings)
-    assert run(spark, commands, openings, 4, finish_legs)[3] == want
+    assert run(spark, commands, openings, 4, step_legs)[3] == want
     assert want[links] == (True, None) and not any(want[c[0]][0] for c in early)
 
 
+def test_all_at_the_same_time(spark):
+    """Only the command id tells what comes first."""
+    commands, openings = made_up(4, 600, 6, 0.3, 10**9)
+    want, _ = one_by_one(commands, openings)
+    assert len({c[1] for c in commands}) == 1
+    assert run(spark, commands, openings, 5, step_legs=50)[3] == want
+
+
 def test_edges(spark):
     openings = {1: money(10000), 2: money(0)}
     commands = [
