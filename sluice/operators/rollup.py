@@ -6,6 +6,8 @@ current arrival bucket, which gives one more partial row; readers add them up.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from sluice.schema import GRAINS, KPI_SUMS, KPIS, NO_STATE, NO_STORE, PERIODS, S
 
 DIMENSIONS = GRAINS["STORE"]
 
+#: Columns of a rollup row; jobs also carry ``grain`` and ``period``, the parts of ``type``.
+ROLLUP = ["type", "region", "state", "store_id", *KPI_SUMS, "n_rec", "ingest_time", "event_time"]
+
 
 def sums(columns: list[str] = KPIS, count: Column | None = None) -> list[Column]:
     """Sum of each KPI, plus the record count."""
@@ -22,7 +27,7 @@ def sums(columns: list[str] = KPIS, count: Column | None = None) -> list[Column]
     return [*named, (F.count("*") if count is None else F.sum(count)).alias("n_rec")]
 
 
-def minutes(events: DataFrame) -> DataFrame:
+def minutes(events: DataFrame, dims: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Events added up per store, arrival minute and event minute; clocks as epoch seconds.
 
     This is the finest rollup, and all others can be made from it: minutes nest
@@ -31,22 +36,26 @@ def minutes(events: DataFrame) -> DataFrame:
     on sums instead of raw events.
     """
     return events.groupBy(
-        *DIMENSIONS,
+        *dims,
         step_seconds(F.unix_seconds("ingest_time"), 60).alias("ingest_sec"),
         step_seconds(F.unix_seconds("event_time"), 60).alias("event_sec"),
     ).agg(*sums())
 
 
-def _rows(grouped: DataFrame, grain: Column, period: Column, state: Column, store: Column) -> DataFrame:
-    """Rollup rows from groups whose clocks are still epoch seconds."""
+def rollup_rows(
+    grouped: DataFrame, grain: Column, period: Column, state: Column, store: Column, arrival: Column
+) -> DataFrame:
+    """Rollup rows from groups; ``arrival`` is the start of the arrival bucket."""
     return grouped.select(
         F.concat(F.lit("BY_"), grain, F.lit("_"), period).alias("type"),
+        grain.alias("grain"),
+        period.alias("period"),
         "region",
         state.alias("state"),
         store.cast("int").alias("store_id"),
         *KPI_SUMS,
         "n_rec",
-        border(F.timestamp_seconds("ingest_sec")).alias("ingest_time"),
+        border(arrival).alias("ingest_time"),
         border(F.timestamp_seconds("event_sec")).alias("event_time"),
     )
 
@@ -61,18 +70,24 @@ def rollup(events: DataFrame, grain: str, period: str) -> DataFrame:
     ).agg(*sums())
     state = F.lit(NO_STATE) if grain == "REGION" else F.col("state")
     store = F.col("store_id") if grain == "STORE" else F.lit(NO_STORE)
-    return _rows(grouped, F.lit(grain), F.lit(period), state, store)
+    return rollup_rows(grouped, F.lit(grain), F.lit(period), state, store, F.timestamp_seconds("ingest_sec"))
 
 
-def rollup_all(events: DataFrame, from_minutes: bool = True) -> DataFrame:
-    """All nine rollups as one table: three periods by three grouping sets.
+def rollup_all(
+    events: DataFrame,
+    grains: Sequence[str] = tuple(GRAINS),
+    periods: Sequence[str] = tuple(PERIODS),
+    from_minutes: bool = True,
+) -> DataFrame:
+    """All nine rollups, or those of some grains and periods, in one pass over the events.
 
     With ``from_minutes`` events are first added up per store and minute. That
     costs one more (small) shuffle and saves expanding every event nine times,
     which pays off as soon as a store has several events per minute.
     """
+    dims = max((GRAINS[g] for g in grains), key=len)
     if from_minutes:
-        base = minutes(events)
+        base = minutes(events, dims)
         measures = sums(KPI_SUMS, F.col("n_rec"))
     else:
         base = events.withColumns(
@@ -82,18 +97,18 @@ def rollup_all(events: DataFrame, from_minutes: bool = True) -> DataFrame:
     width = F.col("width")
     clocks = ["width", "ingest_sec", "event_sec"]
     grouped = (
-        base.withColumn("width", F.explode(F.array(*[F.lit(w) for w in PERIODS.values()])))
+        base.withColumn("width", F.explode(F.array(*[F.lit(period_seconds(p)) for p in periods])))
         .withColumn("ingest_sec", step_seconds(F.col("ingest_sec"), width))
         .withColumn("event_sec", step_seconds(F.col("event_sec"), width))
-        .groupingSets([[*clocks, *dims] for dims in GRAINS.values()], *clocks, *DIMENSIONS)
-        .agg(*measures, F.grouping("state").alias("no_state"), F.grouping("store_id").alias("no_store"))
+        .groupingSets([[*clocks, *GRAINS[g]] for g in grains], *clocks, *dims)
+        .agg(*measures, *[F.grouping(d).alias(f"no_{d}") for d in dims])
     )
-    no_state, no_store = F.col("no_state") == 1, F.col("no_store") == 1
-    grain = F.when(no_state, "REGION").when(no_store, "STATE").otherwise("STORE")
-    period = F.coalesce(*[F.when(width == w, F.lit(p)) for p, w in PERIODS.items()])
-    state = F.when(no_state, NO_STATE).otherwise(F.col("state"))
-    store = F.when(no_store, NO_STORE).otherwise(F.col("store_id"))
-    return _rows(grouped, grain, period, state, store)
+    has = {d: (F.col(f"no_{d}") == 0) if d in dims else F.lit(False) for d in DIMENSIONS}
+    grain = F.when(has["store_id"], "STORE").when(has["state"], "STATE").otherwise("REGION")
+    period = F.coalesce(*[F.when(width == period_seconds(p), p) for p in periods])
+    state = F.when(has["state"], F.col("state")).otherwise(NO_STATE) if "state" in dims else F.lit(NO_STATE)
+    store = F.when(has["store_id"], F.col("store_id")).otherwise(NO_STORE) if "store_id" in dims else F.lit(NO_STORE)
+    return rollup_rows(grouped, grain, period, state, store, F.timestamp_seconds("ingest_sec"))
 
 
 def rollup_10s(events: DataFrame, grain: str) -> DataFrame:
@@ -116,14 +131,12 @@ def rollup_10s(events: DataFrame, grain: str) -> DataFrame:
 
 def keyed(rollups: DataFrame) -> DataFrame:
     """Rollup rows as items of the rollup store: typed columns plus the two text keys."""
-    grain = F.split_part("type", F.lit("_"), F.lit(2))
-    period = F.split_part("type", F.lit("_"), F.lit(3))
     return rollups.select(
-        partition_key(grain, F.col("region"), F.col("state"), F.col("store_id")).alias("pk"),
-        sort_key(period, F.col("event_time"), F.col("ingest_time")).alias("sk"),
+        partition_key(F.col("grain"), F.col("region"), F.col("state"), F.col("store_id")).alias("pk"),
+        sort_key(F.col("period"), F.col("event_time"), F.col("ingest_time")).alias("sk"),
         "type",
-        grain.alias("grain"),
-        period.alias("period"),
+        "grain",
+        "period",
         "region",
         "state",
         "store_id",

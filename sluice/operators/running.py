@@ -47,6 +47,7 @@ def running_total(
     # The chunk numbers come from sampled borders, so they are fixed in a table before use.
     stored = through_table(local, scratch_folder(df.sparkSession, "running"))
 
+    # One row per chunk, so the window over all of them is small.
     spans = stored.groupBy("chunk").agg(F.min(key).alias("first"), F.max(key).alias("last"))
     spans = spans.withColumn("crosses", F.col("first") == F.lag("last").over(Window.orderBy("chunk")))
     crossing = spans.filter("crosses").select(F.col("first").alias(key)).distinct()

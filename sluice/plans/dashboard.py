@@ -25,9 +25,9 @@ PAGE_START = "PT10M#2024-01-20 00:00:00.000#2024-01-20 00:00:00.000"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _items(spark: SparkSession, folder: str, grain: str, period: str) -> DataFrame:
-    """Store items of one grain and period."""
-    return ru.keyed(ru.rollup(tables.kpi_events(spark, folder), grain, period))
+def _items(spark: SparkSession, folder: str, grain: str, period: str, day: str | None = None) -> DataFrame:
+    """Store items of one grain and period; of one day of event time if given."""
+    return ru.keyed(ru.rollup(tables.kpi_events(spark, folder, day), grain, period))
 
 
 def _all_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,7 +35,7 @@ def _all_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _single(grain: str, period: str) -> Query:
-    return lambda spark, folder: ru.rollup(tables.kpi_events(spark, folder), grain, period)
+    return lambda spark, folder: ru.rollup(tables.kpi_events(spark, folder), grain, period).select(*ru.ROLLUP)
 
 
 def _tens(grain: str) -> Query:
@@ -43,7 +43,7 @@ def _tens(grain: str) -> Query:
 
 
 def rollup_all(spark: SparkSession, folder: str) -> DataFrame:
-    return ru.rollup_all(tables.kpi_events(spark, folder))
+    return ru.rollup_all(tables.kpi_events(spark, folder)).select(*ru.ROLLUP)
 
 
 def keyed_rollup(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +63,7 @@ def load_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prefix_scan(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT1H"), REGION, STATE)
+    rows = scan.by_key(_items(spark, folder, "STATE", "PT1H", DAY), REGION, STATE)
     return scan.by_period(rows, "PT1H", DAY).select(*scan.ITEM)
 
 
@@ -92,12 +92,12 @@ def latest_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_state(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M"), REGION, STATE)
+    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M", DAY), REGION, STATE)
     return scan.kpi_value(scan.newest(scan.by_period(rows, "PT10M", DAY), 15), "kpi1")
 
 
 def latest_region(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "REGION", "PT1H"), REGION)
+    rows = scan.by_key(_items(spark, folder, "REGION", "PT1H", DAY), REGION)
     return scan.kpi_value(scan.newest(scan.by_period(rows, "PT1H", DAY), 15), "kpi1")
 
 
@@ -107,7 +107,7 @@ def page_after(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M"), REGION, STATE)
+    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M", DAY), REGION, STATE)
     kept = scan.newest_per_arrival(scan.by_period(rows, "PT10M", DAY), DASHBOARD_KPIS)
     return kept.select("pk", "ingest_time", *DASHBOARD_KPIS)
 
@@ -128,14 +128,7 @@ def dedup_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 def _served(spark: SparkSession, folder: str, periods: list[str]) -> DataFrame:
     """Region and state items of some periods, as the dashboard reads them."""
-    events = tables.kpi_events(spark, folder)
-    if len(periods) == len(PERIODS):
-        return ru.keyed(ru.rollup_all(events)).filter(F.col("grain") != "STORE")
-    parts = [ru.keyed(ru.rollup(events, g, p)) for g in ("REGION", "STATE") for p in periods]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return ru.keyed(ru.rollup_all(tables.kpi_events(spark, folder), ["REGION", "STATE"], periods))
 
 
 def dashboard_totals(spark: SparkSession, folder: str) -> DataFrame:

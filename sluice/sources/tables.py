@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def kpi_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed KPI events, one per row of ``events``. The dimension has 27 rows, so it is broadcast."""
+def kpi_events(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    """Typed KPI events, one per row of ``events``. The dimension has 27 rows, so it is broadcast.
+
+    A day of event time is picked on the raw column, where the Parquet reader can
+    use it. All buckets nest in days, so rollups of the day come out whole.
+    """
     k = F.get_json_object("props", "$.k").try_cast("int")
     e = table(spark, folder, "events")
+    if day:
+        start = datetime.fromisoformat(day)
+        first, after = (F.lit(t).cast("timestamp_ntz") for t in (start, start + timedelta(days=1)))
+        e = e.filter((F.col("ts") >= first) & (F.col("ts") < after))
     d = region_dimension(spark)
     ts = F.col("ts").cast("timestamp")
     late = (F.col("event_id") % 7) * 97 * 1_000_000

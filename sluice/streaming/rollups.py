@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.time import border, period_seconds, step_seconds
-from sluice.operators.rollup import DIMENSIONS, sums
+from sluice.functions.time import period_seconds, step_seconds
+from sluice.operators.rollup import DIMENSIONS, rollup_rows, sums
 from sluice.schema import GRAINS, KPI_SUMS, NO_STATE, NO_STORE
 
 
@@ -47,16 +47,9 @@ def rollup_stream(rows: DataFrame, period: str, from_minutes: bool = False, dela
     )
     no_state, no_store = F.col("no_state") == 1, F.col("no_store") == 1
     grain: Column = F.when(no_state, "REGION").when(no_store, "STATE").otherwise("STORE")
-    return grouped.select(
-        F.concat(F.lit("BY_"), grain, F.lit(f"_{period}")).alias("type"),
-        "region",
-        F.when(no_state, NO_STATE).otherwise(F.col("state")).alias("state"),
-        F.when(no_store, NO_STORE).otherwise(F.col("store_id")).cast("int").alias("store_id"),
-        *KPI_SUMS,
-        "n_rec",
-        border(F.col("arrival.start")).alias("ingest_time"),
-        border(F.timestamp_seconds("event_sec")).alias("event_time"),
-    )
+    state = F.when(no_state, NO_STATE).otherwise(F.col("state"))
+    store = F.when(no_store, NO_STORE).otherwise(F.col("store_id"))
+    return rollup_rows(grouped, grain, F.lit(period), state, store, F.col("arrival.start"))
 
 
 def _watched(rows: DataFrame, period: str, delay: str) -> DataFrame:
