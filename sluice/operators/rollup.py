@@ -119,13 +119,9 @@ def rollup_10s(events: DataFrame, grain: str) -> DataFrame:
     dims = GRAINS[grain]
     second = F.unix_seconds("ingest_time")
     return (
-        events.groupBy(
-            *dims,
-            F.date_trunc("minute", "ingest_time").alias("ingest_time"),
-            step_seconds(second, 10).alias("bucket"),
-        )
+        events.groupBy(*dims, step_seconds(second, 60).alias("minute"), step_seconds(second, 10).alias("bucket"))
         .agg(F.sum("kpi_1").alias("kpi_1_sum"), F.sum("kpi_2").alias("kpi_2_sum"))
-        .select(*dims, "kpi_1_sum", "kpi_2_sum", border(F.col("ingest_time")).alias("ingest_time"))
+        .select(*dims, "kpi_1_sum", "kpi_2_sum", border(F.timestamp_seconds("minute")).alias("ingest_time"))
     )
 
 
@@ -147,15 +143,18 @@ def keyed(rollups: DataFrame) -> DataFrame:
     )
 
 
-def calendar_rollup(events: DataFrame, grain: str, key_space: str, date_format: str) -> DataFrame:
-    """Sums per key and calendar unit of event time, under a key such as ``D#2024-01-05``."""
+def calendar_rollup(events: DataFrame, grain: str, key_space: str, unit: str, date_format: str) -> DataFrame:
+    """Sums per key and calendar unit of event time, under a key such as ``D#2024-01-05``.
+
+    Groups by the truncated time and turns it into text afterwards, once per group.
+    """
     dims = GRAINS[grain]
-    grouped = events.groupBy(*dims, F.date_format("event_time", date_format).alias("date")).agg(*sums())
+    grouped = events.groupBy(*dims, F.date_trunc(unit, "event_time").alias("unit")).agg(*sums())
     state = F.col("state") if "state" in dims else F.lit(NO_STATE)
     store = F.col("store_id") if "store_id" in dims else F.lit(NO_STORE)
     return grouped.select(
         partition_key(F.lit(grain), F.col("region"), state, store).alias("pk"),
-        F.concat_ws("#", F.lit(key_space), F.col("date")).alias("sk"),
+        F.concat_ws("#", F.lit(key_space), F.date_format("unit", date_format)).alias("sk"),
         *[F.col(a).alias(b) for a, b in zip(KPI_SUMS, STORE_KPIS)],
         "n_rec",
     )

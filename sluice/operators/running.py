@@ -21,14 +21,14 @@ from pyspark.sql import types as T
 from sluice.session import scratch_folder, through_table
 
 
-def partition_count(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def ordered_chunks(df: DataFrame, key: str, order: list[str], partitions: int | None = None) -> DataFrame:
-    """Rows in global (key, order) order over partitions of like size, numbered by ``chunk``."""
+    """Rows in global (key, order) order over partitions of like size, numbered by ``chunk``.
+
+    Without a number of partitions, AQE joins neighbours that are small.
+    """
+    count = [partitions] if partitions else []
     return (
-        df.repartitionByRange(partition_count(df, partitions), key, *order)
+        df.repartitionByRange(*count, key, *order)
         .sortWithinPartitions(key, *order)
         .withColumn("chunk", F.spark_partition_id())
     )

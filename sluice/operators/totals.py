@@ -43,18 +43,20 @@ def day_and_month_overlapping(store: DataFrame, day: str) -> DataFrame:
 def per_day(rows: DataFrame) -> DataFrame:
     """Sums of every KPI per key and arrival day; a missing KPI counts as 0."""
     kpis = [c for c in rows.columns if c.startswith("kpi")]
-    return rows.groupBy("pk", F.date_format("ingest_time", DAY_KEY).alias("day")).agg(
+    summed = rows.groupBy("pk", F.col("ingest_time").cast("date").alias("day")).agg(
         *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kpis]
     )
+    return summed.withColumn("day", F.date_format("day", DAY_KEY))
 
 
 def per_day_dynamic(rows: DataFrame, attributes: str) -> DataFrame:
     """Same for KPIs that are held in a map column; one row per key, day and KPI."""
     return (
-        rows.select("pk", F.date_format("ingest_time", DAY_KEY).alias("day"), F.explode(attributes).alias("kpi", "v"))
+        rows.select("pk", F.col("ingest_time").cast("date").alias("day"), F.explode(attributes).alias("kpi", "v"))
         .filter(F.col("kpi").startswith("kpi"))
         .groupBy("pk", "day", "kpi")
         .agg(F.coalesce(F.sum("v"), F.lit(0)).alias("value"))
+        .withColumn("day", F.date_format("day", DAY_KEY))
     )
 
 

@@ -68,17 +68,17 @@ def prefix_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def range_scan(spark: SparkSession, folder: str) -> DataFrame:
-    slots = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "SLOT", MINUTE_KEY)
+    slots = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "SLOT", "minute", MINUTE_KEY)
     return scan.by_range(slots, REGION, "SLOT#2024-01-10_00:00", "SLOT#2024-01-12_23:59")
 
 
 def scan_day(spark: SparkSession, folder: str) -> DataFrame:
-    days = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "D", DAY_KEY)
+    days = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "D", "day", DAY_KEY)
     return scan.by_prefix(days, REGION, "D#")
 
 
 def scan_month(spark: SparkSession, folder: str) -> DataFrame:
-    months = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "M", MONTH_KEY)
+    months = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "M", "month", MONTH_KEY)
     return scan.by_prefix(months, REGION, "M#")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +31,17 @@ def topic(
 
 
 def folder(
-    spark: SparkSession, path: str, from_start: bool = True, files_per_batch: int | None = None
+    spark: SparkSession, path: str, since: datetime | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A folder that receives files of JSON lines; a record arrives when its file does."""
-    reader = spark.readStream.option("latestFirst", not from_start)
+    """A folder that receives files of JSON lines; a record arrives when its file does.
+
+    ``since`` leaves out what had arrived before, as a consumer does that starts from now on.
+    """
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).select("value", F.col("_metadata.file_modification_time").alias("arrival"))
+    rows = reader.text(path).select("value", F.col("_metadata.file_modification_time").alias("arrival"))
+    return rows if since is None else rows.filter(F.col("arrival") >= F.lit(since))
 
 
 def typed_folder(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

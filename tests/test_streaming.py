@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 from collections import Counter
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from brute import replay as one_by_one
@@ -108,6 +109,10 @@ def test_json_events_from_a_folder(spark, tmp_path):
     # the archive keeps every record, broken ones too
     delivery.archive(raw, str(tmp_path / "raw"), str(tmp_path / "c2"), every=None).awaitTermination()
     assert spark.read.json(str(tmp_path / "raw")).count() == 4
+    # a consumer that starts later finds nothing
+    later = streams.folder(spark, str(tmp_path / "in"), since=datetime.now(timezone.utc) + timedelta(hours=1))
+    delivery.to_table(later, str(tmp_path / "later"), str(tmp_path / "c3")).awaitTermination()
+    assert spark.read.schema(later.schema).parquet(str(tmp_path / "later")).count() == 0
 
 
 def record(**fields):
