@@ -47,6 +47,7 @@ STEP_LEGS = 250_000  # open legs that one task applies one by one in each round
 
 NO_BOUND = 4 * 10**18  # cents; above any balance, with room to add without overflow
 LAST = 2**63 - 1  # sorts a tail behind all legs of its account
+UNSET = -(2**63)  # in place of starting bounds: the account starts in this chunk
 
 LEG = "chunk int, acc bigint, at bigint, cmd_id bigint, side int, amount bigint, opening bigint, before bigint"
 LEG_COLUMNS = [c.split()[0] for c in LEG.split(", ")]
@@ -57,7 +58,7 @@ FOLD_INPUT = [*LEG_COLUMNS, "sure", "lo", "hi"]
 def static_reason(known: Column) -> Column:
     """Why a command is rejected whatever the balance; null if it is not. Checked in this order."""
     return (
-        F.when(F.col("amount").cast("bigint") <= 0, INVALID_AMOUNT)
+        F.when(F.coalesce(F.col("amount").cast("bigint"), F.lit(0)) <= 0, INVALID_AMOUNT)
         .when(F.col("src") == F.col("dst"), SAME_ACCOUNT)
         .when(~known, UNKNOWN_ACCOUNT)
     )
@@ -118,7 +119,7 @@ def replay(
 
 
 def _no_bounds() -> dict[str, Column]:
-    return {c: F.lit(None).cast("bigint") for c in ("lo", "hi")}
+    return {c: F.lit(UNSET) for c in ("lo", "hi")}
 
 
 def _legs(valid: DataFrame) -> DataFrame:
@@ -195,6 +196,7 @@ def _in_chunks(rows: DataFrame, tails: DataFrame) -> DataFrame:
     """Each chunk in one task again, with new starting bounds. Chunks shrink, so AQE sets the task count."""
     return (
         rows.join(F.broadcast(_starts(tails)), ["chunk", "acc"], "left")
+        .fillna(UNSET, ["lo", "hi"])
         .repartition("chunk")
         .sortWithinPartitions("chunk", "acc", "at", "cmd_id")
     )
@@ -247,87 +249,104 @@ class _Account:
         self.max_net += change
 
     def leave_open(self, at, cmd, side, amount):
-        self.waiting.append((self.chunk, self.acc, at, cmd, side, amount, self.opening, self.delta, *[None] * 5, "leg"))
+        self.waiting.append((self.chunk, self.acc, at, cmd, side, amount, self.opening, self.delta))
         self.delta = 0
 
     def tail(self):
-        ends = (self.min_net, self.max_net, self.lo, min(self.hi, NO_BOUND))
-        return (self.chunk, self.acc, LAST, LAST, 0, 0, self.opening, self.delta, None, *ends, "tail")
+        leg = (self.chunk, self.acc, LAST, LAST, 0, 0, self.opening, self.delta)
+        return (*leg, self.min_net, self.max_net, self.lo, min(self.hi, NO_BOUND))
 
 
-def _verdict(cmd, accepted):
-    return (None, None, None, cmd, *[None] * 4, accepted, *[None] * 4, "verdict")
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows as tuples of plain numbers; no input column has nulls, so NumPy can unpack them."""
+    return zip(*[c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns])
 
 
-def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
-    arrow = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
-    fields = [f.split() for f in OUT.split(", ")]
-    schema = pa.schema([(name, arrow[kind]) for name, kind in fields])
-    columns = zip(*rows) if rows else [[] for _ in fields]
-    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+class _Output:
+    """Collects verdicts, open legs and tails; gives them out as batches of the output columns."""
+
+    def __init__(self):
+        arrow = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
+        self.schema = pa.schema([(name, arrow[kind]) for name, kind in (f.split() for f in OUT.split(", "))])
+        self.clear()
+
+    def clear(self):
+        self.verdicts, self.legs, self.tails = {True: [], False: []}, [], []
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for accepted, cmds in self.verdicts.items():
+            yield self._batch("verdict", {"cmd_id": cmds, "accepted": [accepted] * len(cmds)}, len(cmds))
+        yield self._batch("leg", dict(zip(LEG_COLUMNS, zip(*self.legs))), len(self.legs))
+        names = [*LEG_COLUMNS, "min_net", "max_net", "lo", "hi"]
+        yield self._batch("tail", dict(zip(names, zip(*self.tails))), len(self.tails))
+        self.clear()
+
+    def _batch(self, kind: str, values: dict[str, list], n: int) -> pa.RecordBatch:
+        values = {**values, "kind": [kind] * n}
+        arrays = [pa.array(values[f.name], f.type) if f.name in values else pa.nulls(n, f.type) for f in self.schema]
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
 def _fold(first_round: bool):
     """One pass over sorted legs, with one account's bounds as the only state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, seen, out = None, 0, []
+        a, accounts, out = None, 0, _Output()
+
+        def may_go_on():
+            # At a border of the chunk: the account may have more legs in the next one.
+            out.legs += a.waiting
+            out.tails.append(a.tail())
+            a.waiting = []
+
         for batch in batches:
-            for chunk, acc, at, cmd, side, amount, opening, before, sure, lo, hi in zip(
-                *[c.to_pylist() for c in batch.columns]
-            ):
+            for chunk, acc, at, cmd, side, amount, opening, before, sure, lo, hi in _rows(batch):
                 if a is None or acc != a.acc or chunk != a.chunk:
-                    if a is not None and first_round and seen == 1:
-                        # The first account of a chunk may go on from the chunk before.
-                        out += [*a.waiting, a.tail()]
-                    seen += 1
-                    if first_round and seen == 1 and chunk > 0:
-                        lo, hi = min(opening, 0), NO_BOUND
-                    elif lo is None:
+                    if first_round and accounts == 1:
+                        may_go_on()
+                    accounts += 1
+                    if first_round and accounts == 1 and chunk > 0:
+                        lo, hi = min(opening, 0), NO_BOUND  # it may come from the chunk before
+                    elif lo == UNSET:
                         lo = hi = opening
                     a = _Account(chunk, acc, opening, lo, hi)
                 if before:
                     a.move(before)
                 if side == 0:
-                    out += [*a.waiting, a.tail()]
-                    a.waiting = []
+                    may_go_on()
                 elif side > 0:
                     if sure:
                         a.move(amount)
                         if first_round:
-                            out.append(_verdict(cmd, True))
+                            out.verdicts[True].append(cmd)
                     else:
                         a.leave_open(at, cmd, side, amount)
                         a.hi += amount
                         a.max_net += amount
                 elif a.lo >= amount:
                     a.move(-amount)
-                    out.append(_verdict(cmd, True))
+                    out.verdicts[True].append(cmd)
                 elif a.hi < amount:
-                    out.append(_verdict(cmd, False))
+                    out.verdicts[False].append(cmd)
                 else:
                     a.leave_open(at, cmd, side, amount)
-                    out += a.waiting
+                    out.legs += a.waiting
                     a.waiting = []
                     a.lo, a.hi = min(a.lo, 0), max(amount - 1, a.hi - amount)
                     a.min_net -= amount
-            yield _to_batch(out)
-            out = []
+            yield from out.batches()
         if a is not None and first_round:
-            out += [*a.waiting, a.tail()]  # the last account of a chunk may go on in the next
-        yield _to_batch(out)
+            may_go_on()
+        yield from out.batches()
 
     return run
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Applies the earliest open legs one by one; each goes on as a leg that is sure, with what it moved."""
-    balance, tails, accepted = {}, {}, {}
+    balance, tails, accepted, out = {}, {}, {}, _Output()
     for batch in batches:
-        out = []
-        for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in zip(
-            *[c.to_pylist() for c in batch.columns]
-        ):
+        for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in _rows(batch):
             if side == 0:
                 tails.setdefault(acc, []).append((chunk, before))
                 continue
@@ -337,12 +356,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if side < 0:
                 accepted[cmd] = now >= amount
                 moved = -amount if accepted[cmd] else 0
-                out.append(_verdict(cmd, accepted[cmd]))
+                out.verdicts[accepted[cmd]].append(cmd)
             else:
                 moved = amount if sure or accepted[cmd] else 0
             balance[acc] = now + moved
-            out.append((chunk, acc, at, cmd, 1, moved, opening, before, *[None] * 5, "leg"))
-        yield _to_batch(out)
+            out.legs.append((chunk, acc, at, cmd, 1, moved, opening, before))
+        yield from out.batches()
 
 
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:
