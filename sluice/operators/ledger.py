@@ -58,7 +58,7 @@ def signed(indicator: str = "indicator", amount: str = "amount"):
 def statement(
     posted: DataFrame, accounts: DataFrame, account: int | None = None, partitions: int | None = None
 ) -> DataFrame:
-    """All postings with the balance after each one; of one account if given.
+    """All postings with the balance after each one; of one account, in order of time, if given.
 
     An account's opening balance goes in as its first move (its time is null,
     which sorts first), so the running total is the balance and needs no join.
@@ -70,9 +70,10 @@ def statement(
     openings = accounts.select("acc_id", to_cents(F.col("opening")).alias("change"))
     both = moves.unionByName(openings, allowMissingColumns=True)
     total = running_total(both, "acc_id", ["ts", "cmd_id"], "change", "cents", partitions)
-    return total.filter(F.col("cmd_id").isNotNull()).select(
+    lines = total.filter(F.col("cmd_id").isNotNull()).select(
         "acc_id", "ts", "cmd_id", "kind", "indicator", "amount", from_cents(F.col("cents")).alias("balance")
     )
+    return lines if account is None else lines.orderBy("ts", "cmd_id")
 
 
 def short_statement(posted: DataFrame) -> DataFrame:

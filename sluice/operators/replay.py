@@ -103,8 +103,9 @@ def replay(
         rows = _open_rows(done)
         early = _is_early(done, step_legs, open_legs)
         is_tail = F.col("side") == 0
-        settled = _run(_in_one_task(rows.filter(early | is_tail)), _settle, base, step)
-        if open_legs <= step_legs:
+        last = open_legs <= step_legs
+        settled = _run(_in_one_task(rows.filter(early | is_tail)), _settle(last), base, step)
+        if last:
             break
         late = rows.filter(~early | is_tail)
         known = settled.filter("kind = 'leg'").select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
@@ -342,26 +343,31 @@ def _fold(first_round: bool):
     return run
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Applies the earliest open legs one by one; each goes on as a leg that is sure, with what it moved."""
-    balance, tails, accepted, out = {}, {}, {}, _Output()
-    for batch in batches:
-        for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in _rows(batch):
-            if side == 0:
-                tails.setdefault(acc, []).append((chunk, before))
-                continue
-            now = balance.get(acc, opening) + before
-            while tails.get(acc) and tails[acc][0][0] < chunk:
-                now += tails[acc].pop(0)[1]
-            if side < 0:
-                accepted[cmd] = now >= amount
-                moved = -amount if accepted[cmd] else 0
-                out.verdicts[accepted[cmd]].append(cmd)
-            else:
-                moved = amount if sure or accepted[cmd] else 0
-            balance[acc] = now + moved
-            out.legs.append((chunk, acc, at, cmd, 1, moved, opening, before))
-        yield from out.batches()
+def _settle(last: bool):
+    """Applies the earliest open legs one by one. Unless these are the last, each goes on as a sure leg."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        balance, tails, accepted, out = {}, {}, {}, _Output()
+        for batch in batches:
+            for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in _rows(batch):
+                if side == 0:
+                    tails.setdefault(acc, []).append((chunk, before))
+                    continue
+                now = balance.get(acc, opening) + before
+                while tails.get(acc) and tails[acc][0][0] < chunk:
+                    now += tails[acc].pop(0)[1]
+                if side < 0:
+                    accepted[cmd] = now >= amount
+                    moved = -amount if accepted[cmd] else 0
+                    out.verdicts[accepted[cmd]].append(cmd)
+                else:
+                    moved = amount if sure or accepted[cmd] else 0
+                balance[acc] = now + moved
+                if not last:
+                    out.legs.append((chunk, acc, at, cmd, 1, moved, opening, before))
+            yield from out.batches()
+
+    return run
 
 
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:

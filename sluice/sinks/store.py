@@ -33,6 +33,13 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def current_items(items: DataFrame) -> DataFrame:
+    """Items of an intake table as an upsert would leave them: per key, the one of the newest batch."""
+    rest = [c for c in items.columns if c not in ("pk", "sk", "batch_id")]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("r")
+    return items.groupBy("pk", "sk").agg(newest).select("pk", "sk", *[F.col("r")[c].alias(c) for c in rest])
+
+
 def publish(events: DataFrame) -> DataFrame:
     """Records keyed by ``region#state``, for a sink that partitions by key."""
     return events.select(F.concat_ws("#", "region", "state").alias("key"), F.to_json(F.struct("*")).alias("value"))

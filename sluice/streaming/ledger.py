@@ -54,7 +54,7 @@ class AccountBalance(StatefulProcessor):
 def account_stream(commands: DataFrame, accounts: DataFrame) -> DataFrame:
     """Verdict and balance after each deposit or withdrawal, in order within each micro-batch.
 
-    The source's limit per micro-batch bounds what one account can have in a task.
+    Needs the RocksDB state store provider. The source's limit per micro-batch bounds what one account can have in a task.
     """
     amount = to_cents(F.col("amount"))
     moves = commands.filter(F.col("src").isNull() | F.col("dst").isNull()).select(

@@ -164,6 +164,13 @@ def test_intake_of_envelopes(spark, tmp_path):
     again = spark.createDataFrame([(r,) for r in RECORDS], "data string")
     delivery.intake_batch(*paths)(again, 0)
     check_intake(spark, b)
+    # delivered in a later batch with new sums, it wins over the same key of the earlier batch
+    newer = spark.createDataFrame([(record(KPI_1_SUM=77),)], "data string")
+    delivery.intake_batch(*paths)(newer, 1)
+    items = spark.read.parquet(paths[0])
+    now = store.current_items(items)
+    assert items.count() == now.count() + 1
+    assert [r.kpi1 for r in now.filter("sk LIKE 'PT1M#2024-01-01 00:01%'").collect()] == [77]
 
 
 def test_json_output(spark, feed, tmp_path):
