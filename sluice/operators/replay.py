@@ -159,17 +159,30 @@ def _is_early(done: DataFrame, wanted: int, total: int) -> Column:
     """Condition that picks about ``wanted`` open legs, the earliest ones; both legs of a transfer or none."""
     if total <= wanted:
         return F.lit(True)
-    at, cmd = F.col("at"), F.col("cmd_id")
     if wanted <= 0:
         return F.lit(False)
-    until = _open(done).agg(F.percentile_approx("at", wanted / total)).first()[0]
-    before, same = _open(done).agg(F.count_if(at < until), F.count_if(at == until)).first()
+    at = F.col("at")
+    until, before, same = _cut(_open(done), "at", wanted, total)
     if before + same <= 2 * wanted:
         return at <= until
     # Very many commands have the same time: cut within it, by command.
-    share = min(max((wanted - before) / same, 0.0), 1.0)
-    last = _open(done).filter(at == until).agg(F.percentile_approx("cmd_id", share)).first()[0]
-    return (at < until) | ((at == until) & (cmd <= last))
+    last, _, _ = _cut(_open(done).filter(at == until), "cmd_id", max(wanted - before, 1), same)
+    return (at < until) | ((at == until) & (F.col("cmd_id") <= last))
+
+
+def _cut(legs: DataFrame, column: str, wanted: int, total: int, accuracy: int = 10_000) -> tuple[int, int, int]:
+    """A value with about ``wanted`` legs below it, never more than twice as many; how many are below, and equal.
+
+    The approximate percentile may be off by ``total / accuracy``, so its outcome
+    is counted, and refined among the legs below it for as long as those are too many.
+    """
+    value = F.col(column)
+    while True:
+        cut = legs.agg(F.percentile_approx(column, min(wanted / total, 1.0), accuracy)).first()[0]
+        below, equal = legs.agg(F.count_if(value < cut), F.count_if(value == cut)).first()
+        if below <= 2 * wanted:
+            return cut, below, equal
+        legs, total = legs.filter(value < cut), below
 
 
 def _tails(done: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from brute import money, replay as one_by_one
 from pyspark.sql import functions as F
 
 from sluice.operators import ledger
-from sluice.operators.replay import replay
+from sluice.operators.replay import _cut, replay
 from sluice.operators.running import running_total
 from sluice.sources import tables
 
@@ -95,6 +95,15 @@ def test_all_at_the_same_time(spark):
     assert run(spark, commands, openings, 5, step_legs=50)[3] == want
 
 
+@pytest.mark.parametrize("accuracy", [2, 10000])
+def test_cut_is_never_far_off(spark, accuracy):
+    """Even where the percentile is a bad estimate."""
+    legs = spark.range(20000).select((F.col("id") * 7919 % 20011).alias("at"))
+    for wanted in (1, 37, 5000):
+        value, below, equal = _cut(legs, "at", wanted, 20000, accuracy)
+        assert below == legs.filter(F.col("at") < value).count() <= 2 * wanted and equal == 1
+
+
 def test_edges(spark):
     openings = {1: money(10000), 2: money(0)}
     commands = [
