@@ -334,3 +334,23 @@ FROM requested r LEFT JOIN steps c ON c.what = 'balance' AND c.id = r.acc_id""",
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 WHERE rn = 1""",
 }
+
+
+def _closed(period: str) -> str:
+    """Rollups of one period without the last arrival bucket, which a stream still holds open."""
+    rows = "\nUNION ALL\n".join(_rollup(g, period) for g in GRAINS)
+    last = f"(SELECT {_bucket(period, 'max(ingest_time)')} FROM kpi_events)"
+    return f"WITH {EVENTS}\nSELECT * FROM ({rows}) WHERE ingest_time < {last}"
+
+
+STREAMS: dict[str, str] = {
+    **{f"stream_rollup_{p.lower()}": _closed(p) for p in PERIODS},
+    "account_stream": _REPLAY_OWN
+    + """SELECT v.cmd_id, coalesce(c.src, c.dst) AS acc_id, accepted, reason
+FROM verdicts v JOIN commands c ON c.cmd_id = v.cmd_id""",
+    "parsed_events": _events(
+        """SELECT event_time, ingest_time, region, state, store_id, kpi_1, kpi_2, kpi_3, kpi_4, kpi_5,
+  CAST(NULL AS varchar) AS bad_record FROM kpi_events"""
+    ),
+    "decoded_records": _WIRE + "SELECT * FROM classified",
+}

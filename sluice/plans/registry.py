@@ -7,10 +7,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.plans import dashboard, ledger, oracle
+from sluice.plans import dashboard, ledger, oracle, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ALL: dict[str, Query] = {**dashboard.QUERIES, **ledger.QUERIES, **streams.QUERIES}
+
 
 def _in_utc(query: Query) -> Query:
     """Times in the tables are UTC, so the session has to read and show them as such."""
@@ -24,8 +26,8 @@ def _in_utc(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _in_utc(q) for name, q in {**dashboard.QUERIES, **ledger.QUERIES}.items()}
+    return {name: _in_utc(q) for name, q in ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.DASHBOARD, **oracle.LEDGER}
+    return {**oracle.DASHBOARD, **oracle.LEDGER, **oracle.STREAMS}

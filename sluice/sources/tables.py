@@ -15,19 +15,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The files of a table as a stream."""
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}*.parquet")
+
+
 def kpi_events(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
     """Typed KPI events, one per row of ``events``. The dimension has 27 rows, so it is broadcast.
 
     A day of event time is picked on the raw column, where the Parquet reader can
     use it. All buckets nest in days, so rollups of the day come out whole.
     """
-    k = F.get_json_object("props", "$.k").try_cast("int")
     e = table(spark, folder, "events")
     if day:
         start = datetime.fromisoformat(day)
         first, after = (F.lit(t).cast("timestamp_ntz") for t in (start, start + timedelta(days=1)))
         e = e.filter((F.col("ts") >= first) & (F.col("ts") < after))
-    d = region_dimension(spark)
+    return typed_events(e)
+
+
+def typed_events(e: DataFrame) -> DataFrame:
+    """Rows of ``events``, from the table or from a stream of it, as typed KPI events."""
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    d = region_dimension(e.sparkSession)
     ts = F.col("ts").cast("timestamp")
     late = (F.col("event_id") % 7) * 97 * 1_000_000
     return e.join(F.broadcast(d), d.idx == e.user_id % 27).select(
@@ -98,8 +108,12 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def commands(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger commands; a null account is outside the bank."""
-    o = table(spark, folder, "orders")
-    n_accounts = table(spark, folder, "customer").agg(F.count("*")).scalar()
+    return typed_commands(table(spark, folder, "orders"), table(spark, folder, "customer"))
+
+
+def typed_commands(o: DataFrame, customer: DataFrame) -> DataFrame:
+    """Rows of ``orders``, from the table or from a stream of it, as ledger commands."""
+    n_accounts = customer.agg(F.count("*")).scalar()
     key, acc = F.col("o_orderkey"), F.col("o_custkey")
     turn = key % 3
     src = F.when(turn == 0, None).when(key % 101 == 0, -1).otherwise(acc)
