@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,23 @@ def local_session(cores: str | int = "*", name: str = "sluice", **conf: str) ->
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder for one job, in the shared folder that the cluster names.
 
-    The shared folder is ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a folder of its own.
+    The shared folder is ``spark.checkpoint.dir``, or the session's warehouse where that is unset. All folders of an
+    application lie in one folder with its id. Results that are read lazily may still need them, so whoever runs the
+    application calls ``drop_scratch`` at its end.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_shared(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _shared(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder, after its last result is read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_shared(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def through_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
 
-from sluice.session import local_session  # noqa: E402
+from sluice.session import drop_scratch, local_session  # noqa: E402
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -23,9 +24,11 @@ def spark():
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
             ),
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"),
         },
     )
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -6,8 +6,9 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_module
+from sluice.plans import registry
 
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="session")
@@ -24,6 +25,7 @@ def test_query_equals_sql(spark, duck, medium, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
