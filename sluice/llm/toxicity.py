@@ -5,8 +5,8 @@ number of coordinates. Each coordinate has its own learning rate and an L1 penal
 exactly zero; the rest, a few thousand numbers, are what the scoring tasks get.
 
 Learning takes a sample of labelled rows, about ``SAMPLE_ROWS`` of them and chosen by a hash of their ids, however many
-there are. The sample is dealt to ``LEARNERS`` tasks that learn side by side; their states are averaged per coordinate
-and handed on, for ``ROUNDS`` rounds. The averaging runs in Spark and what reaches the driver is bounded by ``DIMENSIONS``.
+there are. The sample is dealt to ``LEARNERS`` tasks that learn side by side; the states of the coordinates to which they
+give a weight are averaged and handed on, for ``ROUNDS`` rounds. The averaging runs in Spark and what reaches the driver is bounded by ``DIMENSIONS``.
 Scoring is one pass over all whole texts without a shuffle.
 
 Edge cases: a null or empty text has no feature and scores the learned intercept. Labels that are null, or whose id is
@@ -134,7 +134,8 @@ def _round(spark: SparkSession, rows: DataFrame, start: Ftrl) -> Ftrl:
         for _ in range(EPOCHS):
             for at, y in zip(docs, group["y"], strict=True):
                 state.learn(at, float(y))
-        at = np.flatnonzero(state.n)
+        # What has no weight here weighs nothing in the mean either, and need not travel.
+        at = np.append(np.flatnonzero(np.abs(state.z[:-1]) > L1), DIMENSIONS)
         return pd.DataFrame({"at": at.astype(np.int32), "z": state.z[at].astype(float), "n": state.n[at].astype(float)})
 
     mean = (
