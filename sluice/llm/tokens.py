@@ -20,11 +20,15 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "word_bpe_49k.json"
 #: Different words kept with their ids in a Python worker; beyond it the table starts anew.
-KNOWN_WORDS = 300_000
-CHUNK_BYTES = 8 << 20
+KNOWN_WORDS = 400_000
+CHUNK_BYTES = 2 << 20
 #: Letters or digits and then plain punctuation, which the vocabulary's own rule cuts between.
 STEM_AND_TAIL = r"^(?P<stem>[\p{L}\p{N}]+)(?P<tail>[,.;:!?*$%&#|<>=()/_-]+)$"
 
+#: A part that is one word to the vocabulary. Many go in one call, since the last token of a word is marked as such.
+ONE_WORD = r"^\p{L}+$"
+WORD_END = "</w>"
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -40,6 +44,8 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        size = self._tokenizer.get_vocab_size()
+        self._ends = np.array([(self._tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
         self._clear()
 
     def _clear(self) -> None:
@@ -64,28 +70,43 @@ class Encoder:
         split = pc.extract_regex(coded.dictionary, STEM_AND_TAIL)
         stem = pc.if_else(split.is_valid(), split.field("stem"), coded.dictionary)
         tail = pc.if_else(split.is_valid(), split.field("tail"), "")
-        place = self._places(pa.concat_arrays([stem, tail]).to_pylist()).reshape(2, -1)
-        unit = place.T[coded.indices.to_numpy()].ravel()
+        units = pa.concat_arrays([stem, tail]).dictionary_encode()
+        unit = self._places(units.dictionary)[units.indices.to_numpy()].reshape(2, -1).T.ravel()
         size = self._at[unit + 1] - self._at[unit]
         end = np.zeros(len(unit) + 1, np.int64)
         np.cumsum(size, out=end[1:])
-        take = np.arange(end[-1]) + np.repeat(self._at[unit] - end[:-1], size)
-        return self._ids[take], end[2 * n]
+        ids = self._ids[np.arange(end[-1]) + np.repeat(self._at[unit] - end[:-1], size)]
+        # The ids of each different word, taken in the order of the texts.
+        taken = pa.ListArray.from_arrays(pa.array(end[::2].astype(np.int32)), pa.array(ids)).take(coded.indices)
+        return taken.flatten().to_numpy(), taken.offsets.to_numpy()[n].astype(np.int64)
 
-    def _places(self, parts: list[str]) -> np.ndarray:
+    def _places(self, parts: pa.Array) -> np.ndarray:
         if len(self._known) > KNOWN_WORDS:
             self._clear()
-        known = self._known
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        got = []
-        for i in range(0, len(new), 4096):
-            got += [e.ids for e in self._tokenizer.encode_batch_fast(new[i : i + 4096], add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(size.sum()))
-        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        self._at = np.concatenate([self._at, self._at[-1] + np.cumsum(size)])
-        self._ids = np.concatenate([self._ids, flat])
-        return np.fromiter((known[p] for p in parts), np.int64, len(parts))
+        known, texts = self._known, parts.to_numpy(zero_copy_only=False).tolist()
+        plain = pc.match_substring_regex(parts, ONE_WORD).to_numpy(zero_copy_only=False).tolist()
+        letters, rest = [], []
+        for p, one in zip(texts, plain, strict=True):
+            if p not in known:
+                (letters if one else rest).append(p)
+        for i in range(0, len(letters), 2048):
+            some = letters[i : i + 2048]
+            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == len(some):
+                self._add(some, ids, np.diff(ends, prepend=0))
+            else:
+                rest += some
+        for i in range(0, len(rest), 2048):
+            some = [e.ids for e in self._tokenizer.encode_batch_fast(rest[i : i + 2048], add_special_tokens=False)]
+            self._add(rest[i : i + 2048], np.array([x for ids in some for x in ids], np.uint32), np.array([len(ids) for ids in some]))
+        return np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+
+    def _add(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self._known)
+        self._known.update(zip(texts, range(n, n + len(texts)), strict=True))
+        self._ids = np.concatenate([self._ids, ids])
+        self._at = np.concatenate([self._at, self._at[-1] + np.cumsum(sizes)])
 
 
 _encoders: dict[str, Encoder] = {}
