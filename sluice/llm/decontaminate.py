@@ -1,14 +1,15 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
-A window is ``WINDOW`` consecutive words of a benchmark item, or a shorter item as a whole. A document holds a window
-exactly when it holds all of the window's shingles (runs of ``SHINGLE`` words) in their places, so one of them is a
-necessary prefix, and the rarest is the best one to join on. The steps, all of DataFrame functions:
-
-1. Documents are cut into blocks of words with an overlap, so that no row is longer for a longer text. Their shingles
-   meet those of the benchmark, and how often each occurs over all documents is its rarity.
-2. For each window the rarest shingle, and its place in the window, become the join key. The documents' shingles meet it;
-   what it finds must lie so that the whole window fits into the text (length and position), and is then compared word
-   for word with the words around it, which the block carries along.
+A window is ``WINDOW`` consecutive words of a benchmark item, or a shorter item as a whole. A document that holds a window
+holds all its words, so in any order of the words the first one is a necessary prefix, and with the rarest first it is
+the best to join on. The steps, all of DataFrame functions:
+
+1. The documents' words meet those of the benchmark; how often each occurs over all documents is its rarity. A window with
+   a word that no document has is done with.
+2. The rarest word of each window, with its place in the window, is the join key. Documents are cut into blocks of words
+   with an overlap, so that no row is longer for a longer text, and their words meet the keys. What is found must lie so
+   that the whole window fits into the text (length and position), and is compared word for word with the words around
+   it, which the block carries along.
 3. Hits of a document are merged to the words that they cover, and windows to the items that have them.
 
 The benchmark's tables go to all tasks when they have at most ``BROADCAST_ROWS`` rows; beyond that they are joined by a
@@ -17,13 +18,11 @@ as these do.
 
 Edge cases: a null or empty text has no words and no hits, and an item without words has no window. An empty benchmark
 leaves everything clean. Rows that repeat an id are judged by their own texts, equal ones alike. Items that repeat an id
-are one item with the windows of all. Null item ids join as an empty text. Other columns are never read.
+are one item with the windows of all. A null item id is an empty text. Other columns are never read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,8 +30,7 @@ from pyspark.sql.window import Window
 from sluice.session import scratch_folder, through_table
 
 WINDOW = 13
-SHINGLE = 3
-BLOCK = 128
+BLOCK = 1024
 BROADCAST_ROWS = 1_000_000
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What is between words: ASCII but digits and letters.
@@ -49,16 +47,10 @@ def folded(words: Column) -> Column:
     return F.translate(F.array_join(words, " "), CAPITALS, SMALL)
 
 
-def _hash(values: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(*(F.get(values, at + k) for k in range(size)))
-
-
-def _coder(values: Column, size: int) -> Callable[[Column], Column]:
-    return lambda k: _hash(values, k, size)
-
-
-def _placed_coder(size: int) -> Callable[[Column], Column]:
-    return lambda k: F.struct(F.lit(size).alias("size"), (k + F.col("begin")).alias("at"), _hash(F.col("low"), k, size).alias("shingle"))
+def _key(word: Column) -> Column:
+    """What words are joined by: a hash in small letters, whatever the letter. It may bring together too much, never too
+    little; words are compared as they stand later."""
+    return F.xxhash64(F.lower(word))
 
 
 def _sized(df: DataFrame, label: str) -> DataFrame:
@@ -78,32 +70,18 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataF
     return blocks.select("item", F.explode(F.transform(places, lambda p: F.slice("block", p, WINDOW))).alias("words")).distinct()
 
 
-def _blocks(text: Column, carried: bool) -> Column:
-    """A text's words in blocks: ``begin`` is a block's first word, ``own`` its first that no earlier block has as its
-    own, ``low`` its words in lower case (whatever the letter, so that it can only find too much), and, if carried,
-    ``words`` as they stand."""
-    def cut(values: Column, own: Column) -> Column:
-        before = F.least(own, F.lit(WINDOW - 1))
-        return F.slice(values, own - before + 1, before + BLOCK + WINDOW - 1)
-
-    low, words = words_of(F.lower(text)), words_of(text)
-    starts = F.sequence(F.lit(0), F.size(low) - 1, F.lit(BLOCK))
-    blocks = F.transform(starts, lambda own: F.struct(own.alias("own"), (own - F.least(own, F.lit(WINDOW - 1))).alias("begin"), cut(low, own).alias("low"), *([cut(words, own).alias("words")] if carried else [])))
-    return F.when(F.size(low) > 0, blocks)
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``row``, ``block`` (words as they stand), ``before`` (words in it that are the end of the block before it) and
+    ``begin`` (place in the text of its first word)."""
+    # Empty words, which only a text's ends can have, are in no window.
+    whole = rows.select("row", F.split(F.coalesce("text", F.lit("")), BETWEEN).alias("words"))
+    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK))
 
+    def cut(own: Column) -> Column:
+        before = F.least(own, F.lit(WINDOW - 1))
+        return F.struct(before.alias("before"), (own - before).alias("begin"), F.slice("words", own - before + 1, before + BLOCK + WINDOW - 1).alias("block"))
 
-def _shingles(rows: DataFrame, sizes: list[int], carried: bool) -> DataFrame:
-    """``row``, ``size``, ``at`` (place in the text) and ``shingle`` of every run of so many words; carried: its block."""
-    cut = rows.select("row", F.explode(_blocks(F.col("text"), carried)).alias("b")).select("row", "b.*")
-    runs = []
-    for size in sizes:
-        first, last = F.col("own") - F.col("begin"), F.least(F.col("own") - F.col("begin") + BLOCK, F.size("low") - size + 1)
-        places = F.when(last > first, F.sequence(first, last - 1))
-        coded = F.transform(places, _placed_coder(size))
-        runs.append(F.coalesce(coded, F.array().cast("array<struct<size:int,at:int,shingle:bigint>>")))
-    kept = ["begin", "words"] if carried else []
-    every = runs[0] if len(runs) == 1 else F.concat(*runs)
-    return cut.select("row", *kept, F.explode(every).alias("s")).select("row", *kept, "s.*")
+    return whole.select("row", F.explode(F.transform(starts, cut)).alias("b")).select("row", "b.before", "b.begin", "b.block")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> DataFrame:
@@ -115,36 +93,27 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
     every = windows(items, item_key).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
     listed = through_table(every.select(F.xxhash64("words").alias("window"), "words", "items"), scratch_folder(spark, "windows"))
-    # A window shorter than a shingle is looked for by all its words.
-    length = F.least(F.size("words"), F.lit(SHINGLE))
-    low = F.transform("words", F.lower)
-    coded = F.when(length == 1, F.transform(low, lambda w: F.xxhash64(w)))
-    for size in range(2, SHINGLE + 1):
-        coded = coded.when(length == size, F.transform(F.sequence(F.lit(0), F.size(low) - size), _coder(low, size)))
-    parts = through_table(listed.select("window", length.alias("size"), F.posexplode(coded).alias("inside", "shingle")), scratch_folder(spark, "shingles"))
-    sizes = sorted(r["size"] for r in parts.select("size").distinct().collect())  # at most SHINGLE
-    if not sizes:
-        return rows.select(F.col("key").alias(key), F.size(words_of(F.col("text"))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
-
-    wanted = _sized(parts.select("size", "shingle").distinct(), "wanted")
-    counted = _shingles(rows, sizes, False).join(wanted, ["size", "shingle"]).groupBy("size", "shingle").agg(F.count("*").alias("times"))
+    parts = through_table(listed.select("window", F.posexplode("words").alias("inside", "word")).withColumn("word", _key(F.col("word"))), scratch_folder(spark, "parts"))
+    wanted = _sized(parts.select("word").distinct(), "wanted")
+    met = rows.select(F.explode(F.split(F.col("text"), BETWEEN)).alias("word")).select(_key(F.col("word")).alias("word"))
+    counted = met.join(wanted, "word").groupBy("word").agg(F.count("*").alias("times"))
     rarest = (
-        parts.join(counted, ["size", "shingle"])
+        parts.join(counted, "word", "left")
         .groupBy("window")
-        .agg(F.count("*").alias("found"), F.min_by(F.struct("inside", "size", "shingle"), F.struct("times", "inside")).alias("p"))
-        # A window with a shingle that no document has is in none of them.
-        .join(parts.groupBy("window").agg(F.count("*").alias("all")), "window")
-        .where(F.col("found") == F.col("all"))
+        .agg(F.min_by(F.struct("inside", "word"), F.struct("times", "inside")).alias("p"), F.count_if(F.col("times").isNull()).alias("missing"))
+        .where("missing = 0")
         .join(listed.select("window", folded(F.col("words")).alias("wanted"), F.size("words").alias("length")), "window")
         .select("window", "p.*", "wanted", "length")
     )
     prefixes = _sized(rarest, "prefixes")
 
-    first = F.col("at") - F.col("inside")
-    place = first - F.col("begin")
-    candidates = _shingles(rows, sizes, True).join(prefixes, ["size", "shingle"])
-    fits = (place >= 0) & (place + F.col("length") <= F.size("words"))
-    same = F.when(fits, folded(F.slice("words", place + 1, F.col("length"))) == F.col("wanted"))
+    spread = _blocks(rows).select("row", "before", "begin", "block", F.posexplode("block").alias("at", "found"))
+    own = (F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + BLOCK)
+    candidates = spread.where(own).withColumn("word", _key(F.col("found"))).join(prefixes, "word")
+    place = F.col("at") - F.col("inside")
+    fits = (place >= 0) & (place + F.col("length") <= F.size("block"))
+    same = F.when(fits, folded(F.slice("block", place + 1, F.col("length"))) == F.col("wanted"))
+    first = F.col("begin") + place
     hits = candidates.where(same).select("row", first.alias("first"), (first + F.col("length")).alias("end"), "window").distinct()
     hits = through_table(hits, scratch_folder(spark, "hits"))
 
