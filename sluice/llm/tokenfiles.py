@@ -2,11 +2,12 @@
 
 A data set is a folder of
 
-* ``shard-00000.ids``: the ids of its documents one after another, little-endian unsigned 32-bit numbers and nothing else;
+* ``shard-00000.ids``: the ids of its documents one after another and nothing else, as little-endian unsigned numbers of
+  16 bits, or of 32 where the vocabulary is larger;
 * ``shard-00000.at``: where each document begins in it, counted in ids, little-endian 64-bit, one entry more than documents;
 * ``index-00000.mph``: for the keys that hash to it, a minimal perfect hash and a table of one slot per key with the
   key's fingerprint, shard, first document in that shard and number of documents;
-* ``manifest.json``: the number of index files, and documents and ids of every shard. It is written last.
+* ``manifest.json``: bytes per id, the number of index files, and documents and ids of every shard. It is written last.
 
 Documents lie in ascending order of their keys (nulls first, equal keys by text) across the shards. A lookup hashes the
 key, reads one pilot and one slot, compares the fingerprint, and so finds the ids in constant time.
@@ -156,6 +157,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     system, at = _place(folder)
     system.create_dir(at, recursive=True)
+    width = 2 if max(tokens.encoder(path).size - 1, end) < 1 << 16 else 4
 
     def write_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, encode = TaskContext.get().partitionId(), tokens.encoder(path)
@@ -167,7 +169,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
             for ids, begin in encode.chunks(batch.column(1)):
                 ids, begin = packing.with_end(ids, begin, end)
                 n = len(begin) - 1
-                ids_file.file.write(ids.astype("<u4").tobytes())
+                ids_file.file.write(ids.astype(f"<u{width}").tobytes())
                 at_file.file.write((begin[1:] + done).astype("<i8").tobytes())
                 texts = [key_text(k) for k in batch.column(0).slice(first, n).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
@@ -208,7 +210,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     entries = written.groupBy("key", "shard").agg(F.min("place").alias("first"), F.count("*").alias("count"))
     entries = entries.mapInArrow(with_part, "part int, key string, shard int, first long, count long").repartition(parts, "part")
     through_table(entries.mapInArrow(write_index, "part int, keys long"), scratch_folder(spark, "index"))
-    manifest = {"parts": parts, "shards": [[r["shard"], r["docs"], r["ids"]] for r in sorted(per_shard, key=lambda r: r["shard"])]}
+    manifest = {"width": width, "parts": parts, "shards": [[r["shard"], r["docs"], r["ids"]] for r in sorted(per_shard, key=lambda r: r["shard"])]}
     out = _Whole(folder, "manifest.json")
     out.file.write(json.dumps(manifest).encode())
     out.close()
@@ -255,7 +257,8 @@ class Index:
         if not slot["count"]:
             return []
         at = _range(self._folder, f"shard-{slot['shard']:05d}.at", int(slot["first"]) * 8, (int(slot["count"]) + 1) * 8, "<i8")
-        ids = _range(self._folder, f"shard-{slot['shard']:05d}.ids", int(at[0]) * 4, int(at[-1] - at[0]) * 4, "<u4")
+        width = self.manifest["width"]
+        ids = _range(self._folder, f"shard-{slot['shard']:05d}.ids", int(at[0]) * width, int(at[-1] - at[0]) * width, f"<u{width}")
         return [ids[a - at[0] : b - at[0]] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
@@ -272,7 +275,7 @@ def read_all(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_
     base, before = {}, 0
     for shard, _, ids in manifest["shards"]:
         base[shard], before = before, before + ids
-    kind, parts = keys.schema[key].dataType.simpleString(), manifest["parts"]
+    kind, parts, width = keys.schema[key].dataType.simpleString(), manifest["parts"], manifest["width"]
 
     def with_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -292,7 +295,7 @@ def read_all(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_
             shards, first, count = (b.column(k).to_numpy() for k in (1, 2, 3))
             for shard in np.unique(shards):
                 rows = np.flatnonzero(shards == shard)
-                yield from _digests(folder, int(shard), base[int(shard)], b.column(0).take(pa.array(rows)), first[rows], count[rows], key)
+                yield from _digests(folder, width, int(shard), base[int(shard)], b.column(0).take(pa.array(rows)), first[rows], count[rows], key)
 
     # Keys meet the index file that holds them, and then the shard; both rows are a few numbers wide.
     found = keys.select(key).distinct().mapInArrow(with_part, f"part int, `{key}` {kind}").repartition(parts, "part").sortWithinPartitions("part")
@@ -301,7 +304,7 @@ def read_all(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_
     return near.mapInArrow(read, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long")
 
 
-def _digests(folder: str, shard: int, base: int, keys: pa.Array, first: np.ndarray, count: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
+def _digests(folder: str, width: int, shard: int, base: int, keys: pa.Array, first: np.ndarray, count: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
     """The documents of some slots of one shard, read in runs of about ``READ_IDS`` ids."""
     place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
     keys = keys.take(pa.array(np.repeat(np.arange(len(count)), count)))
@@ -315,7 +318,8 @@ def _digests(folder: str, shard: int, base: int, keys: pa.Array, first: np.ndarr
         while k < len(place):
             # Rows are in the order of the file, so a run of them is one read.
             last = max(k + 1, int(np.searchsorted(end, begin[k] + READ_IDS, "right")))
-            run = memoryview(f.read_at(int(end[last - 1] - begin[k]) * 4, int(begin[k]) * 4))
+            run = f.read_at(int(end[last - 1] - begin[k]) * width, int(begin[k]) * width)
+            run = memoryview(np.frombuffer(run, f"<u{width}").astype("<u4").tobytes())  # checksums are of 32-bit ids
             for j in range(k, last):
                 checks[j] = zlib.crc32(run[int(begin[j] - begin[k]) * 4 : int(end[j] - begin[k]) * 4])
             k = last

@@ -44,8 +44,8 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        size = self._tokenizer.get_vocab_size()
-        self._ends = np.array([(self._tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
+        self.size = self._tokenizer.get_vocab_size()
+        self._ends = np.array([(self._tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(self.size)])
         self._clear()
 
     def _clear(self) -> None:
