@@ -105,15 +105,11 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     before = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.select("row", "kind", "size", "value", (F.sum(F.col("gap") + F.col("size")).over(before) - F.col("size")).cast("int").alias("first"))
     placed = placed.select("row", "kind", "value", "first", (F.col("first") + F.col("size")).alias("end"))
-    base = placed.where((F.col("kind") != 3) & ((F.col("kind") != 0) | (F.length("value") >= ASSIGN_CHARS))).select("row", "kind", "first", "end")
-    return base.unionByName(_entropy_spans(placed.where("kind = 3")))
-
-
-def _entropy_spans(candidates: DataFrame) -> DataFrame:
     starts = F.sequence(F.lit(1), F.length("value") - WINDOW + 1, F.lit(PART))
     cut = F.transform(starts, lambda s: F.substring(F.col("value"), s, F.lit(PART + WINDOW - 1)))
-    largest = F.array_max(F.transform(cut, entropy))
-    return candidates.where(is_secret(F.col("value"), largest)).select("row", "kind", "first", "end")
+    good = F.when(F.col("kind") == 0, F.length("value") >= ASSIGN_CHARS)
+    good = good.when(F.col("kind") == 3, is_secret(F.col("value"), F.array_max(F.transform(cut, entropy)))).otherwise(True)
+    return placed.where(good).select("row", "kind", "first", "end")
 
 
 def per_document(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
