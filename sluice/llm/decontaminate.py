@@ -135,7 +135,7 @@ def is_contaminated() -> Column:
 
 
 def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with their own columns."""
+    """The documents that are not contaminated, with their own columns. Rows that share the id of one that is go with it."""
     judged = contaminated(docs, items).where(is_contaminated()).select("doc_id").distinct()
     return docs.join(judged, docs["doc_id"].eqNullSafe(judged["doc_id"]), "left_anti")
 
