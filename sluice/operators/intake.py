@@ -107,6 +107,11 @@ def dead_letters(items: DataFrame) -> DataFrame:
     return items.filter(F.col("status") == DEAD)
 
 
+def quarantined(items: DataFrame) -> DataFrame:
+    """Records that cannot be read or lack a part that their row needs."""
+    return items.filter(F.col("status") == ERROR)
+
+
 def load_stats(items: DataFrame) -> DataFrame:
     """Counts of a batch: all, ok, error; and by grain, period, state and region.
 

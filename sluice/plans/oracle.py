@@ -336,15 +336,14 @@ WHERE rn = 1""",
 }
 
 
-def _closed(period: str) -> str:
-    """Rollups of one period without the last arrival bucket, which a stream still holds open."""
+def _whole(period: str) -> str:
+    """All rollups of one period."""
     rows = "\nUNION ALL\n".join(_rollup(g, period) for g in GRAINS)
-    last = f"(SELECT {_bucket(period, 'max(ingest_time)')} FROM kpi_events)"
-    return f"WITH {EVENTS}\nSELECT * FROM ({rows}) WHERE ingest_time < {last}"
+    return f"WITH {EVENTS}\nSELECT * FROM ({rows})"
 
 
 STREAMS: dict[str, str] = {
-    **{f"stream_rollup_{p.lower()}": _closed(p) for p in PERIODS},
+    **{f"stream_rollup_{p.lower()}": _whole(p) for p in PERIODS},
     "account_stream": _REPLAY_OWN
     + """SELECT v.cmd_id, coalesce(c.src, c.dst) AS acc_id, accepted, reason
 FROM verdicts v JOIN commands c ON c.cmd_id = v.cmd_id""",
@@ -353,4 +352,7 @@ FROM verdicts v JOIN commands c ON c.cmd_id = v.cmd_id""",
   CAST(NULL AS varchar) AS bad_record FROM kpi_events"""
     ),
     "decoded_records": _WIRE + "SELECT * FROM classified",
+    "store_stream": _items("SELECT * FROM items"),
+    "quarantine": _WIRE + "SELECT event_id, reason FROM classified WHERE status = 'error'",
+    "rollup_wire": _items("SELECT 'ok' AS status, pk, sk, n_rec FROM items"),
 }

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from sluice.functions.time import border
 from sluice.operators import intake
-from sluice.operators.rollup import ROLLUP
-from sluice.schema import KPIS, PERIODS
+from sluice.operators.rollup import ROLLUP, keyed, rollup_all
+from sluice.schema import KPI_SUMS, KPIS, PERIODS, STORE_KPIS
 from sluice.session import scratch_folder
+from sluice.sinks.store import publish, read_store, settled, write_store
 from sluice.sources import tables
-from sluice.sources.streams import parse_events
-from sluice.streaming.delivery import to_table
+from sluice.sources.records import in_envelope, rollup_record
+from sluice.sources.streams import parse_events, typed_folder
+from sluice.streaming.delivery import rollup_json, to_table
 from sluice.streaming.ledger import account_stream as account_verdicts
-from sluice.streaming.rollups import rollup_stream
+from sluice.streaming.rollups import rollups_to_store
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -30,16 +31,36 @@ def _result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def _feed(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+    """Events as a stream of several files, one per batch, none in order of arrival."""
+    events.repartition(3, F.col("event_id") % 3).write.parquet(path)
+    return typed_folder(spark, path, files_per_batch=1)
+
+
 def _rollups(period: str) -> Callable[[SparkSession, str], DataFrame]:
-    """All final rows of one period: every arrival bucket but the last, which is still open."""
+    """All rows of one period, stored batch by batch and added up by the reader."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        events = tables.typed_events(tables.table_stream(spark, folder, "events"))
-        return _result(spark, rollup_stream(events, period).select(*ROLLUP), f"stream-{period}")
+        base = scratch_folder(spark, f"stream-{period}")
+        feed = _feed(spark, tables.kpi_events(spark, folder), f"{base}/in")
+        rollups_to_store(feed, f"{base}/store", f"{base}/checkpoint", [period]).awaitTermination()
+        rows = settled(read_store(spark, f"{base}/store"))
+        return rows.withColumnsRenamed(dict(zip(STORE_KPIS, KPI_SUMS))).select(*ROLLUP)
 
     return run
 
 
+def store_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """One store with many writers: two streams of some periods each over half of the events, and a batch of the rest."""
+    base, events = scratch_folder(spark, "store"), tables.kpi_events(spark, folder)
+    half = F.col("event_id") % 2 == 0
+    for name, periods in (("long", ["PT1H"]), ("short", ["PT1M", "PT10M"])):
+        feed = _feed(spark, events.where(half), f"{base}/{name}")
+        rollups_to_store(feed, f"{base}/store", f"{base}/c-{name}", periods).awaitTermination()
+    write_store(keyed(rollup_all(events.where(~half))), f"{base}/store")
+    return settled(read_store(spark, f"{base}/store"))
+
+
 def account_stream(spark: SparkSession, folder: str) -> DataFrame:
     commands = tables.typed_commands(
         tables.table_stream(spark, folder, "orders"), tables.table(spark, folder, "customer")
@@ -55,37 +76,35 @@ def account_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def parsed_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as JSON the way producers send them, and read back."""
-    named = F.struct(
-        F.date_format("event_time", ISO_MICROS).alias("event-time"),
-        "state",
-        "region",
-        F.col("store_id").alias("store-id"),
-        *[F.col(k).alias(k.replace("_", "-")) for k in KPIS],
-    )
-    raw = tables.kpi_events(spark, folder).select(F.to_json(named).alias("value"), F.col("ingest_time").alias("arrival"))
+    published = publish(tables.kpi_events(spark, folder).withColumn("arrival", F.col("ingest_time")), "arrival")
+    raw = published.select("value", "arrival")
     return parse_events(raw).withColumns({c: border(F.col(c)) for c in ("event_time", "ingest_time")})
 
 
 def decoded_records(spark: SparkSession, folder: str) -> DataFrame:
     """Rollup records written as base64 JSON, then decoded and classified."""
-    named = F.struct(
-        "type",
-        "region",
-        "state",
-        F.col("store_id").alias("store-id"),
-        *[F.col(k).alias(f"{k.upper()}_SUM") for k in KPIS],
-        F.col("n_rec").alias("N_REC"),
-        F.date_format("event_time", ISO_MICROS).alias("EVENT_TIME"),
-        F.date_format("ingest_time", ISO_MICROS).alias("INGEST_TIME"),
-    )
-    data = F.base64(F.to_json(named).cast("binary")).alias("data")
-    envelopes = tables.wire_records(spark, folder).select("event_id", data)
+    envelopes = tables.wire_records(spark, folder).select("event_id", in_envelope(rollup_record(KPIS)).alias("data"))
     return intake.classify(intake.decode(envelopes), "event_id")
 
 
+def quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the intake of all records sets aside, with the reason."""
+    return intake.quarantined(decoded_records(spark, folder)).select("event_id", "reason")
+
+
+def rollup_wire(spark: SparkSession, folder: str) -> DataFrame:
+    """All rollups written as JSON, put in envelopes, decoded and classified."""
+    texts = rollup_json(rollup_all(tables.kpi_events(spark, folder)))
+    data = F.base64(F.col("value").cast("binary")).alias("data")
+    return intake.classify(intake.decode(texts.select(data))).select("status", "pk", "sk", "n_rec")
+
+
 QUERIES = {
     **{f"stream_rollup_{p.lower()}": _rollups(p) for p in PERIODS},
     "account_stream": account_stream,
     "parsed_events": parsed_events,
     "decoded_records": decoded_records,
+    "store_stream": store_stream,
+    "quarantine": quarantine,
+    "rollup_wire": rollup_wire,
 }

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.schema import STORE_KPIS
+from sluice.sources.records import event_record
+
 PARTITIONS = ["grain", "period", "event_date"]
 
 
@@ -12,20 +17,21 @@ def with_date(items: DataFrame) -> DataFrame:
     return items.withColumn("event_date", F.col("event_time").cast("date"))
 
 
-def write_store(items: DataFrame, path: str, mode: str = "append") -> None:
-    """Adds items to the store.
+def write_store(items: DataFrame, path: str, writer: str = "batch", batch: str | None = None) -> None:
+    """Adds items to the store, in a folder of the writer and its batch.
 
-    The rebalance hint makes few, well-sized files per table partition, and lets
-    AQE split a table partition that is much larger than the others. Rows are
-    sorted by key, so Parquet statistics skip row groups of other keys.
+    Writers never touch each other's folders, so many can fill one store. A batch with a name of its own is replaced
+    when it is written again; without a name it is added. The rebalance hint makes few, well-sized files per table
+    partition, and lets AQE split a table partition that is much larger than the others. Rows are sorted by key, so
+    Parquet statistics skip row groups of other keys.
     """
     (
         with_date(items)
         .hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "pk", "event_time", "ingest_time")
-        .write.mode(mode)
+        .write.mode("overwrite")
         .partitionBy(*PARTITIONS)
-        .parquet(path)
+        .parquet(f"{path}/writer={writer}/batch={batch or uuid.uuid4().hex}")
     )
 
 
@@ -33,6 +39,13 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def settled(items: DataFrame) -> DataFrame:
+    """Items of the store with the partial rows of a key added up."""
+    measures = [*STORE_KPIS, "n_rec"]
+    keys = [c for c in items.columns if c not in (*measures, "writer", "batch", "event_date")]
+    return items.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+
 def current_items(items: DataFrame) -> DataFrame:
     """Items of an intake table as an upsert would leave them: per key, the one of the newest batch."""
     rest = [c for c in items.columns if c not in ("pk", "sk", "batch_id")]
@@ -40,9 +53,9 @@ def current_items(items: DataFrame) -> DataFrame:
     return items.groupBy("pk", "sk").agg(newest).select("pk", "sk", *[F.col("r")[c].alias(c) for c in rest])
 
 
-def publish(events: DataFrame) -> DataFrame:
-    """Records keyed by ``region#state``, for a sink that partitions by key."""
-    return events.select(F.concat_ws("#", "region", "state").alias("key"), F.to_json(F.struct("*")).alias("value"))
+def publish(events: DataFrame, *carried: str) -> DataFrame:
+    """Records in their wire form keyed by ``region#state``, for a sink that partitions by key."""
+    return events.select(*carried, F.concat_ws("#", "region", "state").alias("key"), F.to_json(event_record()).alias("value"))
 
 
 def write_by_place(events: DataFrame, path: str) -> None:

@@ -1,62 +1,40 @@
 """The rollups as streams.
 
-An arrival bucket is final once the newest arrival time has passed its end, so
-the watermark is on arrival time, without delay, and rows come out in append
-mode. Event time is a plain group key: an event that is late in event time
-opens another row and is never dropped.
+Readers of the store add up partial rows, so a stream need not wait until an arrival bucket is final: each micro-batch is
+rolled up by itself and stored at once. No watermark means that no event is too late, and there is no state to keep.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import zlib
+from collections.abc import Sequence
 
-from sluice.functions.time import period_seconds, step_seconds
-from sluice.operators.rollup import DIMENSIONS, rollup_rows, sums
-from sluice.schema import GRAINS, KPI_SUMS, NO_STATE, NO_STORE
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
+from sluice.operators.rollup import keyed, rollup_all
+from sluice.schema import GRAINS, PERIODS
+from sluice.sinks.store import write_store
+from sluice.streaming.delivery import start
 
-def minutes_stream(events: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Events per store, arrival minute and event minute.
 
-    Its table feeds the rollups of all periods, so the raw stream is read and
-    grouped only once however many rollups there are.
+def rollups_to_store(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    periods: Sequence[str] = tuple(PERIODS),
+    grains: Sequence[str] = tuple(GRAINS),
+    writer: str | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Stores the partial rollup rows of every micro-batch of events, exactly once.
+
+    All periods come from one pass over a batch. ``writer`` names the stream in the store and must be its own; by default
+    it follows from the checkpoint. A batch that is delivered again overwrites its own rows.
     """
-    return (
-        _watched(events, "PT1M", delay)
-        .groupBy("arrival", *DIMENSIONS, "event_sec")
-        .agg(*sums())
-        .select(
-            *DIMENSIONS,
-            *KPI_SUMS,
-            "n_rec",
-            F.col("arrival.start").alias("ingest_time"),
-            F.timestamp_seconds("event_sec").alias("event_time"),
-        )
-    )
-
-
-def rollup_stream(rows: DataFrame, period: str, from_minutes: bool = False, delay: str = "0 seconds") -> DataFrame:
-    """The three rollups of one period, from events or from rows of :func:`minutes_stream`."""
-    measures = sums(KPI_SUMS, F.col("n_rec")) if from_minutes else sums()
-    keys = ["arrival", "event_sec"]
-    grouped = (
-        _watched(rows, period, delay)
-        .groupingSets([[*keys, *dims] for dims in GRAINS.values()], *keys, *DIMENSIONS)
-        .agg(*measures, F.grouping("state").alias("no_state"), F.grouping("store_id").alias("no_store"))
-    )
-    no_state, no_store = F.col("no_state") == 1, F.col("no_store") == 1
-    grain: Column = F.when(no_state, "REGION").when(no_store, "STATE").otherwise("STORE")
-    state = F.when(no_state, NO_STATE).otherwise(F.col("state"))
-    store = F.when(no_store, NO_STORE).otherwise(F.col("store_id"))
-    return rollup_rows(grouped, grain, F.lit(period), state, store, F.col("arrival.start"))
-
-
-def _watched(rows: DataFrame, period: str, delay: str) -> DataFrame:
-    width = period_seconds(period)
-    return rows.withWatermark("ingest_time", delay).withColumns(
-        {
-            "arrival": F.window("ingest_time", f"{width} seconds"),
-            "event_sec": step_seconds(F.unix_seconds("event_time"), width),
-        }
-    )
+    name = writer or f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_store(keyed(rollup_all(batch, grains, periods)), path, name, f"b{batch_id}")
+
+    return start(events.writeStream.foreachBatch(store), checkpoint, every)

@@ -34,57 +34,30 @@ def feed(spark, small, tmp_path_factory):
     return path
 
 
-def closed(batch):
-    """Batch rows without the last arrival bucket, which a stream still holds open."""
-    last = batch.agg(F.max("ingest_time")).first()[0]
-    return batch.filter(F.col("ingest_time") < F.lit(last).cast("timestamp_ntz"))
-
-
-@pytest.mark.parametrize("period", list(PERIODS))
-def test_rollup_stream_equals_batch(spark, small, feed, tmp_path, period):
-    source = streams.typed_folder(spark, feed, files_per_batch=1)
-    out, check = str(tmp_path / "out"), str(tmp_path / "check")
-    delivery.to_table(rollups.rollup_stream(source, period), out, check).awaitTermination()
-    got = spark.read.parquet(out)
+def test_rollups_of_batches_out_of_order_lose_nothing(spark, small, tmp_path):
     events = tables.kpi_events(spark, small)
-    batch = closed(rollup_all(events, periods=[period]))
-    assert rows(got.select(batch.columns)) == rows(batch)
-    # a restart from the checkpoint adds nothing
-    n = got.count()
-    delivery.to_table(rollups.rollup_stream(source, period), out, check).awaitTermination()
-    assert spark.read.parquet(out).count() == n
-
-
-def test_cascade_from_minutes(spark, small, feed, tmp_path):
-    """Raw stream -> minutes table -> hourly rollups in the store."""
-    source = streams.typed_folder(spark, feed, files_per_batch=2)
-    fine = str(tmp_path / "fine")
-    delivery.to_table(rollups.minutes_stream(source), fine, str(tmp_path / "c1")).awaitTermination()
-    minute_rows = spark.read.parquet(fine)
-    last = minute_rows.agg(F.max("ingest_time")).first()[0]
-    source2 = spark.readStream.schema(minute_rows.schema).parquet(fine)
-    out = str(tmp_path / "store")
-    hourly = rollups.rollup_stream(source2, "PT1H", from_minutes=True)
-    delivery.to_store(hourly, out, str(tmp_path / "c2")).awaitTermination()
-    got = store.read_store(spark, out)
-    events = tables.kpi_events(spark, small)
-    batch = keyed(rollup_all(events)).filter(F.col("period") == "PT1H")
-    hour = F.date_trunc("hour", F.lit(last)).cast("timestamp_ntz")
-    want = batch.filter(F.col("ingest_time") < hour)
-    assert want.count() > 100
-    assert rows(got.select(want.columns)) == rows(want)
-
-
-def test_late_events_open_more_rows(spark, feed, tmp_path):
-    source = streams.typed_folder(spark, feed, files_per_batch=1)
-    out = str(tmp_path / "out")
-    delivery.to_table(rollups.rollup_stream(source, "PT1H"), out, str(tmp_path / "c")).awaitTermination()
-    region = spark.read.parquet(out).filter("type = 'BY_REGION_PT1H'")
-    partial = region.groupBy("region", "event_time").count().filter("count > 1").count()
-    assert partial > 0
-    events = spark.read.parquet(feed)
-    last = events.agg(F.date_trunc("hour", F.max("ingest_time"))).first()[0]
-    assert region.agg(F.sum("n_rec")).first()[0] == events.filter(F.col("ingest_time") < F.lit(last)).count()
+    path, out, check = (str(tmp_path / n) for n in ("in", "store", "check"))
+    mixed = events.orderBy(F.xxhash64("event_id")).collect()
+    for k in range(0, len(mixed), 300):
+        spark.createDataFrame(mixed[k : k + 300], events.schema).coalesce(1).write.mode("append").parquet(path)
+    source = streams.typed_folder(spark, path, files_per_batch=1)
+    for _ in range(2):  # a restart from the checkpoint adds nothing
+        rollups.rollups_to_store(source, out, check, ["PT1H"]).awaitTermination()
+        stored = store.read_store(spark, out)
+        assert stored.filter("grain = 'STORE'").agg(F.sum("n_rec")).first()[0] == events.count()
+        want = keyed(rollup_all(events, periods=["PT1H"]))
+        assert rows(store.settled(stored).select(want.columns)) == rows(want)
+    assert stored.count() > want.count()  # partial rows, from more than one batch
+
+
+def test_writers_share_a_store(spark, small, feed, tmp_path):
+    events, out = tables.kpi_events(spark, small), str(tmp_path / "store")
+    for period in ("PT1H", "PT10M"):
+        source = streams.typed_folder(spark, feed, files_per_batch=4)
+        rollups.rollups_to_store(source, out, str(tmp_path / period), [period]).awaitTermination()
+    store.write_store(keyed(rollup_all(events, periods=["PT1M"])), out)
+    want = keyed(rollup_all(events))
+    assert rows(store.settled(store.read_store(spark, out)).select(want.columns)) == rows(want)
 
 
 def test_json_events_from_a_folder(spark, tmp_path):
@@ -147,6 +120,9 @@ def check_intake(spark, base):
     dead = spark.read.parquet(f"{base}/dead")
     assert [(r.pk, r.sk.split("#")[0]) for r in dead.collect()] == [("SOUTH", "UNK")] * 2
     stats = {(r.stat, r.key): r.n for r in spark.read.parquet(f"{base}/stats").collect()}
+    aside = spark.read.parquet(f"{base}/dead_quarantine")
+    assert items.count() + dead.count() + aside.count() == len(RECORDS)
+    assert {r.data for r in aside.filter("reason = 'bad_payload'").collect()} == set(RECORDS[-2:])
     assert stats[("total", "all")] == 11 and stats[("total", "ok")] == 3 and stats[("total", "err")] == 8
     assert stats[("grain", "REGION")] == 2 and stats[("region", "SOUTH")] == 2
     assert stats[("period", "UNK")] == 2 and stats[("period", "PT1M")] == 2
@@ -208,6 +184,8 @@ def test_store_sinks(spark, small, tmp_path):
     assert rows(store.read_store(spark, path).select(items.columns)) == rows(items)
     store.purge(spark, path)
     assert store.read_store(spark, path).count() == 0
+    raw = store.publish(events).select("value", F.lit(None).cast("timestamp").alias("arrival"))
+    assert streams.parse_events(raw).filter("bad_record is null").count() == events.count()
     published = store.publish(events).first()
     assert published.key == "#".join(json.loads(published.value)[k] for k in ("region", "state"))
     store.write_by_place(events, str(tmp_path / "place"))
