@@ -17,11 +17,8 @@ The replay decides in rounds, from bounds:
   which the next chunks take their starting bounds. There are at most two tails
   per chunk, so that table is bounded by the number of partitions.
 
-* Bounds decide most commands at once, but where money is short each decision may
-  hang on the one before. So every round after the first also applies the earliest
-  open legs of all accounts one by one, in one task, up to a fixed number. This is
-  exact as well, needs bounded memory, and makes sure that a round gets on by that
-  number at least.
+The earliest open command always has exact bounds, so every round gets on. Rounds are as many as the longest chain of
+commands that hang on each other's outcome; no round runs in fewer tasks than it has chunks.
 """
 
 from __future__ import annotations
@@ -43,8 +40,6 @@ SAME_ACCOUNT = "Same source and destination accounts not allowed"
 UNKNOWN_ACCOUNT = "No account data found"
 TOO_LITTLE = "Insufficient balance"
 
-STEP_LEGS = 250_000  # open legs that one task applies one by one in each round
-
 NO_BOUND = 4 * 10**18  # cents; above any balance, with room to add without overflow
 LAST = 2**63 - 1  # sorts a tail behind all legs of its account
 UNSET = -(2**63)  # in place of starting bounds: the account starts in this chunk
@@ -81,11 +76,12 @@ def check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
     return joined.withColumn("reason", static_reason(known)).drop("src_key", "dst_key")
 
 
-def replay(
-    commands: DataFrame, accounts: DataFrame, partitions: int | None = None, step_legs: int = STEP_LEGS
-) -> DataFrame:
+def replay(commands: DataFrame, accounts: DataFrame, partitions: int | None = None) -> DataFrame:
     """All commands with ``accepted`` and ``reason``, as applied in (ts, cmd_id) order.
 
+    Every round decides at least the earliest open command, and in practice most that no other open command bears on;
+    the number of rounds follows the longest chain of commands that hang on each other's outcome.
+
     Runs its Spark jobs at once; the outcome of each is a table in the shared
     scratch folder, which also holds the result.
     """
@@ -96,20 +92,15 @@ def replay(
         {"before": F.lit(0).cast("bigint"), **_no_bounds()}
     )
     done = _run(first, _fold(first_round=True), base, 1)
-    for step in count(2, 2):
-        open_legs, open_debits = _count_open(done)
-        if open_debits == 0:
-            break
-        rows = _open_rows(done)
-        early = _is_early(done, step_legs, open_legs)
-        is_tail = F.col("side") == 0
-        last = open_legs <= step_legs
-        settled = _run(_in_one_task(rows.filter(early | is_tail)), _settle(last), base, step)
-        if last:
+    before = None
+    for step in count(2):
+        still_open = _count_open(done)
+        if still_open[1] == 0:
             break
-        late = rows.filter(~early | is_tail)
-        known = settled.filter("kind = 'leg'").select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
-        done = _run(_in_chunks(late.unionByName(known), _tails(done)), _fold(first_round=False), base, step + 1)
+        if still_open == before:
+            raise RuntimeError(f"a round of the replay decided none of {still_open[1]} open commands")
+        before = still_open
+        done = _run(_in_chunks(_open_rows(done), _tails(done)), _fold(first_round=False), base, step)
     decided = (
         spark.read.schema(f"{OUT}, step int")
         .parquet(base)
@@ -155,36 +146,6 @@ def _count_open(done: DataFrame) -> tuple[int, int]:
     return tuple(_open(done).agg(F.count("*"), F.count_if(F.col("side") < 0)).first())
 
 
-def _is_early(done: DataFrame, wanted: int, total: int) -> Column:
-    """Condition that picks about ``wanted`` open legs, the earliest ones; both legs of a transfer or none."""
-    if total <= wanted:
-        return F.lit(True)
-    if wanted <= 0:
-        return F.lit(False)
-    at = F.col("at")
-    until, before, same = _cut(_open(done), "at", wanted, total)
-    if before + same <= 2 * wanted:
-        return at <= until
-    # Very many commands have the same time: cut within it, by command.
-    last, _, _ = _cut(_open(done).filter(at == until), "cmd_id", max(wanted - before, 1), same)
-    return (at < until) | ((at == until) & (F.col("cmd_id") <= last))
-
-
-def _cut(legs: DataFrame, column: str, wanted: int, total: int, accuracy: int = 10_000) -> tuple[int, int, int]:
-    """A value with about ``wanted`` legs below it, never more than twice as many; how many are below, and equal.
-
-    The approximate percentile may be off by ``total / accuracy``, so its outcome
-    is counted, and refined among the legs below it for as long as those are too many.
-    """
-    value = F.col(column)
-    while True:
-        cut = legs.agg(F.percentile_approx(column, min(wanted / total, 1.0), accuracy)).first()[0]
-        below, equal = legs.agg(F.count_if(value < cut), F.count_if(value == cut)).first()
-        if below <= 2 * wanted:
-            return cut, below, equal
-        legs, total = legs.filter(value < cut), below
-
-
 def _tails(done: DataFrame) -> DataFrame:
     return done.filter("kind = 'tail'")
 
@@ -216,15 +177,6 @@ def _in_chunks(rows: DataFrame, tails: DataFrame) -> DataFrame:
     )
 
 
-def _in_one_task(rows: DataFrame) -> DataFrame:
-    """A bounded number of rows in order of time, tails first."""
-    return (
-        rows.withColumns(_no_bounds())
-        .repartition(1)
-        .sortWithinPartitions(F.col("side") != 0, "at", "cmd_id", "side", "chunk")
-    )
-
-
 def _starts(tails: DataFrame) -> DataFrame:
     """Bounds on an account's balance at the start of each of its chunks.
 
@@ -356,33 +308,6 @@ def _fold(first_round: bool):
     return run
 
 
-def _settle(last: bool):
-    """Applies the earliest open legs one by one. Unless these are the last, each goes on as a sure leg."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        balance, tails, accepted, out = {}, {}, {}, _Output()
-        for batch in batches:
-            for chunk, acc, at, cmd, side, amount, opening, before, sure, _lo, _hi in _rows(batch):
-                if side == 0:
-                    tails.setdefault(acc, []).append((chunk, before))
-                    continue
-                now = balance.get(acc, opening) + before
-                while tails.get(acc) and tails[acc][0][0] < chunk:
-                    now += tails[acc].pop(0)[1]
-                if side < 0:
-                    accepted[cmd] = now >= amount
-                    moved = -amount if accepted[cmd] else 0
-                    out.verdicts[accepted[cmd]].append(cmd)
-                else:
-                    moved = amount if sure or accepted[cmd] else 0
-                balance[acc] = now + moved
-                if not last:
-                    out.legs.append((chunk, acc, at, cmd, 1, moved, opening, before))
-            yield from out.batches()
-
-    return run
-
-
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:
     """Commands with their verdicts; one that never became a leg was rejected statically."""
     known = F.col("accepted").isNotNull()

@@ -6,14 +6,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
 from sluice.operators import scan
 from sluice.operators.rollup import keyed, rollup, rollup_all
+from sluice.plans import registry
 from sluice.sinks import store
 from sluice.sources.tables import kpi_events
 
 EAGER = {"account_replay", "transfer_replay", "postings", "statement", "statement_compat", "balances"}
-QUERIES = entry_module.queries()
+QUERIES = registry.queries()
 
 
 def plan(df) -> str:
