@@ -32,28 +32,34 @@ WINDOW = 20
 PART = 200
 #: Least entropy, in bits a character, that makes a secret of a candidate: by character class.
 THRESHOLDS = {"hex": 3.05, "letters": 4.05, "mixed": 3.65}
-#: Candidates that are known to be something else: dashed ids, paths and slugs of plain words, and placeholders.
+#: Candidates that are known to be something else: dashed ids and placeholders, and paths and slugs, which are letters
+#: between separators without a run of ``LONG_WORD``. No pattern repeats a group, so a very long candidate neither
+#: deepens the matcher's stack nor makes it go back over the text.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"^[/_=-]*[A-Za-z]{1,19}([/_=-]+[A-Za-z]{0,19})*$",
     r"(?i)(example|placeholder|xxxxxx|000000|abcdefghij|0123456789)",
 )
+SLUG = r"^[A-Za-z/_=-]+$"
+LETTER = r"[A-Za-z]"
+LONG_WORD = r"[A-Za-z]{20}"
 MASK = "[SECRET]"
 
 MATCH = "array<struct<kind:int,k:int,gap:int,size:int,value:string>>"
 
 
 def _matches(text: Column, kind: int, pattern: str) -> Column:
+    """Every match with its number and the length of what lies before it. Arrays are put side by side once and then gone
+    through, so that the work grows with the text and not with the text for each match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == 0 else found
-
-    def one(m: Column, k: Column) -> Column:
-        value = F.get(values, k) if kind in (0, 3) else F.lit(None).cast("string")
-        return F.struct(F.lit(kind).alias("kind"), k.alias("k"), F.length(F.get(gaps, k)).alias("gap"), F.length(m).alias("size"), value.alias("value"))
-
+    sized = F.zip_with(found, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")))
+    # What follows the last match is a gap without one.
+    sized = F.filter(sized, lambda s: s["size"].isNotNull())
+    valued = F.zip_with(sized, values, lambda s, v: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), (v if kind in (0, 3) else F.lit(None).cast("string")).alias("value")))
+    numbered = F.transform(valued, lambda s, k: F.struct(F.lit(kind).alias("kind"), k.alias("k"), s["gap"].alias("gap"), s["size"].alias("size"), s["value"].alias("value")))
     there = text.rlike(pattern) if kind != 1 else text.contains("AKIA") & text.rlike(pattern)
-    return F.when(there, F.transform(found, one)).otherwise(F.array().cast(MATCH))
+    return F.when(there, numbered).otherwise(F.array().cast(MATCH))
 
 
 def entropy(part: Column) -> Column:
@@ -89,10 +95,10 @@ def is_secret(value: Column, largest: Column) -> Column:
     """Whether the entropy reaches the threshold of the value's class and the allow-list is silent."""
     kind = class_of(value)
     least = F.when(kind == "hex", THRESHOLDS["hex"]).when(kind == "mixed", THRESHOLDS["mixed"]).otherwise(THRESHOLDS["letters"])
-    allowed = F.lit(False)
+    allowed = value.rlike(SLUG) & value.rlike(LETTER) & ~value.rlike(LONG_WORD)
     for pattern in ALLOWED:
         allowed = allowed | value.rlike(pattern)
-    return (largest >= least) & ~allowed
+    return ~allowed & (largest >= least)
 
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,25 +123,28 @@ def per_document(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return spans(docs, key, text).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "kind", "end"))).alias("spans"))
 
 
+def stretches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``row``, ``first`` and ``end`` of every stretch that spans cover together, and ``next``, where the next one begins."""
+    order = Window.partitionBy("row").orderBy("first", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(reached >= F.col("first"), 0).otherwise(1)
+    numbered = spans(docs, key, text).select("row", "first", "end", opens.alias("opens"))
+    numbered = numbered.withColumn("stretch", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = numbered.groupBy("row", "stretch").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+    return joined.select("row", "first", "end", F.lead("first").over(Window.partitionBy("row").orderBy("first")).alias("next"))
+
+
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", mask: str = MASK, chars: str = "n_chars") -> DataFrame:
     """All documents with their own columns; each stretch of a text that spans cover is replaced by ``mask``."""
-    found = per_document(docs, key, text).select(F.col("row").alias("masked_row"), F.col("spans").alias("masked_spans"))
+    found = stretches(docs, key, text).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "end", "next"))).alias("spans"))
+    found = found.select(F.col("row").alias("masked_row"), F.col("spans").alias("masked_spans"))
     row = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
     joined = docs.join(found, row.eqNullSafe(F.col("masked_row")), "left")
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.struct(last["first"].alias("first"), F.greatest(last["end"], s["end"]).alias("end"))
-        meets = s["first"] <= last["end"]
-        return F.concat(F.slice(done, 1, F.size(done) - F.when(meets, 1).otherwise(0)), F.array(F.when(meets, longer).otherwise(F.struct(s["first"].alias("first"), s["end"].alias("end")))))
-
-    empty = F.array(F.struct(F.lit(0).alias("first"), F.lit(0).alias("end")))
-    merged = F.aggregate("masked_spans", empty, merge)
+    # Each piece is the mask and what follows it up to the next stretch; the text's begin comes before them.
+    pieces = F.transform("masked_spans", lambda s: F.concat(F.lit(mask), F.substring(F.col(text), s["end"] + 1, F.coalesce(s["next"], F.length(text)) - s["end"])))
     own = F.col(text)
-    pieces = F.transform(merged, lambda s, k: F.concat(
-        F.when(s["end"] > s["first"], F.lit(mask)).otherwise(""),
-        F.substring(own, s["end"] + 1, F.coalesce(F.get(merged, k + 1)["first"], F.length(own)) - s["end"]),
-    ))
+    pieces = F.concat(F.array(F.substring(own, F.lit(1), F.get("masked_spans", F.lit(0))["first"])), pieces)
     hidden = F.when(F.col("masked_spans").isNotNull(), F.array_join(pieces, "")).otherwise(own)
     columns = [hidden.alias(text) if c == text else F.col(c) for c in docs.columns]
     out = joined.select(*columns)
@@ -168,7 +177,8 @@ def _oracle() -> str:
         f"SELECT doc_id, {k} AS kind, string_split_regex(t, $p${p}$p$) AS gaps, regexp_extract_all(t, $p${p}$p$, 0) AS found, regexp_extract_all(t, $p${p}$p$, {2 if k == 0 else 0}) AS vals FROM d"
         for k, p in patterns.items()
     )
-    allowed = " OR ".join(f"regexp_matches(value, $p${p}$p$)" for p in ALLOWED)
+    slug = f"regexp_matches(value, $p${SLUG}$p$) AND regexp_matches(value, $p${LETTER}$p$) AND NOT regexp_matches(value, $p${LONG_WORD}$p$)"
+    allowed = " OR ".join([f"({slug})", *(f"regexp_matches(value, $p${p}$p$)" for p in ALLOWED)])
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({found}),
 one AS (

@@ -335,3 +335,16 @@ def _merged(spans):
         else:
             out.append((a, b))
     return out
+
+
+def test_secrets_of_very_long_candidates_and_many_matches(spark):
+    """A long slug of many parts is no secret; dashes before a digit do not make the scan go back over them."""
+    slug, dashes = "ab-cdefgh_ij/klmnopqr-stuvwxyz-" * 2000, "qwrtzpsdfgkhlmxvbnc" + "-" * 60 + "tuvw1"
+    many = " ".join(f"token={k:012d}x kept" for k in range(2000))
+    docs = spark.createDataFrame([(1, slug), (2, dashes), (3, many)], "doc_id long, text string")
+    got = by_id(secrets.contract(docs))
+    assert got[1]["spans"] == "" and got[2]["spans"] == "entropy:0:84"
+    assert got[3]["n_assign"] == 2000 and got[3]["spans"].split(",")[1] == "assign:25:44"
+    masked = by_id(secrets.mask(docs))
+    assert masked[1]["text"] == slug and masked[2]["text"] == secrets.MASK
+    assert masked[3]["text"] == " ".join([f"{secrets.MASK} kept"] * 2000)
