@@ -10,8 +10,9 @@ give a weight are averaged and handed on, for ``ROUNDS`` rounds. The averaging r
 Scoring is one pass over all whole texts without a shuffle.
 
 Edge cases: a null or empty text has no feature and scores the learned intercept. Labels that are null, or whose id is
-null, teach nothing. Without any label every score is 1/11. A label row that is there several times, or contradicts
-another, counts each time. Other columns are never read.
+null, teach nothing. Without any label every score is 1/11. An id whose labels contradict each other teaches their mean,
+and one that is there several times, however often, teaches once, by the text whose coordinates come first as bytes.
+Thus a repeated id makes neither the sample nor a learner's share larger. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -90,7 +91,8 @@ class Ftrl:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
     """Coordinates and weights that are not zero, and the intercept."""
     spark = docs.sparkSession
-    usable = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out("id"))
+    known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out("id"))
+    usable = known.groupBy("id").agg(F.avg("y").alias("y"))
     there = usable.count()
     if not there:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), float(np.log(0.1))
@@ -108,10 +110,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                 done += len(part)
 
     kind = docs.schema[key].dataType.simpleString()
-    described_rows = rows.mapInArrow(described, f"id {kind}, y int, ids binary").withColumns(
+    described_rows = rows.mapInArrow(described, f"id {kind}, y double, ids binary")
+    # Map-side too, so that a repeated id leaves each task once.
+    once = described_rows.groupBy("id").agg(F.min("y").alias("y"), F.min("ids").alias("ids")).withColumns(
         {"learner": F.pmod(F.xxhash64("id", F.lit(11)), F.lit(LEARNERS)).cast("int"), "turn": F.xxhash64("id", F.lit(13))}
     )
-    stored = through_table(described_rows, scratch_folder(spark, "toxicity"))
+    stored = through_table(once, scratch_folder(spark, "toxicity"))
     state = Ftrl.fresh()
     for _ in range(ROUNDS):
         state = _round(spark, stored, state)

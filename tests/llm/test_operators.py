@@ -71,6 +71,17 @@ def test_toxicity_on_the_held_out_fold(spark, medium):
     assert np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad]) > 0.8
 
 
+def test_toxicity_learns_once_from_repeated_rows(spark):
+    docs = spark.createDataFrame([(k, f"word{k % 7} {'bad' if k % 2 else 'good'} text {k}") for k in range(200)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    plain = {r["doc_id"]: r["score"] for r in toxicity.contract(docs, labels).collect()}
+    hot = docs.where("doc_id = 3").selectExpr("*", "explode(sequence(1, 500)) as copy").drop("copy")
+    again = labels.where("doc_id = 3").selectExpr("*", "explode(sequence(1, 500)) as copy").drop("copy")
+    repeated = toxicity.contract(docs.unionByName(hot), labels.unionByName(again)).collect()
+    assert len(repeated) == 700 and {r["doc_id"]: r["score"] for r in repeated} == plain
+    assert min(v for k, v in plain.items() if k % 2) > max(v for k, v in plain.items() if k % 2 == 0)
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.sql("select * from values (1, 1), (2, 0), (2, null), (null, 1), (4, 0) t(doc_id, toxic)")
     scores = toxicity.contract(odd, labels).collect()
