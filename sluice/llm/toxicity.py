@@ -110,11 +110,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                 done += len(part)
 
     kind = docs.schema[key].dataType.simpleString()
-    described_rows = rows.mapInArrow(described, f"id {kind}, y double, ids binary")
-    # Map-side too, so that a repeated id leaves each task once.
-    once = described_rows.groupBy("id").agg(F.min("y").alias("y"), F.min("ids").alias("ids")).withColumns(
-        {"learner": F.pmod(F.xxhash64("id", F.lit(11)), F.lit(LEARNERS)).cast("int"), "turn": F.xxhash64("id", F.lit(13))}
-    )
+    # Ids alone are read to find those that are there again; features are shuffled for these only.
+    met = docs.select(F.col(key).alias("id")).join(chosen.select("id"), "id").groupBy("id").agg(F.count("*").alias("rows"))
+    again = F.broadcast(through_table(met.where("rows > 1").select("id"), scratch_folder(spark, "repeated")))
+    columns = f"id {kind}, y double, ids binary"
+    once = rows.join(again, "id", "left_anti").select("id", "y", "text").mapInArrow(described, columns)
+    if not again.isEmpty():
+        several = rows.join(again, "id", "left_semi").select("id", "y", "text").mapInArrow(described, columns)
+        once = once.unionByName(several.groupBy("id").agg(F.min("y").alias("y"), F.min("ids").alias("ids")))
+    once = once.withColumns({"learner": F.pmod(F.xxhash64("id", F.lit(11)), F.lit(LEARNERS)).cast("int"), "turn": F.xxhash64("id", F.lit(13))})
     stored = through_table(once, scratch_folder(spark, "toxicity"))
     state = Ftrl.fresh()
     for _ in range(ROUNDS):
