@@ -111,9 +111,10 @@ def referenced_accounts(commands: DataFrame) -> DataFrame:
 
 def open_accounts(creations: DataFrame) -> DataFrame:
     """Accounts as last created: a later creation of the same id overwrites, and is counted."""
-    last = F.max_by(F.col("init_balance"), F.struct("ts", "cmd_id"))
-    return creations.groupBy("acc_id").agg(
-        last.alias("balance"), F.lit(CREDIT).alias("indicator"), F.count("*").alias("n_creations")
+    # Two steps with fixed-width state, so that both are hash aggregations.
+    of_time = creations.groupBy("acc_id", "ts").agg(F.max_by("init_balance", "cmd_id").alias("init_balance"), F.count("*").alias("n"))
+    return of_time.groupBy("acc_id").agg(
+        F.max_by("init_balance", "ts").alias("balance"), F.lit(CREDIT).alias("indicator"), F.sum("n").alias("n_creations")
     )
 
 

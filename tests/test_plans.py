@@ -25,7 +25,7 @@ def test_no_cross_joins_and_no_row_at_a_time_python(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    assert "SortAggregate" not in text or name == "open_accounts"
+    assert "SortAggregate" not in text
 
 
 def test_single_rollup_is_one_shuffle(spark, small):
