@@ -43,7 +43,7 @@ def test_all_rollups_read_the_events_once(spark, small):
 
 
 def test_served_queries_read_the_events_once(spark, small):
-    for name in ("dashboard_totals", "kpi_day_month"):
+    for name in ("dashboard_totals", "kpi_day_month", "kpi_day_month_compat"):
         assert plan(QUERIES[name](spark, small)).count("FileScan parquet") == 1
 
 
