@@ -5,13 +5,14 @@ number of coordinates. Each coordinate has its own learning rate and an L1 penal
 exactly zero; the rest, a few thousand numbers, are what the scoring tasks get.
 
 Learning takes a sample of labelled rows, about ``SAMPLE_ROWS`` of them and chosen by a hash of their ids, however many
-there are. The sample is dealt to ``LEARNERS`` tasks that learn side by side; the states of the coordinates to which they
-give a weight are averaged and handed on, for ``ROUNDS`` rounds. The averaging runs in Spark and what reaches the driver is bounded by ``DIMENSIONS``.
-Scoring is one pass over all whole texts without a shuffle.
+there are. The sample is dealt to ``LEARNERS`` tasks that learn side by side; their states are averaged over every coordinate
+that one of them has touched, whether it has a weight yet or not, and handed on, for ``ROUNDS`` rounds. What travels is the
+change since the round began, in ranges of ``RANGE`` coordinates. The averaging runs in Spark and what reaches the driver is
+bounded by ``DIMENSIONS``. Scoring is one pass over all whole texts without a shuffle.
 
 Edge cases: a null or empty text has no feature and scores the learned intercept. Labels that are null, or whose id is
 null, teach nothing. Without any label every score is 1/11. An id whose labels contradict each other teaches their mean,
-and one that is there several times, however often, teaches once, by the text whose coordinates come first as bytes.
+and one that is there several times, however often, teaches once, by the text whose coordinates as stored come first as bytes.
 Thus a repeated id makes neither the sample nor a learner's share larger. Other columns are never read.
 """
 
@@ -29,6 +30,10 @@ from sluice.llm import words
 from sluice.session import scratch_folder, through_table
 
 DIMENSIONS = 1 << 22
+#: Coordinates of a range, so that a place in one has 16 bits.
+RANGE = 1 << 16
+#: What stands for a step of so many coordinates without one.
+FAR = 0xFFFF
 #: Expected size of the sample that the model is learned from.
 SAMPLE_ROWS = 10_000
 LEARNERS = 4
@@ -36,6 +41,8 @@ ROUNDS = 4
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 1.0
 FOLDS = 5
+#: Setting by which a query's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def held_out(key: str = "doc_id"):
@@ -64,6 +71,38 @@ def features(texts: pa.Array) -> list[np.ndarray]:
     return [code[begin[k] : begin[k + 1]] for k in range(n)]
 
 
+def stored_ids(codes: np.ndarray) -> bytes:
+    """Ordered coordinates as 16-bit steps, half the size of the numbers themselves."""
+    far, near = np.divmod(np.diff(codes, prepend=0), FAR)
+    out = np.full(len(codes) + int(far.sum()), FAR, "<u2")
+    out[np.arange(len(codes)) + np.cumsum(far)] = near
+    return out.tobytes()
+
+
+def read_ids(raw: bytes) -> np.ndarray:
+    """The coordinates again."""
+    steps = np.frombuffer(raw, "<u2")
+    return np.cumsum(steps, dtype=np.int32)[steps != FAR]
+
+
+def packed(z: np.ndarray, n: np.ndarray) -> bytes:
+    """A range's numbers without loss: which coordinates have any, and the different pairs, of which words of one text
+    share one."""
+    met = np.zeros(RANGE, bool)
+    met[: len(z)] = (z != 0) | (n != 0)
+    at = np.flatnonzero(met)
+    pairs, code = np.unique(np.stack([z[at], n[at]], axis=1).astype(np.float32).view(np.uint64).ravel(), return_inverse=True)
+    return np.packbits(met).tobytes() + code.astype("<u2").tobytes() + pairs.tobytes()
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the range and their numbers."""
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, RANGE // 8)))
+    code = np.frombuffer(raw, "<u2", len(at), RANGE // 8)
+    pairs = np.frombuffer(raw, np.float32, offset=RANGE // 8 + 2 * len(at)).reshape(-1, 2)[code]
+    return at, pairs[:, 0], pairs[:, 1]
+
+
 class Ftrl:
     """State of the learner: for each coordinate the adjusted sum of gradients and the sum of their squares."""
 
@@ -74,6 +113,18 @@ class Ftrl:
     def fresh(cls) -> Ftrl:
         return cls(np.zeros(DIMENSIONS + 1, np.float32), np.zeros(DIMENSIONS + 1, np.float32))
 
+    def ranges(self) -> Iterator[tuple[int, bytes]]:
+        """Number and packed content of each range that has any."""
+        for k in range(0, DIMENSIONS + 1, RANGE):
+            z, n = self.z[k : k + RANGE], self.n[k : k + RANGE]
+            if z.any() or n.any():
+                yield k // RANGE, packed(z, n)
+
+    def add(self, k: int, raw: bytes, share: int = 1) -> None:
+        at, z, n = unpacked(raw)
+        self.z[k * RANGE + at] += z / np.float32(share)
+        self.n[k * RANGE + at] += n / np.float32(share)
+
     def weights(self, at: np.ndarray) -> np.ndarray:
         z, n = self.z[at], self.n[at]
         penalty = np.where(at == DIMENSIONS, np.float32(0), np.float32(L1))  # the intercept is free
@@ -104,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         for batch in batches:
             done = 0
             for part in words.slices(batch.column(2)):
-                ids = [x.tobytes() for x in features(part)]
+                ids = [stored_ids(x) for x in features(part)]
                 own = batch.slice(done, len(part))
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(ids, pa.binary())], ["id", "y", "ids"])
                 done += len(part)
@@ -120,9 +171,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         once = once.unionByName(several.groupBy("id").agg(F.min("y").alias("y"), F.min("ids").alias("ids")))
     once = once.withColumns({"learner": F.pmod(F.xxhash64("id", F.lit(11)), F.lit(LEARNERS)).cast("int"), "turn": F.xxhash64("id", F.lit(13))})
     stored = through_table(once, scratch_folder(spark, "toxicity"))
-    state = Ftrl.fresh()
-    for _ in range(ROUNDS):
-        state = _round(spark, stored, state)
+    state, before = Ftrl.fresh(), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, True)  # what a round has shuffled is of no use to the next
+    try:
+        for _ in range(ROUNDS):
+            state = _round(spark, stored, state)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     every = np.arange(DIMENSIONS + 1)
     weights = state.weights(every).astype(np.float32)
     used = np.flatnonzero(weights[:-1]).astype(np.int32)
@@ -131,32 +186,39 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
 def _round(spark: SparkSession, rows: DataFrame, start: Ftrl) -> Ftrl:
     """All learners go on from the same state; the mean of theirs is the next."""
-    used = np.flatnonzero(start.n)
-    begin = spark.sparkContext.broadcast((used, start.z[used], start.n[used]))  # at most DIMENSIONS numbers
+    begin = spark.sparkContext.broadcast(list(start.ranges()))  # at most DIMENSIONS numbers
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        state, (at, z, n) = Ftrl.fresh(), begin.value
-        state.z[at], state.n[at] = z, n
+        state, old = Ftrl.fresh(), Ftrl.fresh()
+        for k, raw in begin.value:
+            state.add(k, raw)
+            old.add(k, raw)
+        learner = int(group["learner"].iloc[0])
         group = group.sort_values(["turn", "y"])
-        docs = [np.append(np.frombuffer(ids, np.int32), DIMENSIONS) for ids in group["ids"]]
+        docs = [np.append(read_ids(ids), np.int32(DIMENSIONS)) for ids in group["ids"]]
         for _ in range(EPOCHS):
             for at, y in zip(docs, group["y"], strict=True):
                 state.learn(at, float(y))
-        # What has no weight here weighs nothing in the mean either, and need not travel.
-        at = np.append(np.flatnonzero(np.abs(state.z[:-1]) > L1), DIMENSIONS)
-        return pd.DataFrame({"at": at.astype(np.int32), "z": state.z[at].astype(float), "n": state.n[at].astype(float)})
-
-    mean = (
-        rows.groupBy("learner").applyInPandas(learn, "at int, z double, n double")
-        .groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        # A coordinate whose mean stays inside the penalty has no weight, and is as good as not met.
-        .where((F.abs("z") > L1 * LEARNERS) | (F.col("at") == DIMENSIONS))
-        .select("at", F.col("z").cast("float"), F.col("n").cast("float"))
+        # Both add up below the penalty as well, so all that has changed travels.
+        changed = Ftrl(state.z - old.z, state.n - old.n)
+        return pd.DataFrame([(k, learner, raw) for k, raw in changed.ranges()], columns=["range", "learner", "content"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros((2, RANGE))
+        for raw in group.sort_values("learner")["content"]:
+            at, *own = unpacked(raw)
+            total[:, at] += own
+        return pd.DataFrame([(group["range"].iloc[0], packed(*total))], columns=["range", "content"])
+
+    changes = (
+        rows.groupBy("learner").applyInPandas(learn, "range int, learner int, content binary")
+        .groupBy("range").applyInPandas(add, "range int, content binary")
         .toPandas()
     )
-    begin.unpersist()
-    state = Ftrl.fresh()
-    state.z[mean["at"]], state.n[mean["at"]] = mean["z"] / LEARNERS, mean["n"] / LEARNERS
+    begin.destroy()  # its files on the executors as well
+    state = Ftrl(start.z.copy(), start.n.copy())
+    for row in changes.itertuples():
+        state.add(row.range, row.content, LEARNERS)
     return state
 
 

@@ -82,6 +82,44 @@ def test_toxicity_learns_once_from_repeated_rows(spark):
     assert min(v for k, v in plain.items() if k % 2) > max(v for k, v in plain.items() if k % 2 == 0)
 
 
+def plain_rounds(spark, docs, labels):
+    """The mean of all learners' whole states, round by round."""
+    import pyarrow as pa
+
+    known = labels.join(docs, "doc_id").where(~toxicity.held_out())
+    dealt = known.select("toxic", "text", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(toxicity.LEARNERS)).alias("learner"), F.xxhash64("doc_id", F.lit(13)).alias("turn"))
+    rows = sorted(dealt.collect(), key=lambda r: r["turn"])
+    ids = [np.append(x, toxicity.DIMENSIONS) for x in toxicity.features(pa.array([r["text"] for r in rows]))]
+    z, n = np.zeros(toxicity.DIMENSIONS + 1), np.zeros(toxicity.DIMENSIONS + 1)
+    for _ in range(toxicity.ROUNDS):
+        ends = []
+        for k in range(toxicity.LEARNERS):
+            state = toxicity.Ftrl(z.astype(np.float32), n.astype(np.float32))
+            for _ in range(toxicity.EPOCHS):
+                for at, r in zip(ids, rows, strict=True):
+                    if r["learner"] == k:
+                        state.learn(at, float(r["toxic"]))
+            ends.append(state)
+        z, n = (np.mean([getattr(s, name).astype(float) for s in ends], axis=0) for name in "zn")
+    return toxicity.Ftrl(z, n).weights(np.arange(toxicity.DIMENSIONS + 1))
+
+
+def test_toxicity_adds_up_below_the_penalty(spark):
+    """Words that are too rare for a weight in one round, and words of one learner alone, have one after all rounds."""
+    docs = spark.createDataFrame([(k, f"word{k % 7} {f'bad{k % 12}' if k % 3 == 0 else 'good'} text {k}") for k in range(240)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic")
+    used, weights, intercept = toxicity.train(docs, labels)
+    want = plain_rounds(spark, docs, labels)
+    got = np.zeros_like(want)
+    got[used], got[-1] = weights, intercept
+    assert np.allclose(got, want, atol=1e-3) and set(used) == set(np.flatnonzero(np.abs(want[:-1])))
+
+
+def test_toxicity_coordinates_as_steps():
+    for codes in ([], [0], [toxicity.FAR], [3, 4, 65538, 65539, 200_000, toxicity.DIMENSIONS - 1]):
+        assert toxicity.read_ids(toxicity.stored_ids(np.array(codes, np.int32))).tolist() == codes
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.sql("select * from values (1, 1), (2, 0), (2, null), (null, 1), (4, 0) t(doc_id, toxic)")
     scores = toxicity.contract(odd, labels).collect()
