@@ -18,8 +18,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest id stays."""
-    return neardup.keep(docs)
+    """Of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest id stays; texts that
+    share an id are judged each by itself."""
+    return neardup.keep(docs, one_per_id=False)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

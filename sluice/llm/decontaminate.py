@@ -84,12 +84,20 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return whole.select("row", F.explode(F.transform(starts, cut)).alias("b")).select("row", "b.before", "b.begin", "b.block")
 
 
+def _row(key: str, text: str) -> Column:
+    """Rows with the same id and text have the same result, so these two are what a row is known by."""
+    return F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> DataFrame:
     """One row per document: key, ``n_words``, ``n_hit`` (words inside a window), ``items`` (sorted ids)."""
+    return _judged(docs, items, key, text, item_key).drop("judged_row")
+
+
+def _judged(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str) -> DataFrame:
+    """As ``contaminated``, with the row that it holds for as ``judged_row``."""
     spark = docs.sparkSession
-    # Rows with the same id and text have the same result, so these two are what a row is known by.
-    named = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
-    rows = docs.select(F.col(key).alias("key"), named.alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), _row(key, text).alias("row"), F.col(text).alias("text"))
 
     every = windows(items, item_key).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
     listed = through_table(every.select(F.xxhash64("words").alias("window"), "words", "items"), scratch_folder(spark, "windows"))
@@ -125,7 +133,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     result = covered.join(found, covered["row"].eqNullSafe(found["row"])).select(covered["row"].alias("hit_row"), "n_hit", "items")
     sized = rows.select("key", "row", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     return sized.join(result, F.col("row").eqNullSafe(F.col("hit_row")), "left").select(
-        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        F.col("row").alias("judged_row"), F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 
 
@@ -135,9 +143,12 @@ def is_contaminated() -> Column:
 
 
 def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with their own columns. Rows that share the id of one that is go with it."""
-    judged = contaminated(docs, items).where(is_contaminated()).select("doc_id").distinct()
-    return docs.join(judged, docs["doc_id"].eqNullSafe(judged["doc_id"]), "left_anti")
+    """The documents that are not contaminated, with their own columns. Rows that share an id, or have none, are kept or go
+    each by its own text."""
+    judged = _judged(docs, items, "doc_id", "text", "item_id").where(is_contaminated()).select("judged_row").distinct()
+    if "judged_row" in docs.columns:
+        raise ValueError("a column of the documents is named judged_row")
+    return docs.join(judged, _row("doc_id", "text").eqNullSafe(F.col("judged_row")), "left_anti")
 
 
 def contract(docs: DataFrame, items: DataFrame) -> DataFrame:

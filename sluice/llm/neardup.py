@@ -314,17 +314,29 @@ def _large_groups(left: DataFrame, reps: DataFrame, sets: DataFrame, percent: in
     return stored(blocks.groupBy("grp", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}"), "links")
 
 
-def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each class and component, with its own columns: the one with the smallest id. Rows that repeat
-    that id are copies as well, and one stays. Rows without an id all stay."""
-    dropped = classes(docs, key, text, size, percent).where("not kept").select(F.col(key).alias("dropped_id")).distinct()
-    rest = docs.join(dropped, F.col(key) == F.col("dropped_id"), "left_anti")
-    twice = rest.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(F.col(key).alias("twice_id"))
-    twice = through_table(twice, scratch_folder(docs.sparkSession, "repeated"))
+def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, one_per_id: bool = True) -> DataFrame:
+    """One document of each class and component, with its own columns: the one with the smallest id. Rows without an id all
+    stay, and of rows with the same id and text one does. Different texts of one id are judged each by itself, in the order
+    of their hashes; of those that are no duplicates ``one_per_id`` keeps the first, otherwise all stay."""
+    spark, columns = docs.sparkSession, [F.col(f"d.`{c}`") for c in docs.columns]
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
+    counted = texts.groupBy("id", "of").agg(F.count("*").alias("rows")).groupBy("id").agg(F.count("*").alias("texts"), F.sum("rows").alias("rows"))
+    twice = through_table(counted.where("rows > 1"), scratch_folder(spark, "repeated"))
     if twice.isEmpty():
-        return rest
-    again = rest.join(twice, F.col(key) == F.col("twice_id"), "left_semi")
-    return rest.join(twice, F.col(key) == F.col("twice_id"), "left_anti").unionByName(again.dropDuplicates([key]))
+        dropped = classes(docs, key, text, size, percent).where("not kept").select(F.col(key).alias("dropped_id")).distinct()
+        return docs.join(dropped, F.col(key) == F.col("dropped_id"), "left_anti")
+    # Every text of an id is a node of its own. Numbers in the order of ids name them, as partitions are in order as well.
+    ordered = texts.distinct().orderBy("id", "of").select("id", "of", F.monotonically_increasing_id().alias("node"))
+    ordered = through_table(ordered, scratch_folder(spark, "nodes"))
+    rows = docs.alias("d").join(ordered.alias("o"), (F.col(f"d.`{key}`") == F.col("o.id")) & (F.xxhash64(f"d.`{text}`") == F.col("o.of")), "left")
+    rows = rows.select(F.struct(*columns).alias("doc"), "o.node", "o.id", F.col(f"d.`{text}`").alias("text"))
+    rows = through_table(rows, scratch_folder(spark, "numbered"))
+    dropped = classes(rows.select("node", "text"), "node", "text", size, percent).where("not kept").select(F.col("node").alias("dropped")).distinct()
+    rest = rows.join(dropped, F.col("node") == F.col("dropped"), "left_anti")
+    if one_per_id:
+        first = rest.groupBy("id").agg(F.min("node").alias("first")).select("first")
+        rest = rest.where("node is null").unionByName(rest.join(first, F.col("node") == F.col("first"), "left_semi"))
+    return rest.where("node is null").unionByName(rest.where("node is not null").dropDuplicates(["node"])).select("doc.*")
 
 
 def contract(docs: DataFrame) -> DataFrame:

@@ -304,6 +304,24 @@ def test_decontamination_of_odd_rows(spark, odd, none):
     assert decontaminate.keep(odd, items).columns == odd.columns
 
 
+def test_decontamination_keeps_clean_rows_of_null_and_repeated_ids(spark):
+    items = spark.sql("select * from values ('a', 'one two') t(item_id, text)")
+    rows = [(None, "one two"), (None, "clean"), (None, None), (1, "one two"), (1, "clean as well"), (1, "One Two"), (2, "other"), (2, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r["doc_id"], r["text"]) for r in decontaminate.keep(docs, items).collect())
+    assert kept == Counter({(None, "clean"): 1, (None, None): 1, (1, "clean as well"): 1, (2, "other"): 2})
+
+
+def test_near_duplicates_keep_clean_texts_of_repeated_ids(spark):
+    text, other, third = "one two three four five six", "quite another text of seven words here", "a third text that is like none before"
+    rows = [(3, text), (5, text), (5, other), (5, other), (5, None), (6, third), (6, third.upper()), (7, other), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in neardup.keep(docs, one_per_id=False).collect()]
+    assert Counter(kept) == Counter({(3, text): 1, (5, other): 1, (5, ""): 1, (6, third): 1, (None, text): 2})
+    one = [(r["doc_id"], r["text"]) for r in neardup.keep(docs).collect()]
+    assert Counter(i for i, _ in one) == Counter({3: 1, 5: 1, 6: 1, None: 2}) and (5, text) not in one
+
+
 def test_secrets_of_odd_rows(odd, none):
     rows = secrets.contract(odd).collect()
     assert len(rows) == len(ODD) and [r["spans"] for r in rows if r["n_assign"]] == ["assign:0:24"]
