@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sluice.llm import chat, decontaminate, neardup, packing, quality, secrets, shards, tokenfiles, toxicity, urls
+from sluice.llm import (
+    chat, collocations, decontaminate, lines, neardup, packing, periodic, quality, secrets, shards, tokenfiles, toxicity, urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,9 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": _over(neardup.contract, "documents"),
         "op9_shards": _over(shards.contract, "documents"),
         "op10_secrets": _over(secrets.contract, "documents"),
+        "op11_line_dedup": _over(lines.contract, "documents"),
+        "op12_collocations": _over(collocations.contract, "documents"),
+        "op13_periodic_runs": _over(periodic.contract, "documents"),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -42,4 +47,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat": chat.ORACLE,
         "op8_near_duplicates": neardup.ORACLE,
         "op10_secrets": secrets.ORACLE,
+        "op11_line_dedup": lines.ORACLE,
+        "op12_collocations": collocations.ORACLE,
     }

@@ -130,3 +130,19 @@ def distinct_per_text(keys: np.ndarray, text: np.ndarray, texts: int) -> tuple[n
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
     return keys[new], np.searchsorted(text[new], np.arange(texts + 1))
+
+
+def joined_texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, word: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Texts of the words numbered in ``word``, with one space between; text k has those from ``first[k]`` on."""
+    size = ends[word] - starts[word]
+    at = np.zeros(len(word) + 1, np.int64)
+    np.cumsum(size + 1, out=at[1:])
+    out = np.full(at[-1], 0x20, np.uint8)
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at[:-1], size) + within] = data[np.repeat(starts[word], size) + within]
+    # The space after a text's last word goes.
+    filled = first[1:] > first[:-1]
+    keep = np.ones(len(out), bool)
+    keep[at[first[1:][filled]] - 1] = False
+    bounds = at[first] - np.append(0, np.cumsum(filled))
+    return pa.LargeStringArray.from_buffers(len(first) - 1, pa.py_buffer(bounds), pa.py_buffer(out[keep])).cast(pa.string())
