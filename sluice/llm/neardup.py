@@ -16,8 +16,8 @@ shuffled for all documents; texts are shuffled once, to give the full sets of th
 
 Edge cases: a null or empty text has no shingle and is linked with nothing; a text of fewer words than a shingle has its
 whole sequence as one. Rows without an id are no node: no component, and kept. Rows that repeat an id are one
-node; of an id's different texts that has none smaller, the one with the least checksum is compared with others.
-Other columns are never read.
+node, whatever their texts: each text is compared by itself, and what is linked to one of them is linked to all. Other
+columns are never read.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm import words
+from sluice.llm import words, worker
 from sluice.llm.components import components
 from sluice.session import scratch_folder, through_table
 
@@ -112,6 +112,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``id``, ``n`` (shingles), ``x`` and ``y`` (two checksums of the set), ``bands`` and ``minima`` of each row."""
     kind = docs.schema[key].dataType.simpleString()
 
+    @worker.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
@@ -141,21 +142,21 @@ def signatures(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, members: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``id``, ``x`` (checksum as in ``signatures``) and ``shingles`` (their hashes as bytes, in order) of the members' rows."""
+    """``id`` and ``shingles`` (their hashes as bytes, in order) of the members' rows."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(members, "id", "left_semi")
     kind = docs.schema[key].dataType.simpleString()
 
+    @worker.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for part in words.slices(batch.column(1)):
                 keys, begin = shingle_sets(part, size)
                 parts = [keys[begin[k] : begin[k + 1]].tobytes() for k in range(len(part))]
-                sums = pa.array(_sums(words.mixed(keys), begin))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(part)), sums, pa.array(parts, pa.binary())], ["id", "x", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(part)), pa.array(parts, pa.binary())], ["id", "shingles"])
                 done += len(part)
 
-    return rows.mapInArrow(run, f"id {kind}, x long, shingles binary")
+    return rows.mapInArrow(run, f"id {kind}, shingles binary")
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -210,28 +211,22 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         return through_table(df, scratch_folder(spark, label))
 
     signed = stored(signatures(docs, key, text, size), "signatures")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("n", "x") for f in (F.min, F.max)]
+    if not signed.where("id is not null").groupBy("id").agg(*ends).where("min_n <> max_n or min_x <> max_x").isEmpty():
+        return _of_texts(docs, key, text, size, percent)
     nodes = signed.where("id is not null and n > 0")
     reps = stored(nodes.groupBy("n", "x", "y").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands"), F.any_value("minima").alias("minima")), "classes")
-    repeated = stored(reps.groupBy("id").agg(F.count("*").alias("k"), F.min("x").alias("least")).where("k > 1"), "repeated")
-    several = not repeated.isEmpty()
-    searched = reps
-    if several:  # an id with several texts is searched by one of them
-        least = repeated.select(F.col("id").alias("again"), "least")
-        searched = stored(reps.join(least, F.col("id") == F.col("again"), "left").where("again is null or x = least").drop("again", "least"), "searched")
-    banded = searched.select("id", "n", F.explode("bands").alias("bucket"))
+    banded = reps.select("id", "n", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min_by(F.struct("id", "n"), "id").alias("hub"), F.count("*").alias("members")).where("members > 1")
     buckets = stored(banded.join(hubs, "bucket").select("bucket", "id", "n", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "members"), "buckets")
-    members = buckets.select("id").distinct()
-    sets = _full_sets(docs, members, key, text, size)
-    if several:
-        sets = sets.join(searched.select("id", "x"), ["id", "x"], "left_semi")
-    sets = stored(sets.select("id", "shingles").dropDuplicates(["id"]), "sets")
+    # Rows of an id have equal sets here.
+    sets = stored(_full_sets(docs, buckets.select("id").distinct(), key, text, size).dropDuplicates(["id"]), "sets")
 
     def sizes_allow(a: str, b: str):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
     stars = buckets.where((F.col("id") != F.col("hub")) & sizes_allow("n", "hub_n")).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = stored(_confirmed(stars, searched, sets, percent), "links")
+    links = stored(_confirmed(stars, reps, sets, percent), "links")
     first = stored(components(links), "components")
 
     left = stored(
@@ -247,8 +242,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         .where((F.col("id") > F.col("other_id")) & (F.col("other_id") != F.col("hub")) & (F.col("component") != F.col("other_component")) & sizes_allow("n", "other_n"))
         .select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct()
     )
-    more = stored(_confirmed(pairs, searched, sets, percent), "links")
-    many = _large_groups(left.where(F.col("members") > SMALL_BUCKET), searched, sets, percent)
+    more = stored(_confirmed(pairs, reps, sets, percent), "links")
+    many = _large_groups(left.where(F.col("members") > SMALL_BUCKET), reps, sets, percent)
     joined = more.unionByName(many)
     names = first.select(F.col("node"), F.col("component"))
     lifted = joined
@@ -267,6 +262,42 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id``, ``of`` (hash of the text) and ``node`` of every different text of an id. Numbers are in the order of ids, as
+    partitions are in order as well."""
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("of")).where("id is not null")
+    ordered = texts.distinct().orderBy("id", "of").select("id", "of", F.monotonically_increasing_id().alias("node"))
+    return through_table(ordered, scratch_folder(docs.sparkSession, "nodes"))
+
+
+def _of_texts(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """``classes`` where ids have several texts: each text is a node of its own, and the nodes of an id are linked."""
+    spark = docs.sparkSession
+
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        return through_table(df, scratch_folder(spark, label))
+
+    nodes = _nodes(docs, key, text)
+    known = nodes.select(F.col("id").alias("known"), "of", "node")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = rows.join(known, (F.col("id") == F.col("known")) & (F.xxhash64("text") == F.col("of")), "left")
+    found = stored(classes(stored(rows.select("node", "text"), "numbered"), "node", "text", size, percent), "texts")
+    least = nodes.groupBy("id").agg(F.min("node").alias("least"), F.count("*").alias("texts")).where("texts > 1")
+    alike = found.where("component_id <> node").select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+    joined = stored(components(alike.unionByName(nodes.join(least, "id").select(F.col("node").alias("a"), F.col("least").alias("b")))), "joined")
+    of_node = joined.select(F.col("node").alias("of"), "component")
+    roots = nodes.select(F.col("node").alias("root"), F.col("id").alias("component_id"))
+    own = nodes.select(F.col("node").alias("own"), "id")
+    out = (
+        found.select("node", "n_shingles")
+        .join(own, F.col("node") == F.col("own"), "left")
+        .join(of_node, F.col("node") == F.col("of"), "left")
+        .join(roots, F.coalesce("component", "node") == F.col("root"), "left")
+    )
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
+    return out.select(F.col("id").alias(key), "n_shingles", "component_id", kept.alias("kept"))
+
+
 def _large_groups(left: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components of open large buckets."""
     spark, kind = left.sparkSession, left.schema["id"].dataType.simpleString()
@@ -322,14 +353,13 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
     counted = texts.groupBy("id", "of").agg(F.count("*").alias("rows")).groupBy("id").agg(F.count("*").alias("texts"), F.sum("rows").alias("rows"))
     twice = through_table(counted.where("rows > 1"), scratch_folder(spark, "repeated"))
+    nested = docs.alias("d").select(F.struct(*columns).alias("doc"))
     if twice.isEmpty():
         dropped = classes(docs, key, text, size, percent).where("not kept").select(F.col(key).alias("dropped_id")).distinct()
-        return docs.join(dropped, F.col(key) == F.col("dropped_id"), "left_anti")
-    # Every text of an id is a node of its own. Numbers in the order of ids name them, as partitions are in order as well.
-    ordered = texts.distinct().orderBy("id", "of").select("id", "of", F.monotonically_increasing_id().alias("node"))
-    ordered = through_table(ordered, scratch_folder(spark, "nodes"))
-    rows = docs.alias("d").join(ordered.alias("o"), (F.col(f"d.`{key}`") == F.col("o.id")) & (F.xxhash64(f"d.`{text}`") == F.col("o.of")), "left")
-    rows = rows.select(F.struct(*columns).alias("doc"), "o.node", "o.id", F.col(f"d.`{text}`").alias("text"))
+        return nested.join(dropped, F.col(f"doc.`{key}`") == F.col("dropped_id"), "left_anti").select("doc.*")
+    own_id, own_text = F.col(f"doc.`{key}`"), F.col(f"doc.`{text}`")
+    rows = nested.join(_nodes(docs, key, text), (own_id == F.col("id")) & (F.xxhash64(own_text) == F.col("of")), "left")
+    rows = rows.select("doc", "node", "id", own_text.alias("text"))
     rows = through_table(rows, scratch_folder(spark, "numbered"))
     dropped = classes(rows.select("node", "text"), "node", "text", size, percent).where("not kept").select(F.col("node").alias("dropped")).distinct()
     rest = rows.join(dropped, F.col("node") == F.col("dropped"), "left_anti")
