@@ -146,9 +146,8 @@ def keep(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns. Rows that share an id, or have none, are kept or go
     each by its own text."""
     judged = _judged(docs, items, "doc_id", "text", "item_id").where(is_contaminated()).select("judged_row").distinct()
-    if "judged_row" in docs.columns:
-        raise ValueError("a column of the documents is named judged_row")
-    return docs.join(judged, _row("doc_id", "text").eqNullSafe(F.col("judged_row")), "left_anti")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    return rows.join(judged, _row("doc.doc_id", "doc.text").eqNullSafe(F.col("judged_row")), "left_anti").select("doc.*")
 
 
 def contract(docs: DataFrame, items: DataFrame) -> DataFrame:
