@@ -1,9 +1,11 @@
 """Secret scans: three fixed patterns, and sliding-window Shannon entropy over candidate strings.
 
 A candidate is a run of at least ``WINDOW`` characters of the base64 alphabets. Over it slides a window of ``WINDOW``
-characters; what a step changes is only the count of the character that comes and of the one that goes, so the sum of
-n·log2(n) over the counts n is kept up by two differences, and the entropy is log2(WINDOW) less that sum over WINDOW. A
-candidate is a secret when a window reaches the threshold of its character class, unless the allow-list names it.
+characters. The state of a step holds the count of every character, as one text with a character for each count, and the
+sum of n·log2(n) over the counts n; a step changes the count of the character that comes and of the one that goes, and the
+sum by their differences. The entropy is log2(WINDOW) less that sum over WINDOW. A candidate is a secret when a window
+reaches the threshold of its character class. Placeholder words of the allow-list are taken out of the candidate first, so
+they silence themselves and not what stands beside them; ids, slugs and names that it allows as a whole are none.
 
 Positions come from the lengths of matches and of what lies between them, added up in order by a window function over
 the matches alone. So a text with a million matches is as many short rows, and texts are never shuffled to find spans.
@@ -30,18 +32,19 @@ HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 PART = 200
-#: Least entropy, in bits a character, that makes a secret of a candidate: by character class.
-THRESHOLDS = {"hex": 3.05, "letters": 4.05, "mixed": 3.65}
-#: Candidates that are known to be something else: dashed ids and placeholders, and paths and slugs, which are letters
-#: between separators without a run of ``LONG_WORD``. No pattern repeats a group, so a very long candidate neither
-#: deepens the matcher's stack nor makes it go back over the text.
-ALLOWED = (
-    r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i)(example|placeholder|xxxxxx|000000|abcdefghij|0123456789)",
-)
+#: Least entropy, in bits a character, that makes a secret of a candidate: by character class. Chosen by what random keys
+#: reach and compounds and names do not; the README has the shares.
+THRESHOLDS = {"hex": 3.05, "one_case": 3.68, "letters": 3.75, "mixed": 3.65}
+#: Placeholder words, which count for nothing.
+PLACEHOLDER = r"(?i)(example|placeholder|xxxxxx|000000|abcdefghij|0123456789)"
+#: Candidates that are known to be something else: dashed ids, and paths and slugs, which are letters between separators
+#: without a run of ``LONG_WORD``. Names of words that begin with a capital have no two capitals in a row. No pattern
+#: repeats a group, so a very long candidate neither deepens the matcher's stack nor makes it go back over the text.
+DASHED_ID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
 SLUG = r"^[A-Za-z/_=-]+$"
 LETTER = r"[A-Za-z]"
 LONG_WORD = r"[A-Za-z]{20}"
+TWO_CAPITALS = r"[A-Z]{2}"
 MASK = "[SECRET]"
 
 MATCH = "array<struct<kind:int,k:int,gap:int,size:int,value:string>>"
@@ -62,43 +65,58 @@ def _matches(text: Column, kind: int, pattern: str) -> Column:
     return F.when(there, numbered).otherwise(F.array().cast(MATCH))
 
 
+#: Counts are held as characters from ``ZERO`` on, those of the characters from ``LOWEST`` to ``HIGHEST``.
+ZERO, LOWEST, HIGHEST = 32, ord("+"), ord("z")
+
+
 def entropy(part: Column) -> Column:
-    """The largest entropy of a window of an ASCII text of ``WINDOW`` characters at least."""
+    """The largest entropy of a window of a text of a candidate's characters, ``WINDOW`` of them at least."""
     table = F.array(*(F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)))
 
     def f(n: Column) -> Column:
         return F.get(table, n)
 
-    def count(begin: Column, size: Column, char: Column) -> Column:
-        inside = F.substring(part, begin, size)
-        return F.length(inside) - F.length(F.replace(inside, char, F.lit("")))
+    def place(at: Column) -> Column:
+        return F.ascii(F.substring(part, at, F.lit(1))) - (LOWEST - 1)
+
+    def held(counts: Column, place: Column) -> Column:
+        return F.ascii(F.substring(counts, place, F.lit(1))) - ZERO
+
+    def changed(counts: Column, place: Column, by: int) -> Column:
+        return F.overlay(counts, F.char(held(counts, place) + (ZERO + by)), place, F.lit(1))
 
     def step(state: Column, at: Column) -> Column:
         # First one goes, out of the window before; then one comes to the rest.
-        fewer = count(at - WINDOW, F.lit(WINDOW), F.substring(part, at - WINDOW, F.lit(1)))
-        begin = F.greatest(at - WINDOW + 1, F.lit(1))
-        more = count(begin, at - begin, F.substring(part, at, F.lit(1)))
-        total = state["total"] + F.when(at > WINDOW, f(fewer - 1) - f(fewer)).otherwise(0.0) + f(more + 1) - f(more)
+        goes, comes, slides = place(at - WINDOW), place(at), at > WINDOW
+        before = held(state["counts"], goes)
+        rest = F.when(slides, changed(state["counts"], goes, -1)).otherwise(state["counts"])
+        more = held(state["counts"], comes) - F.when(slides & (goes == comes), 1).otherwise(0)
+        total = state["total"] + F.when(slides, f(before - 1) - f(before)).otherwise(0.0) + f(more + 1) - f(more)
         least = F.when(at >= WINDOW, F.least(state["least"], total)).otherwise(state["least"])
-        return F.struct(total.alias("total"), least.alias("least"))
+        return F.struct(changed(rest, comes, 1).alias("counts"), total.alias("total"), least.alias("least"))
 
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
+    nothing = F.lit(chr(ZERO) * (HIGHEST - LOWEST + 1))
+    start = F.struct(nothing.alias("counts"), F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
     ended = F.aggregate(F.sequence(F.lit(1), F.length(part)), start, step)
     return F.lit(math.log2(WINDOW)) - ended["least"] / WINDOW
 
 
 def class_of(value: Column) -> Column:
-    return F.when(value.rlike(r"^[0-9A-Fa-f]+$"), "hex").when(value.rlike(r"[0-9]") & value.rlike(r"[A-Za-z]"), "mixed").otherwise("letters")
+    one_case = value.rlike(r"[a-z]") != value.rlike(r"[A-Z]")
+    named = F.when(value.rlike(r"^[0-9A-Fa-f]+$"), "hex").when(value.rlike(r"[0-9]") & value.rlike(LETTER), "mixed")
+    return named.when(one_case, "one_case").otherwise("letters")
 
 
-def is_secret(value: Column, largest: Column) -> Column:
-    """Whether the entropy reaches the threshold of the value's class and the allow-list is silent."""
-    kind = class_of(value)
-    least = F.when(kind == "hex", THRESHOLDS["hex"]).when(kind == "mixed", THRESHOLDS["mixed"]).otherwise(THRESHOLDS["letters"])
-    allowed = value.rlike(SLUG) & value.rlike(LETTER) & ~value.rlike(LONG_WORD)
-    for pattern in ALLOWED:
-        allowed = allowed | value.rlike(pattern)
-    return ~allowed & (largest >= least)
+def is_secret(value: Column) -> Column:
+    """Whether a window's entropy reaches the threshold of the value's class and the allow-list is silent."""
+    own = F.regexp_replace(value, PLACEHOLDER, "")
+    kind = class_of(own)
+    least = F.coalesce(*(F.when(kind == k, v) for k, v in THRESHOLDS.items()))
+    slug = own.rlike(SLUG) & own.rlike(LETTER) & ~own.rlike(LONG_WORD)
+    allowed = value.rlike(DASHED_ID) | slug | ((kind == "letters") & own.rlike(LETTER) & ~own.rlike(TWO_CAPITALS))
+    starts = F.sequence(F.lit(1), F.length(own) - WINDOW + 1, F.lit(PART))
+    parts = F.transform(starts, lambda s: F.substring(own, s, F.lit(PART + WINDOW - 1)))
+    return F.when((F.length(own) >= WINDOW) & ~allowed, F.array_max(F.transform(parts, entropy)) >= least).otherwise(False)
 
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -111,10 +129,8 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     before = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.select("row", "kind", "size", "value", (F.sum(F.col("gap") + F.col("size")).over(before) - F.col("size")).cast("int").alias("first"))
     placed = placed.select("row", "kind", "value", "first", (F.col("first") + F.col("size")).alias("end"))
-    starts = F.sequence(F.lit(1), F.length("value") - WINDOW + 1, F.lit(PART))
-    cut = F.transform(starts, lambda s: F.substring(F.col("value"), s, F.lit(PART + WINDOW - 1)))
     good = F.when(F.col("kind") == 0, F.length("value") >= ASSIGN_CHARS)
-    good = good.when(F.col("kind") == 3, is_secret(F.col("value"), F.array_max(F.transform(cut, entropy)))).otherwise(True)
+    good = good.when(F.col("kind") == 3, is_secret(F.col("value"))).otherwise(True)
     return placed.where(good).select("row", "kind", "first", "end")
 
 
@@ -137,17 +153,15 @@ def stretches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", mask: str = MASK, chars: str = "n_chars") -> DataFrame:
     """All documents with their own columns; each stretch of a text that spans cover is replaced by ``mask``."""
     found = stretches(docs, key, text).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "end", "next"))).alias("spans"))
-    found = found.select(F.col("row").alias("masked_row"), F.col("spans").alias("masked_spans"))
-    row = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("of"))
-    joined = docs.join(found, row.eqNullSafe(F.col("masked_row")), "left")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    own = F.col(f"doc.`{text}`")
+    joined = rows.join(found, F.struct(F.col(f"doc.`{key}`").alias("id"), F.xxhash64(own).alias("of")).eqNullSafe(F.col("row")), "left")
 
     # Each piece is the mask and what follows it up to the next stretch; the text's begin comes before them.
-    pieces = F.transform("masked_spans", lambda s: F.concat(F.lit(mask), F.substring(F.col(text), s["end"] + 1, F.coalesce(s["next"], F.length(text)) - s["end"])))
-    own = F.col(text)
-    pieces = F.concat(F.array(F.substring(own, F.lit(1), F.get("masked_spans", F.lit(0))["first"])), pieces)
-    hidden = F.when(F.col("masked_spans").isNotNull(), F.array_join(pieces, "")).otherwise(own)
-    columns = [hidden.alias(text) if c == text else F.col(c) for c in docs.columns]
-    out = joined.select(*columns)
+    pieces = F.transform("spans", lambda s: F.concat(F.lit(mask), F.substring(own, s["end"] + 1, F.coalesce(s["next"], F.length(own)) - s["end"])))
+    pieces = F.concat(F.array(F.substring(own, F.lit(1), F.get("spans", F.lit(0))["first"])), pieces)
+    hidden = F.when(F.col("spans").isNotNull(), F.array_join(pieces, "")).otherwise(own)
+    out = joined.select(*(hidden.alias(text) if c == text else F.col(f"doc.`{c}`") for c in docs.columns))
     return out.withColumn(chars, F.when(F.col(chars).isNotNull(), F.length(text).cast(out.schema[chars].dataType))) if chars in docs.columns else out
 
 
@@ -171,27 +185,33 @@ def contract(docs: DataFrame) -> DataFrame:
     )
 
 
-def _oracle() -> str:
-    patterns = {0: ASSIGN, 1: ACCESS, 2: HEX, 3: CANDIDATE}
-    found = "\nUNION ALL ".join(
-        f"SELECT doc_id, {k} AS kind, string_split_regex(t, $p${p}$p$) AS gaps, regexp_extract_all(t, $p${p}$p$, 0) AS found, regexp_extract_all(t, $p${p}$p$, {2 if k == 0 else 0}) AS vals FROM d"
-        for k, p in patterns.items()
-    )
-    slug = f"regexp_matches(value, $p${SLUG}$p$) AND regexp_matches(value, $p${LETTER}$p$) AND NOT regexp_matches(value, $p${LONG_WORD}$p$)"
-    allowed = " OR ".join([f"({slug})", *(f"regexp_matches(value, $p${p}$p$)" for p in ALLOWED)])
-    return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({found}),
-one AS (
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (
+    SELECT doc_id, 0 AS kind, string_split_regex(t, $p$((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$p$) AS gaps,
+        regexp_extract_all(t, $p$((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$p$, 0) AS found,
+        regexp_extract_all(t, $p$((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$p$, 2) AS vals FROM d
+    UNION ALL SELECT doc_id, 1, string_split_regex(t, 'AKIA[A-Z0-9]{14,}'), regexp_extract_all(t, 'AKIA[A-Z0-9]{14,}'), regexp_extract_all(t, 'AKIA[A-Z0-9]{14,}') FROM d
+    UNION ALL SELECT doc_id, 2, string_split_regex(t, '[0-9a-f]{16,}'), regexp_extract_all(t, '[0-9a-f]{16,}'), regexp_extract_all(t, '[0-9a-f]{16,}') FROM d
+    UNION ALL SELECT doc_id, 3, string_split_regex(t, '[A-Za-z0-9+/_=-]{20,}'), regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}'), regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}') FROM d
+), one AS (
     SELECT doc_id, kind, k, vals[k] AS value, length(found[k]) AS size,
         sum(length(gaps[k]) + length(found[k])) OVER (PARTITION BY doc_id, kind ORDER BY k) - length(found[k]) AS first
     FROM m, generate_series(1, len(found)) g(k)
+), own AS (
+    SELECT doc_id, first, size, value, regexp_replace(value, '(?i)(example|placeholder|xxxxxx|000000|abcdefghij|0123456789)', '', 'g') AS o FROM one WHERE kind = 3
 ), classed AS (
-    SELECT *, CASE WHEN regexp_matches(value, '^[0-9A-Fa-f]+$') THEN {THRESHOLDS["hex"]} WHEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') THEN {THRESHOLDS["mixed"]} ELSE {THRESHOLDS["letters"]} END AS least
-    FROM one WHERE kind = 3 AND NOT ({allowed})
+    SELECT *, CASE WHEN regexp_matches(o, '^[0-9A-Fa-f]+$') THEN 'hex' WHEN regexp_matches(o, '[0-9]') AND regexp_matches(o, '[A-Za-z]') THEN 'mixed'
+        WHEN regexp_matches(o, '[a-z]') <> regexp_matches(o, '[A-Z]') THEN 'one_case' ELSE 'letters' END AS class
+    FROM own
+    WHERE length(o) >= 20 AND NOT regexp_matches(value, '^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$')
+        AND NOT (regexp_matches(o, '^[A-Za-z/_=-]+$') AND regexp_matches(o, '[A-Za-z]') AND NOT regexp_matches(o, '[A-Za-z]{20}'))
 ), high AS (
-    SELECT doc_id, first, size FROM classed WHERE list_max(list_transform(generate_series(1, length(value) - {WINDOW - 1}), lambda p: list_aggregate(string_split(substr(value, p, {WINDOW}), ''), 'entropy'))) >= least
+    SELECT doc_id, first, size FROM classed
+    WHERE NOT (class = 'letters' AND regexp_matches(o, '[A-Za-z]') AND NOT regexp_matches(o, '[A-Z]{2}'))
+        AND list_max(list_transform(generate_series(1, length(o) - 19), lambda p: list_aggregate(string_split(substr(o, p, 20), ''), 'entropy')))
+            >= CASE class WHEN 'hex' THEN 3.05 WHEN 'one_case' THEN 3.68 WHEN 'letters' THEN 3.75 ELSE 3.65 END
 ), spans AS (
-    SELECT doc_id, kind, first, first + size AS last FROM one WHERE kind IN (1, 2) OR (kind = 0 AND length(value) >= {ASSIGN_CHARS})
+    SELECT doc_id, kind, first, first + size AS last FROM one WHERE kind IN (1, 2) OR (kind = 0 AND length(value) >= 12)
     UNION ALL SELECT doc_id, 3, first, first + size FROM high
 ), named AS (
     SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || CAST(first AS BIGINT) || ':' || CAST(last AS BIGINT) AS name FROM spans
@@ -203,6 +223,3 @@ one AS (
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM d LEFT JOIN per USING (doc_id)
 """
-
-
-ORACLE = _oracle()
