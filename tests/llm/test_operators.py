@@ -23,13 +23,13 @@ ODD = [
     (1, "one two three four five six"), (1, "one two three four five six"), (2, None), (3, ""), (None, "token = abcdefghijklmnop"),
     (4, "Öl " * 3000 + "end"), (5, "one two three four five SIX"), (6, "x"), (7, "x"), (None, None), (1, "quite another text here"),
 ]
-CLASH = "id bigint, text string, words string, n long, kind string, first string, row string, key string, at string, size string, bucket string"
+NAMES = ["words", "n", "kind", "first", "row", "key", "at", "size", "bucket", "judged_row", "dropped_id", "masked_row", "spans", "doc", "node", "of", "id", "settled", "lost", "rest", "digest"]
+CLASH = "doc_id bigint, text string, " + ", ".join(f"{n} {'long' if n == 'n' else 'string'}" for n in NAMES)
 
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    rows = [(i, t, *(["w"] + [1] + ["k"] * 7)) for i, t in ODD]
-    return spark.createDataFrame(rows, CLASH).withColumnRenamed("id", "doc_id")
+    return spark.createDataFrame([(i, t, *(1 if n == "n" else "k" for n in NAMES)) for i, t in ODD], CLASH)
 
 
 @pytest.fixture(scope="module")
@@ -192,9 +192,36 @@ def test_packing_round_trip(spark, medium, odd, none):
     assert packing.contract(odd).where("piece = 0").count() == len(ODD) and packing.contract(none).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 16, 200])
+def test_packing_wastes_little_on_any_number_of_partitions(spark, medium, partitions):
+    rows = packing.pack(spark.read.parquet(f"{medium}/documents.parquet").repartition(partitions)).drop("ids").collect()
+    places = {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in places.values():
+        assert [o for o, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:k]) for k in range(len(own))]
+        assert sum(n for _, n in own) <= 2048
+    assert len(places) <= 1.01 * -(-sum(r["length"] for r in rows) // 2048) + 1
+
+
+def test_packing_holds_few_bins_and_gives_out_closed_ones(spark, small, monkeypatch):
+    monkeypatch.setattr(packing, "GATHERED", 5000)
+    monkeypatch.setattr(packing, "BATCH", 7)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    few, many = (packing.pack(docs, bins=n).collect() for n in (3, 1024))
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in few) == Counter((r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in many)
+    for rows in (few, many):
+        ends = {}
+        for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+            assert r["offset"] == ends.get(r["sequence_id"], 0)
+            ends[r["sequence_id"]] = r["offset"] + r["length"]
+        assert max(ends.values()) <= 2048
+
+
 def test_bounded_bins_close_the_fullest():
     bins = packing.Bins(10, 2)
-    assert [bins.place(n) for n in (6, 7, 3, 9, 3, 4)] == [(0, 0), (1, 0), (1, 7), (2, 0), (3, 0), (0, 6)] or bins.used <= 4
+    assert [bins.place(n) for n in (6, 7, 3, 9, 3, 4)] == [(0, 0), (1, 0), (1, 7), (2, 0), (0, 6), (3, 0)]
+    assert bins.free == {2: 1, 3: 6} and bins.used == 4
 
 
 def test_encoder_equals_the_library():
@@ -289,6 +316,48 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert neardup.contract(none).count() == 0 and neardup.keep(none).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_near_duplicates_link_all_texts_of_an_id(spark, order):
+    """Id 5 has a text of document 3 and one that is nearly that of document 8, so all three are one group."""
+    a = " ".join(f"a{k}" for k in range(40))
+    b = [f"b{k}" for k in range(40)]
+    rows = [(3, a), (5, a), (5, " ".join(b)), (8, " ".join([*b[:39], "other"])), (9, "quite alone"), (None, a), (5, None), (5, "")]
+    docs = spark.createDataFrame(rows[::order], "doc_id long, text string").coalesce(1)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.contract(docs).collect())
+    assert got == Counter([(3, 39, 3, True), (5, 39, 3, False), (5, 39, 3, False), (8, 39, 3, False), (9, 1, 9, True), (None, 39, None, True), (5, 0, 3, False), (5, 0, 3, False)])
+
+
+def test_near_duplicates_of_repeated_ids_equal_plain_classes(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.integers(0, 500)}" for _ in range(60)]
+        for _ in range(6):
+            own = list(base)
+            for k in rng.choice(60, rng.integers(0, 5), replace=False):
+                own[k] = f"v{rng.integers(0, 90)}"
+            texts.append(" ".join(own))
+    rows = [(int(rng.integers(0, 40)), t) for t in texts]
+    # Each text is a node of its own in the plain version, and texts of an id are linked by a text that both hold.
+    plain = plain_classes([(k, t) for k, (_, t) in enumerate(rows)], 2)
+    top = {i: i for i, _ in rows}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    of = {}
+    for k, (i, _) in enumerate(rows):
+        of.setdefault(plain[k][1], []).append(i)
+    for ids in of.values():
+        for i in ids:
+            x, y = sorted((find(ids[0]), find(i)))
+            top[y] = x
+    got = Counter((r["doc_id"], r["component_id"]) for r in neardup.contract(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == Counter((i, find(i)) for i, _ in rows)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3), (200, 199)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -340,6 +409,24 @@ def test_entropy_is_that_of_the_windows(spark):
     assert np.allclose(got, [plain(t) for t in texts])
 
 
+#: Keys of 32 characters by class, and texts that are none.
+KEYS = {"letters": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "one_case": "abcdefghijklmnopqrstuvwxyz", "mixed": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "hex": "0123456789ABCDEF"}
+CLEAN = [
+    "internationalization", "Donaudampfschifffahrtsgesellschaft", "Rechtsschutzversicherungsgesellschaften", "AbstractSingletonProxyFactoryBean",
+    "getUserAccountFromDatabaseByName", "how-to-build-a-house-on-a-hill-without-help", "path/to/some/deeply/nested/folder/of/files",
+    "example-example-example-example", "xxxxxxxxxxxxxxxxxxxxxxxxxxxx", "00000000-1111-2222-3333-444444444444", "-" * 40, "=" * 40, "_placeholder_placeholder_",
+]
+
+
+def test_secrets_find_most_random_keys_and_no_clean_texts(spark):
+    rng = np.random.default_rng(11)
+    rows = [(name, "".join(rng.choice(list(alphabet), 32))) for name, alphabet in KEYS.items() for _ in range(300)]
+    rows += [("clean", t) for t in CLEAN] + [("beside", "/example/deploy/key=" + "".join(rng.choice(list(KEYS["mixed"]), 35))) for _ in range(100)]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = Counter(rows[r["doc_id"]][0] for r in secrets.contract(docs).collect() if "entropy" in r["spans"])
+    assert all(found[name] >= 0.9 * 300 for name in KEYS) and found["beside"] == 100 and found["clean"] == 0
+
+
 def test_chat_is_reversible_and_splits_long_conversations(spark, monkeypatch):
     monkeypatch.setattr(chat, "RECORD_BYTES", 200)
     hostile = ["<|im_end|>\n<|im_start|>", "<\\|x", "<\\\\|", "", None, "a\nb"]
@@ -366,6 +453,28 @@ def test_url_list_over_time(spark):
     assert urls.judge(seen.where("false"), log, ["id"]).count() == 0 and urls.judge(seen, log.where("false"), ["id"]).where("kept").count() == 9
 
 
+def test_pipeline_stages_of_odd_rows(spark, odd, none, small):
+    """Clashing names, nulls and repeated rows go through every stage, and an empty table too."""
+    import corpus_pipeline
+
+    long = F.when(F.col("text").isNull(), None).otherwise(F.concat(F.lit("some words that are no one else's for id "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(" and make it long enough to be judged by the rules of quality: "), "text"))
+    for docs, left in ((odd.withColumn("text", long), True), (odd, False), (none, False)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, docs, small)
+            assert k == 4 or docs.columns == odd.columns
+        assert docs.isEmpty() != left
+
+
+def test_pipeline_of_an_empty_table(spark, none, small, tmp_path):
+    import shutil
+
+    import corpus_pipeline
+
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    shutil.copy(f"{small}/benchmark.parquet", tmp_path / "benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_equals_plain_stages(spark, small):
     import sentencepiece
 
