@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sluice.llm import words
+from sluice.llm import words, worker
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS = 20
@@ -173,14 +173,9 @@ class Fertility:
         return n, unknown, float(-(share * np.log2(share)).sum()) + 0.0
 
 
-_models: dict[str, Fertility] = {}
-
-
 def fertility(path: str) -> Fertility:
     """The worker's model of a vocabulary file."""
-    if path not in _models:
-        _models[path] = Fertility(path)
-    return _models[path]
+    return worker.model(Fertility, path)
 
 
 def verdicts(texts: pa.Array, path: str, bands: dict = BANDS) -> dict[str, np.ndarray | list]:
@@ -214,6 +209,7 @@ def assess(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     """One row per document: its key, all measures, ``base_failed`` and ``kept``."""
     path = path or vocabulary_path()
 
+    @worker.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _row_slices(batch):
@@ -228,6 +224,7 @@ def keep(docs: DataFrame, text: str = "text", path: str | None = None, bands: di
     """The documents that pass, with their own columns."""
     path, place = path or vocabulary_path(), docs.columns.index(text)
 
+    @worker.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _row_slices(batch, place):
@@ -243,8 +240,6 @@ def _row_slices(batch: pa.RecordBatch, place: int = 1) -> Iterator[pa.RecordBatc
         first += len(part)
 
 
-
-
 def contract(docs: DataFrame) -> DataFrame:
     """The registered query: base counts and verdicts of all documents."""
     return assess(docs)

@@ -14,14 +14,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sluice.llm import words
+from sluice.llm import words, worker
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "word_bpe_49k.json"
 #: Different words kept with their ids in a Python worker; beyond it the table starts anew.
-KNOWN_WORDS = 400_000
-CHUNK_BYTES = 2 << 20
+KNOWN_WORDS = 150_000
+CHUNK_BYTES = 1 << 20
 #: Letters or digits and then plain punctuation, which the vocabulary's own rule cuts between.
 STEM_AND_TAIL = r"^(?P<stem>[\p{L}\p{N}]+)(?P<tail>[,.;:!?*$%&#|<>=()/_-]+)$"
 
@@ -109,11 +109,6 @@ class Encoder:
         self._at = np.concatenate([self._at, self._at[-1] + np.cumsum(sizes)])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return worker.model(Encoder, path)

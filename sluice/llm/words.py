@@ -17,7 +17,7 @@ BASE = 0x9E3779B97F4A7C15
 STEP = 0xBF58476D1CE4E5B9
 LAST = 0x94D049BB133111EB
 BLOCK = 1 << 16
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
