@@ -8,6 +8,7 @@ a text key can prune neither partitions nor Parquet row groups.
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,11 +72,38 @@ def newest_per_key(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("rank")
 
 
+class Cursor(NamedTuple):
+    """A place in the descending order of a key's rows: period, event time and arrival time of a sort key."""
+
+    period: str
+    event_time: datetime
+    ingest_time: datetime
+
+    @staticmethod
+    def of(sk: str) -> Cursor:
+        period, event, arrival = sk.split("#")
+        return Cursor(period, datetime.fromisoformat(event), datetime.fromisoformat(arrival))
+
+    def later(self) -> Column:
+        """Rows that come after this place. Bounds on typed columns, so that they prune partitions and row groups; rows of
+        one event time, at a page's border, are told apart by their arrival."""
+        event, arrival = (F.lit(t).cast("timestamp_ntz") for t in (self.event_time, self.ingest_time))
+        here = (F.col("event_time") < event) | ((F.col("event_time") == event) & (F.col("ingest_time") < arrival))
+        return (F.col("period") < self.period) | ((F.col("period") == self.period) & here)
+
+
+#: The order of sort keys, on typed columns.
+SORT_KEY = ["period", "event_time", "ingest_time"]
+
+
 def page_after(rows: DataFrame, last_sk: str | None, n: int) -> DataFrame:
-    """Next page of one key in descending order; ``last_sk`` is the last key of the page before."""
+    """Next page of one key in descending order of the sort key; ``last_sk`` is the last key of the page before."""
     if last_sk is not None:
-        rows = rows.filter(F.col("sk") < last_sk)
-    return rows.orderBy(F.desc("sk")).limit(n)
+        cursor = Cursor.of(last_sk)
+        rows = rows.filter(cursor.later())
+        if "event_date" in rows.columns:
+            rows = rows.filter((F.col("period") < cursor.period) | (F.col("event_date") <= cursor.event_time.date()))
+    return rows.orderBy(*[F.desc(c) for c in SORT_KEY]).limit(n)
 
 
 def newer_than(rows: DataFrame, cutoff: str) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.numbers import json_float, json_int
-from sluice.functions.time import DAY_KEY, MINUTE_KEY, MONTH_KEY, period_for_label
+from sluice.functions.time import period_for_label, period_of_label
 from sluice.operators import intake, scan, totals
 from sluice.operators import rollup as ru
 from sluice.schema import DASHBOARD_KPIS, GRAINS, MONEY, PERIODS, STORE_KPIS, region_dimension
-from sluice.sinks.wide import minute_records, month_records
+from sluice.session import scratch_folder
+from sluice.sinks import store, versions
+from sluice.sinks.wide import append, minute_records, month_records
 from sluice.sources import tables
 
 # Parameters of the single-key queries. They pick a key and a day that hold rows
@@ -25,6 +27,21 @@ PAGE_START = "PT10M#2024-01-20 00:00:00.000#2024-01-20 00:00:00.000"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Stores of folders of events, by application.
+_stores: dict[tuple[str, str], str] = {}
+
+
+def served(spark: SparkSession, folder: str) -> str:
+    """The store of a folder's events, with its calendar tables; filled once by an application."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _stores or not versions.numbers(spark, _stores[key]):
+        path = scratch_folder(spark, "served")
+        store.write_store(_all_items(spark, folder), path, batch="events")
+        store.refresh(spark, path)
+        _stores[key] = path
+    return _stores[key]
+
+
 def _items(spark: SparkSession, folder: str, grain: str, period: str, day: str | None = None) -> DataFrame:
     """Store items of one grain and period; of one day of event time if given."""
     return ru.keyed(ru.rollup(tables.kpi_events(spark, folder, day), grain, period))
@@ -63,23 +80,20 @@ def load_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prefix_scan(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT1H", DAY), REGION, STATE)
+    rows = scan.by_key(store.read_settled(spark, served(spark, folder), None, DAY, DAY), REGION, STATE)
     return scan.by_period(rows, "PT1H", DAY).select(*scan.ITEM)
 
 
 def range_scan(spark: SparkSession, folder: str) -> DataFrame:
-    slots = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "SLOT", "minute", MINUTE_KEY)
-    return scan.by_range(slots, REGION, "SLOT#2024-01-10_00:00", "SLOT#2024-01-12_23:59")
+    return store.calendar_scan(spark, served(spark, folder), REGION, "SLOT#2024-01-10_00:00", "SLOT#2024-01-12_23:59")
 
 
 def scan_day(spark: SparkSession, folder: str) -> DataFrame:
-    days = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "D", "day", DAY_KEY)
-    return scan.by_prefix(days, REGION, "D#")
+    return store.calendar_scan(spark, served(spark, folder), REGION, "D#")
 
 
 def scan_month(spark: SparkSession, folder: str) -> DataFrame:
-    months = ru.calendar_rollup(tables.kpi_events(spark, folder), "REGION", "M", "month", MONTH_KEY)
-    return scan.by_prefix(months, REGION, "M#")
+    return store.calendar_scan(spark, served(spark, folder), REGION, "M#")
 
 
 def key_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,28 +101,28 @@ def key_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_store(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STORE", "PT1M"), REGION, STATE, STORE)
-    return scan.kpi_value(scan.newest(scan.by_period(rows, "PT1M"), 15), "kpi1")
+    return scan.kpi_value(store.newest_items(spark, served(spark, folder), "PT1M", 15, REGION, STATE, STORE), "kpi1")
+
+
+def _of_day(spark: SparkSession, folder: str, period: str, state: str | None = None) -> DataFrame:
+    rows = scan.by_key(store.read_settled(spark, served(spark, folder), None, DAY, DAY), REGION, state)
+    return scan.by_period(rows, period, DAY)
 
 
 def latest_state(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M", DAY), REGION, STATE)
-    return scan.kpi_value(scan.newest(scan.by_period(rows, "PT10M", DAY), 15), "kpi1")
+    return scan.kpi_value(scan.newest(_of_day(spark, folder, "PT10M", STATE), 15), "kpi1")
 
 
 def latest_region(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "REGION", "PT1H", DAY), REGION)
-    return scan.kpi_value(scan.newest(scan.by_period(rows, "PT1H", DAY), 15), "kpi1")
+    return scan.kpi_value(scan.newest(_of_day(spark, folder, "PT1H"), 15), "kpi1")
 
 
 def page_after(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M"), REGION, STATE)
-    return scan.page_after(rows, PAGE_START, 100).select(*scan.ITEM)
+    return store.newest_items(spark, served(spark, folder), "PT10M", 100, REGION, STATE, before=PAGE_START).select(*scan.ITEM)
 
 
 def kpi_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.by_key(_items(spark, folder, "STATE", "PT10M", DAY), REGION, STATE)
-    kept = scan.newest_per_arrival(scan.by_period(rows, "PT10M", DAY), DASHBOARD_KPIS)
+    kept = scan.newest_per_arrival(_of_day(spark, folder, "PT10M", STATE), DASHBOARD_KPIS)
     return kept.select("pk", "ingest_time", *DASHBOARD_KPIS)
 
 
@@ -128,17 +142,20 @@ def dedup_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 def _served(spark: SparkSession, folder: str, periods: list[str]) -> DataFrame:
     """Region and state items of some periods, as the dashboard reads them."""
-    return ru.keyed(ru.rollup_all(tables.kpi_events(spark, folder), ["REGION", "STATE"], periods))
+    rows = store.read_settled(spark, served(spark, folder))
+    return rows.where(F.col("grain").isin("REGION", "STATE") & F.col("period").isin(periods))
 
 
 def dashboard_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return totals.dashboard_totals(_served(spark, folder, list(PERIODS)))
+    """Of every key only the days that the counts say hold its newest rows."""
+    starts = store.starts(spark, served(spark, folder), 200, ["REGION", "STATE"])
+    rows = _served(spark, folder, list(PERIODS)).join(starts, ["pk", "period"]).where("event_date >= start")
+    return totals.dashboard_totals(rows, 200)
 
 
 def chart_series(spark: SparkSession, folder: str) -> DataFrame:
-    period = period_for_label("10-Minute")
-    rows = scan.by_period(scan.by_key(_items(spark, folder, "STATE", period), REGION, STATE), period)
-    return scan.series(scan.newest(rows, 200), DASHBOARD_KPIS, REGION)
+    rows = store.newest_items(spark, served(spark, folder), period_for_label("10-Minute"), 200, REGION, STATE)
+    return scan.series(rows, DASHBOARD_KPIS, REGION)
 
 
 def kpi_day_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,6 +228,28 @@ def wide_minute(spark: SparkSession, folder: str) -> DataFrame:
     return minute_records(tables.wide_records(spark, folder), "event_id")
 
 
+def label_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """The period that each event's dashboard label asks for."""
+    turn = F.col("event_id") % 4
+    label = F.when(turn == 0, "Hours").when(turn == 1, "10-Minute").when(turn == 2, "Minutes")
+    return tables.table(spark, folder, "events").select("event_id", period_of_label(label).alias("period"))
+
+
+def plain_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide records inserted in two steps, read back."""
+    path, records = scratch_folder(spark, "wide"), wide_minute(spark, folder)
+    for half in (0, 1):
+        append(records.where(F.col("event_id") % 2 == half), path)
+    return spark.read.schema(records.schema).parquet(path)
+
+
+def placed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events written by place, and those of one state read back."""
+    path = scratch_folder(spark, "places")
+    store.write_by_place(tables.kpi_events(spark, folder), path)
+    return spark.read.parquet(path).where((F.col("region") == REGION) & (F.col("state") == STATE)).select("event_id", "region", "state", "store_id", "kpi_1")
+
+
 QUERIES: dict[str, Query] = {
     **{f"rollup_{g.lower()}_{p.lower()}": _single(g, p) for p in PERIODS for g in GRAINS},
     **{f"rollup_10s_{g.lower()}": _tens(g) for g in GRAINS},
@@ -221,7 +260,8 @@ QUERIES: dict[str, Query] = {
             scan_month, key_scan, latest_store, latest_state, latest_region, page_after, kpi_rows, newer_than,
             newer_than_stats, dedup_ingest, dashboard_totals, chart_series, kpi_day_month,
             kpi_day_month_compat, daily_kpis, daily_kpis_map, region_totals, local_time, date_keys,
-            region_states, filter_sets, json_number, wide_month, wide_minute,
+            region_states, filter_sets, json_number, wide_month, wide_minute, label_periods, plain_insert,
+            placed_events,
         )
     },
 }

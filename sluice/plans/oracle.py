@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from sluice.plans.dashboard import CUTOFF, DAY, PAGE_START, REGION, STATE, STORE
-from sluice.schema import GRAINS, NO_STATE, NO_STORE, PERIODS, REGIONS
+# Written out here and not taken from the library, so that a wrong value there does not stay unseen.
+REGIONS = {
+    "NORTH": ["AM", "RR", "PA", "TO", "AC", "RO", "MA", "AP"],
+    "NORTHEAST": ["MA", "BA", "AL", "PE", "RN", "CE", "PB", "SE", "PI"],
+    "SOUTH": ["RS", "PR", "SC"],
+    "SOUTHEAST": ["MG", "SP", "RJ", "ES"],
+    "MIDWEST": ["MT", "GO", "MS"],
+}
+PERIODS = {"PT1M": 60, "PT10M": 600, "PT1H": 3600}
+GRAINS = {"REGION": ["region"], "STATE": ["region", "state"], "STORE": ["region", "state", "store_id"]}
+NO_STATE, NO_STORE = "NN", -1
+REGION, STATE, STORE = "NORTHEAST", "BA", 10
+DAY, CUTOFF = "2024-01-15", "2024-01-20 02:00:00"
+PAGE_START = "PT10M#2024-01-20 00:00:00.000#2024-01-20 00:00:00.000"
 
 _PAIRS = [(r, s) for r, states in REGIONS.items() for s in states]
 _DIM = ", ".join(f"({i},'{r}','{s}')" for i, (r, s) in enumerate(_PAIRS))
@@ -250,6 +262,14 @@ FROM (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) AS a FROM customer)""",
         + _WIDE
     ),
 }
+DASHBOARD |= {
+    "label_periods": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'PT1H' WHEN 1 THEN 'PT10M' ELSE 'PT1M' END AS period
+FROM events""",
+    "plain_insert": DASHBOARD["wide_minute"],
+    "placed_events": _events(
+        f"SELECT event_id, region, state, store_id, kpi_1 FROM kpi_events WHERE region = '{REGION}' AND state = '{STATE}'"
+    ),
+}
 
 _COMMANDS = """commands AS (
   SELECT o_orderkey AS cmd_id, o_orderdate AS ts,
@@ -336,6 +356,29 @@ WHERE rn = 1""",
 }
 
 
+def _items_of(events: str, sql: str) -> str:
+    """SQL over the items of some of the events only."""
+    return f"""WITH {EVENTS.replace("kpi_events AS (", "every_event AS (")},
+kpi_events AS (SELECT * FROM every_event WHERE {events}),
+rollups AS ({_ALL}),
+items AS ({_keyed("rollups")})
+{sql}"""
+
+
+def _days_and_months() -> str:
+    rows = []
+    for grain in ("REGION", "STATE"):
+        pk = "region" if grain == "REGION" else "region || '#' || state"
+        for space, form in (("D", "%Y-%m-%d"), ("M", "%Y-%m")):
+            kpis = ", ".join(f"sum(kpi_{i})::BIGINT AS kpi{i}" for i in range(1, 6))
+            rows.append(f"SELECT '{grain}' AS grain, {pk} AS pk, '{space}#' || strftime(event_time, '{form}') AS sk, {kpis}, count(*) AS n_rec FROM kpi_events GROUP BY 2, 3")
+    return _events("\nUNION ALL\n".join(rows))
+
+
+_WHOLE_RAW = "event_id % 50 NOT IN (0, 1, 2)"
+_UPTO = "((event_id % 2 = 0 AND ingest_time < TIMESTAMP '2024-01-15') OR (event_id % 2 = 1 AND ingest_time < TIMESTAMP '2024-01-20'))"
+
+
 def _whole(period: str) -> str:
     """All rollups of one period."""
     rows = "\nUNION ALL\n".join(_rollup(g, period) for g in GRAINS)
@@ -355,4 +398,32 @@ FROM verdicts v JOIN commands c ON c.cmd_id = v.cmd_id""",
     "store_stream": _items("SELECT * FROM items"),
     "quarantine": _WIRE + "SELECT event_id, reason FROM classified WHERE status = 'error'",
     "rollup_wire": _items("SELECT 'ok' AS status, pk, sk, n_rec FROM items"),
+    "fan_out_rollups": _items_of(_WHOLE_RAW, "SELECT * FROM items"),
+    "fan_out_counts": _events(
+        f"""SELECT 'archive' AS sink, 'records' AS key, count(*) AS n FROM kpi_events
+UNION ALL SELECT 'quarantine', ['unreadable', 'missing_region', 'missing_time'][event_id % 50 + 1], count(*) FROM kpi_events
+  WHERE NOT ({_WHOLE_RAW}) GROUP BY 2
+UNION ALL SELECT 'rollups', 'records', count(*) FROM kpi_events WHERE {_WHOLE_RAW}
+UNION ALL SELECT 'total', 'all', count(*) FROM kpi_events
+UNION ALL SELECT 'total', 'ok', count(*) FROM kpi_events WHERE {_WHOLE_RAW}
+UNION ALL SELECT 'total', 'err', count(*) FROM kpi_events WHERE NOT ({_WHOLE_RAW})
+UNION ALL SELECT 'region', region, count(*) FROM kpi_events WHERE {_WHOLE_RAW} GROUP BY 2"""
+    ),
+    "store_compacted": _items(
+        "SELECT reader, pk, sk, kpi1, kpi2, kpi3, kpi4, kpi5, n_rec FROM items, (VALUES ('old'), ('new')) AS r(reader)"
+    ),
+    "calendar_increment": _days_and_months(),
+    "purged": _items(
+        """SELECT * FROM items WHERE NOT (region = 'NORTHEAST' AND state = 'BA'
+  AND event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-13')"""
+    ),
+    "final_items": _items_of(
+        _UPTO,
+        f"""SELECT items.* FROM items, (SELECT least(max(ingest_time) FILTER (event_id % 2 = 0), max(ingest_time) FILTER (event_id % 2 = 1)) AS upto
+  FROM every_event WHERE {_UPTO}) WHERE items.ingest_time
+  + to_seconds(CASE period WHEN 'PT1M' THEN 60 WHEN 'PT10M' THEN 600 ELSE 3600 END) <= upto""",
+    ),
+    "upsert_view": _items(
+        "SELECT pk, sk, kpi1 + CASE WHEN n_rec % 2 = 0 THEN 1000 ELSE 0 END AS kpi1, n_rec FROM items", "REGION", "PT1H"
+    ),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,19 @@ from sluice.operators import intake
 from sluice.operators.rollup import ROLLUP, keyed, rollup_all
 from sluice.schema import KPI_SUMS, KPIS, PERIODS, STORE_KPIS
 from sluice.session import scratch_folder
-from sluice.sinks.store import publish, read_store, settled, write_store
+from sluice.sinks import store, versions
+from sluice.sinks.store import MEASURES, publish, read_store, settled, write_store
 from sluice.sources import tables
 from sluice.sources.records import in_envelope, rollup_record
 from sluice.sources.streams import parse_events, typed_folder
+from sluice.streaming import fanout
 from sluice.streaming.delivery import rollup_json, to_table
 from sluice.streaming.ledger import account_stream as account_verdicts
 from sluice.streaming.rollups import rollups_to_store
 
+#: An item's columns, in the order of the queries' SQL.
+ITEMS = ["pk", "sk", "type", "grain", "period", "region", "state", "store_id", *MEASURES, "ingest_time", "event_time"]
+
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -58,7 +64,84 @@ def store_stream(spark: SparkSession, folder: str) -> DataFrame:
         feed = _feed(spark, events.where(half), f"{base}/{name}")
         rollups_to_store(feed, f"{base}/store", f"{base}/c-{name}", periods).awaitTermination()
     write_store(keyed(rollup_all(events.where(~half))), f"{base}/store")
-    return settled(read_store(spark, f"{base}/store"))
+    return settled(read_store(spark, f"{base}/store")).select(*ITEMS)
+
+
+def _raw_feed(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """Raw records as a stream of three files, one per batch, none in order of arrival."""
+    tables.raw_events(spark, folder).repartition(3, F.col("event_id") % 3).select("value", "arrival").write.parquet(path)
+    return spark.readStream.schema("value string, arrival timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _fanned_out(spark: SparkSession, folder: str) -> str:
+    base = scratch_folder(spark, "fan-out")
+    fanout.fan_out(_raw_feed(spark, folder, f"{base}/in"), f"{base}/store", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/store"
+
+
+def fan_out_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """What one job over raw records has rolled up."""
+    return store.read_settled(spark, _fanned_out(spark, folder)).select(*ITEMS)
+
+
+def fan_out_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records in each sink of that job, and its own counts. Archived are set aside and counted ones together."""
+    path = _fanned_out(spark, folder)
+    archived = fanout.read_archive(spark, path).select(F.lit("archive").alias("sink"), F.lit("records").alias("key"), F.lit(1).alias("n"))
+    aside = fanout.read_quarantine(spark, path).select(F.lit("quarantine").alias("sink"), F.col("reason").alias("key"), F.lit(1).alias("n"))
+    rolled = store.read_store(spark, path).where("grain = 'REGION' and period = 'PT1H'")
+    rolled = rolled.select(F.lit("rollups").alias("sink"), F.lit("records").alias("key"), F.col("n_rec").alias("n"))
+    told = fanout.delivered(spark, path).where("stat in ('total', 'region')").select("stat", "key", "n")
+    every = archived.unionByName(aside).unionByName(rolled).unionByName(told.withColumnRenamed("stat", "sink"))
+    return every.groupBy("sink", "key").agg(F.sum("n").alias("n"))
+
+
+def store_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """A store of three batches before and after compaction: a reader of the old version, and one of the new."""
+    base, events = scratch_folder(spark, "compacted"), tables.kpi_events(spark, folder)
+    rollups_to_store(_feed(spark, events, f"{base}/in"), f"{base}/store", f"{base}/checkpoint").awaitTermination()
+    old = versions.load(spark, f"{base}/store").number
+    store.compact(spark, f"{base}/store")
+    before = store.settled(store.read_store(spark, f"{base}/store", old)).withColumn("reader", F.lit("old"))
+    after = store.read_store(spark, f"{base}/store").withColumn("reader", F.lit("new"))
+    columns = ["reader", "pk", "sk", *MEASURES]
+    return before.select(*columns).unionByName(after.select(*columns))
+
+
+def calendar_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and months after two batches, the second of which brings more rows for some days only."""
+    base, events = scratch_folder(spark, "calendar"), tables.kpi_events(spark, folder)
+    late = (F.col("event_id") % 5 == 0) & (F.col("event_time") >= F.lit("2024-01-20").cast("timestamp"))
+    for name, part in (("first", events.where(~late)), ("second", events.where(late))):
+        store.write_store(keyed(rollup_all(part)), base, batch=name)
+        store.refresh(spark, base)
+    return store.calendar_rows(spark, base, "days").unionByName(store.calendar_rows(spark, base, "months"), allowMissingColumns=True).select("grain", "pk", "sk", *MEASURES)
+
+
+def purged(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of a store after the rows of a state on some days are removed."""
+    base = scratch_folder(spark, "purged")
+    store.write_store(keyed(rollup_all(tables.kpi_events(spark, folder))), base, batch="events")
+    store.purge_range(spark, base, "NORTHEAST", "BA", "2024-01-10", "2024-01-12")
+    return store.read_settled(spark, base).select(*ITEMS)
+
+
+def final_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that are final in a store of two streams, one of which has come further than the other."""
+    base, events = scratch_folder(spark, "final"), tables.kpi_events(spark, folder)
+    for k, upto in enumerate(("2024-01-15", "2024-01-20")):
+        part = events.where((F.col("event_id") % 2 == k) & (F.col("ingest_time") < F.lit(upto).cast("timestamp")))
+        feed = _feed(spark, part, f"{base}/in-{k}")
+        rollups_to_store(feed, f"{base}/store", f"{base}/c-{k}", lateness=timedelta(0)).awaitTermination()
+    return store.final_rows(spark, f"{base}/store", PERIODS).select(*ITEMS)
+
+
+def upsert_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of an intake table whose second batch has some of the first one's keys again, with other values."""
+    items = keyed(rollup_all(tables.kpi_events(spark, folder), ["REGION"], ["PT1H"])).select("pk", "sk", "kpi1", "n_rec")
+    again = items.where("n_rec % 2 = 0").withColumn("kpi1", F.col("kpi1") + 1000)
+    both = items.withColumn("batch_id", F.lit(0)).unionByName(again.withColumn("batch_id", F.lit(1)))
+    return store.current_items(both)
 
 
 def account_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,4 +190,11 @@ QUERIES = {
     "store_stream": store_stream,
     "quarantine": quarantine,
     "rollup_wire": rollup_wire,
+    "fan_out_rollups": fan_out_rollups,
+    "fan_out_counts": fan_out_counts,
+    "store_compacted": store_compacted,
+    "calendar_increment": calendar_increment,
+    "purged": purged,
+    "final_items": final_items,
+    "upsert_view": upsert_view,
 }

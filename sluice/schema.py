@@ -73,6 +73,14 @@ KPI_EVENT = T.StructType(
 
 MONEY = T.DecimalType(18, 2)
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "date": T.DateType(),
+          "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "money": MONEY}
+
+
+def columns(text: str) -> T.StructType:
+    """A schema from names and types; needs no session, unlike a DDL text."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in text.split(", "))])
+
 
 def region_dimension(spark: SparkSession) -> DataFrame:
     """The 27 (region, state) pairs, numbered in order.

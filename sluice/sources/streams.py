@@ -52,12 +52,13 @@ def typed_folder(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.parquet(path)
 
 
-def parse_events(raw: DataFrame, arrival: Column | str = "arrival") -> DataFrame:
+def parse_events(raw: DataFrame, arrival: Column | str = "arrival", *carried: str) -> DataFrame:
     """JSON records as typed KPI events, plus the raw text of those that cannot be read in ``bad_record``."""
     schema = T.StructType([*WIRE_EVENT, T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     e = F.col("e")
     return raw.withColumn("e", F.from_json("value", schema, options)).select(
+        *carried,
         parse_time(e["event-time"]).alias("event_time"),
         F.col(arrival).alias("ingest_time") if isinstance(arrival, str) else arrival.alias("ingest_time"),
         e["region"].alias("region"),

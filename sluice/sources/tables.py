@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.time import DAY_KEY, MINUTE_KEY, MONTH_KEY
 from sluice.schema import KPIS, MONEY, region_dimension
+from sluice.sources.records import event_record
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +56,19 @@ def typed_events(e: DataFrame) -> DataFrame:
     )
 
 
+def raw_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as raw JSON with their arrival, some of them broken, without a region or with a time that is none."""
+    event = F.to_json(event_record())
+    turn = F.col("event_id") % 50
+    value = (
+        F.when(turn == 0, F.substring(event, 1, 20))
+        .when(turn == 1, F.to_json(event_record().withField("region", F.lit(None).cast("string"))))
+        .when(turn == 2, F.to_json(event_record().withField("`event-time`", F.lit("never"))))
+        .otherwise(event)
+    )
+    return kpi_events(spark, folder).select("event_id", value.alias("value"), F.col("ingest_time").alias("arrival"))
+
+
 def wire_records(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded rollup records with every irregular case: unknown types and missing fields."""
     i = F.col("event_id")

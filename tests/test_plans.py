@@ -42,9 +42,23 @@ def test_all_rollups_read_the_events_once(spark, small):
     assert text.count("Exchange hashpartitioning") == 2
 
 
-def test_served_queries_read_the_events_once(spark, small):
-    for name in ("dashboard_totals", "kpi_day_month", "kpi_day_month_compat"):
-        assert plan(QUERIES[name](spark, small)).count("FileScan parquet") == 1
+SERVED = ("prefix_scan", "range_scan", "scan_day", "scan_month", "latest_store", "latest_state", "latest_region", "page_after",
+          "kpi_rows", "dashboard_totals", "chart_series", "kpi_day_month", "kpi_day_month_compat")
+
+
+@pytest.mark.parametrize("name", SERVED)
+def test_served_queries_read_the_store_once_and_no_raw_event(spark, small, name):
+    df = QUERIES[name](spark, small)
+    files = df.inputFiles()
+    assert files and not [f for f in files if "events.parquet" in f]
+    assert plan(df).count("FileScan parquet") == 1 + (name == "dashboard_totals")  # and the counts
+    of_day = {f.split("event_date=")[1][:10] for f in files if "/rollups/" in f}
+    if name in ("prefix_scan", "latest_state", "latest_region", "kpi_rows"):
+        assert of_day == {"2024-01-15"}
+    if name in ("range_scan", "scan_day", "scan_month"):
+        assert not of_day
+    if name == "range_scan":
+        assert {f.split("day=")[1][:10] for f in files} == {"2024-01-10", "2024-01-11", "2024-01-12"}
 
 
 def test_totals_cut_before_the_shuffle(spark, small):
@@ -57,7 +71,7 @@ def test_newest_rows_are_a_top_k(spark, small):
 
 
 def test_day_reaches_the_parquet_reader(spark, small):
-    pushed = re.search(r"PushedFilters: \[([^\]]*)", plan(QUERIES["prefix_scan"](spark, small))).group(1)
+    pushed = re.search(r"PushedFilters: \[([^\]]*)", plan(rollup(kpi_events(spark, small, "2024-01-15"), "STATE", "PT1H"))).group(1)
     assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
 
 
