@@ -17,8 +17,12 @@ The replay decides in rounds, from bounds:
   which the next chunks take their starting bounds. There are at most two tails
   per chunk, so that table is bounded by the number of partitions.
 
-The earliest open command always has exact bounds, so every round gets on. Rounds are as many as the longest chain of
-commands that hang on each other's outcome; no round runs in fewer tasks than it has chunks.
+* Chains of commands that hang on each other's outcome would need a round for each link. So where bounds decide less than
+  half of what is open, or little is left, a wave goes over the earliest ``WAVE`` open commands: both legs of a command lie
+  in the same stretch of time and all before it is decided, so balances are exact and one pass in order decides it whole.
+  What it decides is input of the next round of bounds. A wave's size is fixed, so it is one task whatever the ledger's
+  size, and there are at most as many rounds after the first as waves that the open commands fill, and bounds rounds
+  that halve them.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import count
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,10 +49,14 @@ NO_BOUND = 4 * 10**18  # cents; above any balance, with room to add without over
 LAST = 2**63 - 1  # sorts a tail behind all legs of its account
 UNSET = -(2**63)  # in place of starting bounds: the account starts in this chunk
 
+#: Open commands that a wave decides.
+WAVE = 50_000
+
 LEG = "chunk int, acc bigint, at bigint, cmd_id bigint, side int, amount bigint, opening bigint, before bigint"
 LEG_COLUMNS = [c.split()[0] for c in LEG.split(", ")]
 OUT = f"{LEG}, accepted boolean, min_net bigint, max_net bigint, lo bigint, hi bigint, kind string"
-FOLD_INPUT = [*LEG_COLUMNS, "sure", "lo", "hi"]
+LEG_AND_SURE = [*LEG_COLUMNS, "sure"]
+FOLD_INPUT = [*LEG_AND_SURE, "lo", "hi"]
 
 
 def static_reason(known: Column) -> Column:
@@ -79,8 +88,7 @@ def check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
 def replay(commands: DataFrame, accounts: DataFrame, partitions: int | None = None) -> DataFrame:
     """All commands with ``accepted`` and ``reason``, as applied in (ts, cmd_id) order.
 
-    Every round decides at least the earliest open command, and in practice most that no other open command bears on;
-    the number of rounds follows the longest chain of commands that hang on each other's outcome.
+    Rounds of bounds decide what no open command bears on, waves the earliest of the rest.
 
     Runs its Spark jobs at once; the outcome of each is a table in the shared
     scratch folder, which also holds the result.
@@ -94,15 +102,19 @@ def replay(commands: DataFrame, accounts: DataFrame, partitions: int | None = No
     done = _run(first, _fold(first_round=True), base, 1)
     before = None
     for step in count(2):
-        still_open = _count_open(done)
-        if still_open[1] == 0:
+        _, still_open = _count_open(done)
+        if not still_open:
             break
-        if still_open == before:
-            raise RuntimeError(f"a round of the replay decided none of {still_open[1]} open commands")
+        rows = _open_rows(done)
+        if still_open <= WAVE or (before is not None and 2 * still_open > before):
+            told = _wave(rows, base, step, still_open)
+            if still_open <= WAVE:
+                break
+            rows = _applied(rows, told)
         before = still_open
-        done = _run(_in_chunks(_open_rows(done), _tails(done)), _fold(first_round=False), base, step)
+        done = _run(_in_chunks(rows, _tails(done)), _fold(first_round=False), base, step)
     decided = (
-        spark.read.schema(f"{OUT}, step int")
+        spark.read.schema(f"{OUT}, step int, part string")
         .parquet(base)
         .filter("kind = 'verdict'")
         .select("cmd_id", "accepted")
@@ -130,9 +142,9 @@ def _legs(valid: DataFrame) -> DataFrame:
     ).filter(F.col("acc").isNotNull())
 
 
-def _run(todo: DataFrame, fold, base: str, step: int) -> DataFrame:
+def _run(todo: DataFrame, fold, base: str, step: int, part: str = "bounds") -> DataFrame:
     """Runs one pass and returns its table."""
-    path = f"{base}/step={step}"
+    path = f"{base}/step={step}/part={part}"
     todo.select(*FOLD_INPUT).mapInArrow(fold, OUT).write.partitionBy("kind").mode("overwrite").parquet(path)
     return todo.sparkSession.read.schema(OUT).parquet(path)
 
@@ -152,19 +164,32 @@ def _tails(done: DataFrame) -> DataFrame:
 
 def _open_rows(done: DataFrame) -> DataFrame:
     """Open legs and tails of a round, with its decisions applied to the waiting credits."""
-    verdicts = done.filter("kind = 'verdict'").select("cmd_id", "accepted")
-    legs = _open(done).select(*LEG_COLUMNS)
-    debits = legs.filter("side < 0").withColumn("sure", F.lit(False))
+    legs = _open(done).select(*LEG_COLUMNS).withColumn("sure", F.lit(False))
+    tails = _tails(done).select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
+    credits = _applied(legs.filter("side > 0"), done.filter("kind = 'verdict'"))
+    return legs.filter("side < 0").unionByName(credits).unionByName(tails)
+
+
+def _applied(rows: DataFrame, done: DataFrame) -> DataFrame:
+    """Open rows with decisions applied: a leg of a decided command is sure, and of a rejected one nothing."""
+    verdicts = done.select("cmd_id", "accepted")
     rejected = F.coalesce(~F.col("accepted"), F.lit(False))
-    credits = (
-        legs.filter("side > 0")
-        .join(verdicts, "cmd_id", "left")
-        .withColumn("amount", F.when(rejected, 0).otherwise(F.col("amount")))
-        .withColumn("sure", F.col("accepted").isNotNull())
-        .drop("accepted")
+    told = rows.join(verdicts, "cmd_id", "left").withColumns(
+        {"amount": F.when(rejected, 0).otherwise(F.col("amount")), "sure": F.col("sure") | F.col("accepted").isNotNull()}
     )
-    tails = _tails(done).select(*LEG_COLUMNS).withColumn("sure", F.lit(True))
-    return debits.unionByName(credits).unionByName(tails)
+    return told.select(*LEG_COLUMNS, "sure")
+
+
+def _wave(rows: DataFrame, base: str, step: int, still_open: int) -> DataFrame:
+    """Decides the earliest ``WAVE`` open commands, or all if there are fewer, and returns their verdicts."""
+    if still_open > WAVE:
+        earliest = rows.filter("side < 0 and not sure").select("at", "cmd_id").orderBy("at", "cmd_id").limit(WAVE)
+        at, cmd = earliest.agg(F.max(F.struct("at", "cmd_id")).alias("last")).select("last.*").first()
+        rows = rows.filter((F.col("side") == 0) | (F.col("at") < at) | ((F.col("at") == at) & (F.col("cmd_id") <= cmd)))
+    ordered = rows.withColumns({c: F.lit(0).cast("bigint") for c in ("lo", "hi")})
+    # Tails come first: what an account gained in a chunk after its last open leg counts before its next chunk.
+    ordered = ordered.repartition(1).sortWithinPartitions(F.abs("side"), "at", "cmd_id", "side", "chunk")
+    return _run(ordered, _in_order, base, step, "wave")
 
 
 def _in_chunks(rows: DataFrame, tails: DataFrame) -> DataFrame:
@@ -266,6 +291,10 @@ def _fold(first_round: bool):
             a.waiting = []
 
         for batch in batches:
+            if first_round and batch.num_rows:
+                decided, rest = _clean(batch)
+                out.verdicts[True] += batch.column(LEG_COLUMNS.index("cmd_id")).take(pa.array(decided)).to_pylist()
+                batch = batch.take(pa.array(rest))
             for chunk, acc, at, cmd, side, amount, opening, before, sure, lo, hi in _rows(batch):
                 if a is None or acc != a.acc or chunk != a.chunk:
                     if first_round and accounts == 1:
@@ -289,6 +318,8 @@ def _fold(first_round: bool):
                         a.leave_open(at, cmd, side, amount)
                         a.hi += amount
                         a.max_net += amount
+                elif sure:
+                    a.move(-amount)
                 elif a.lo >= amount:
                     a.move(-amount)
                     out.verdicts[True].append(cmd)
@@ -308,6 +339,49 @@ def _fold(first_round: bool):
     return run
 
 
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact verdicts of commands in order; all that is held is a balance for each account that they name."""
+    balance: dict[int, int] = {}
+    gains: dict[int, list[tuple[int, int]]] = {}
+    last = None
+    for batch in batches:
+        out = _Output()
+        for chunk, acc, _, cmd, side, amount, opening, before, sure, *_ in _rows(batch):
+            if side == 0:
+                gains.setdefault(acc, []).append((chunk, before))
+                continue
+            has = balance.get(acc, opening)
+            if waiting := gains.get(acc):
+                has += sum(gain for at, gain in waiting if at < chunk)
+                gains[acc] = [w for w in waiting if w[0] >= chunk]
+            has += before
+            if sure:
+                has += side * amount
+            elif side < 0:
+                last = cmd if has >= amount else None
+                out.verdicts[last is not None].append(cmd)
+                has -= amount if last is not None else 0
+            elif cmd == last:
+                has += amount
+            balance[acc] = has
+        yield from out.batches()
+
+
+def _clean(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows belong to an account whose debits are all covered by what it has for certain, and which are left to be
+    gone through one by one. An account at an end of the batch may have rows in others, so it is among the rest."""
+    acc, side, amount, opening, sure = (batch.column(LEG_AND_SURE.index(c)).to_numpy(zero_copy_only=False) for c in ("acc", "side", "amount", "opening", "sure"))
+    starts = np.flatnonzero(np.append(True, acc[1:] != acc[:-1]))
+    size = np.diff(np.append(starts, len(acc)))
+    total = np.cumsum(np.where(side < 0, -amount, np.where(sure, amount, 0)))
+    base = np.where(starts > 0, total[starts - 1], 0)
+    has = total - np.repeat(base, size) + opening
+    covered = np.minimum.reduceat(np.where(side < 0, has, 0), starts) >= 0
+    covered[[0, -1]] = False
+    clean = np.repeat(covered, size)
+    return np.flatnonzero(clean & ((side < 0) | sure)), np.flatnonzero(~clean)
+
+
 def _verdicts(commands: DataFrame, decided: DataFrame) -> DataFrame:
     """Commands with their verdicts; one that never became a leg was rejected statically."""
     known = F.col("accepted").isNotNull()

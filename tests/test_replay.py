@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from brute import money, replay as one_by_one
 from pyspark.sql import functions as F
 
-from sluice.operators import ledger
+from sluice.operators import ledger, replay as replay_module
 from sluice.operators.replay import replay
 from sluice.operators.running import running_total
+from sluice.session import _shared
 from sluice.sources import tables
 
 COMMANDS = "cmd_id bigint, ts timestamp_ntz, kind string, src bigint, dst bigint, amount decimal(18,2)"
@@ -54,9 +56,10 @@ def made_up(seed, n, accounts, hot_share, ties, transfer_share=0.5):
     return out, openings
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
-def test_hot_account_and_ties(spark, partitions):
-    """From bounds only, and with few, some and all open legs applied one by one in a round."""
+@pytest.mark.parametrize("partitions, wave", [(1, 50_000), (3, 20), (16, 150), (5, 0)])
+def test_hot_account_and_ties(spark, monkeypatch, partitions, wave):
+    """With all, some and few of the open commands in a wave."""
+    monkeypatch.setattr(replay_module, "WAVE", wave or 10)
     commands, openings = made_up(1, 900, 12, 0.4, 5)
     want, closing = one_by_one(commands, openings)
     df, acc, verdicts, got = run(spark, commands, openings, partitions)
@@ -73,16 +76,26 @@ def test_one_account_only(spark, partitions):
     assert run(spark, commands, openings, partitions)[3] == want
 
 
-@pytest.mark.parametrize("links", [7, 20])
-def test_chain(spark, links):
+def rounds(spark):
+    """Rounds of the newest replay, by the folders of its tables."""
+    base = Path(_shared(spark).removeprefix("file:"))
+    newest = max(base.glob("replay-*"), key=lambda p: p.stat().st_mtime)
+    return len(list(newest.glob("step=*")))
+
+
+@pytest.mark.parametrize("links, wave", [(200, 50_000), (2000, 50_000), (200, 60)])
+def test_chain(spark, monkeypatch, links, wave):
     """Each transfer can be paid only from the one before."""
+    monkeypatch.setattr(replay_module, "WAVE", wave)
     openings = {a: money(0) for a in range(links + 1)}
     commands = [command(0, T0, None, 0, 10000)]
     commands += [command(i + 1, T0 + timedelta(seconds=i + 1), i, i + 1, 10000) for i in range(links)]
-    early = [command(1000 + i, T0 + timedelta(seconds=i, milliseconds=500), i + 1, None, 10000) for i in range(links)]
+    early = [command(10**6 + i, T0 + timedelta(seconds=i, milliseconds=500), i + 1, None, 10000) for i in range(links)]
     commands += early  # one withdrawal per account before the money gets there
     want, _ = one_by_one(commands, openings)
     assert run(spark, commands, openings, 4)[3] == want
+    # After the first round, one for each wave that the open commands fill, and one of bounds.
+    assert rounds(spark) <= 2 + -(-2 * links // wave)
     assert want[links] == (True, None) and not any(want[c[0]][0] for c in early)
 
 
