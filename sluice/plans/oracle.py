@@ -330,17 +330,62 @@ postings AS (SELECT acc_id, CASE WHEN kind = 'MoneyDeposit' OR (kind = 'MoneyTra
 _REPLAY_OWN = _REPLAY.format(chosen="kind <> 'MoneyTransfer'")
 _REPLAY_ALL = _REPLAY.format(chosen="true")
 
+# The same with creations as commands that set a balance. An account that is not there has no balance, so a command that
+# names it is rejected when its turn comes.
+_CREATED = f"""WITH RECURSIVE {_COMMANDS.split("accounts AS (")[0]}
+accounts AS (SELECT c_custkey AS acc_id, CAST(c_acctbal AS DECIMAL(18,2)) AS opening FROM customer WHERE c_custkey % 5 <> 0),
+chosen AS (
+  SELECT cmd_id, ts, kind, src, dst, amount, CASE WHEN trunc(amount) <= 0 THEN 'Invalid amount'
+    WHEN src = dst THEN 'Same source and destination accounts not allowed' END AS fault FROM commands WHERE cmd_id % 29 <> 0
+  UNION ALL
+  SELECT o_orderkey, o_orderdate, 'Create', NULL, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)), NULL FROM orders WHERE o_orderkey % 29 = 0),
+legs AS (SELECT cmd_id, acc, row_number() OVER (PARTITION BY acc ORDER BY ts, cmd_id) AS n FROM (
+    SELECT cmd_id, ts, src AS acc FROM chosen WHERE fault IS NULL AND src IS NOT NULL
+    UNION ALL SELECT cmd_id, ts, dst FROM chosen WHERE fault IS NULL AND dst IS NOT NULL)),
+todo AS MATERIALIZED (SELECT c.cmd_id, c.kind, c.src, c.dst, c.amount, s.n AS n_src, d.n AS n_dst
+  FROM chosen c LEFT JOIN legs s ON s.cmd_id = c.cmd_id AND s.acc = c.src
+    LEFT JOIN legs d ON d.cmd_id = c.cmd_id AND d.acc = c.dst WHERE fault IS NULL),
+steps(what, id, amount, n) USING KEY (what, id) AS (
+  SELECT 'balance' AS what, id, CAST(opening AS DECIMAL(18,2)) AS amount, CAST(0 AS BIGINT) AS n
+  FROM (SELECT acc_id AS id FROM accounts UNION SELECT acc FROM legs) LEFT JOIN accounts ON acc_id = id
+  UNION
+  (WITH ready AS (SELECT t.*, s.amount AS src_has, d.amount AS dst_has,
+      kind = 'Create' OR ((src IS NULL OR s.amount IS NOT NULL) AND (dst IS NULL OR d.amount IS NOT NULL)) AS known,
+      known AND coalesce(s.amount >= t.amount, true) AS ok
+    FROM todo t
+      LEFT JOIN recurring.steps s ON s.what = 'balance' AND s.id = t.src AND s.n + 1 = t.n_src
+      LEFT JOIN recurring.steps d ON d.what = 'balance' AND d.id = t.dst AND d.n + 1 = t.n_dst
+    WHERE (t.src IS NULL OR s.id IS NOT NULL) AND (t.dst IS NULL OR d.id IS NOT NULL))
+  SELECT 'balance', src, CAST(src_has - CASE WHEN ok THEN amount ELSE 0 END AS DECIMAL(18,2)), n_src FROM ready WHERE src IS NOT NULL
+  UNION ALL
+  SELECT 'balance', dst, CAST(CASE WHEN kind = 'Create' THEN amount ELSE dst_has + CASE WHEN ok THEN amount ELSE 0 END END AS DECIMAL(18,2)), n_dst
+  FROM ready WHERE dst IS NOT NULL
+  UNION ALL SELECT 'Debit', cmd_id, CAST(src_has - amount AS DECIMAL(18,2)), 0 FROM ready WHERE src IS NOT NULL AND ok
+  UNION ALL SELECT 'Credit', cmd_id, CAST(dst_has + amount AS DECIMAL(18,2)), 0 FROM ready WHERE dst IS NOT NULL AND kind <> 'Create' AND ok
+  UNION ALL SELECT 'verdict', cmd_id, CAST(CASE WHEN ok THEN 1 WHEN known THEN 0 ELSE 2 END AS DECIMAL(18,2)), 0 FROM ready)),
+verdicts AS (SELECT c.*, coalesce(v.amount = 1, false) AS accepted,
+    coalesce(c.fault, CASE v.amount WHEN 0 THEN 'Insufficient balance' WHEN 2 THEN 'No account data found' END) AS reason
+  FROM chosen c LEFT JOIN steps v ON v.what = 'verdict' AND v.id = c.cmd_id WHERE kind <> 'Create')
+"""
+
+_STATEMENT = """SELECT p.acc_id, ts, cmd_id, kind, indicator, p.amount, CAST(a.opening + sum(
+    CASE WHEN indicator = 'Credit' THEN p.amount ELSE -p.amount END)
+    OVER (PARTITION BY p.acc_id ORDER BY ts, cmd_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS balance
+FROM postings p JOIN accounts a ON a.acc_id = p.acc_id"""
+
 LEDGER: dict[str, str] = {
+    "creation_replay": _CREATED + "SELECT cmd_id, accepted, reason FROM verdicts",
+    "creation_statement": _CREATED
+    + """SELECT CASE s.what WHEN 'Debit' THEN src ELSE dst END AS acc_id, ts, cmd_id, kind, s.what AS indicator, v.amount, s.amount AS balance
+FROM verdicts v JOIN steps s ON s.id = v.cmd_id AND s.what IN ('Debit', 'Credit')""",
+    "creation_balances": _CREATED + "SELECT id AS acc_id, amount AS balance FROM steps WHERE what = 'balance' AND amount IS NOT NULL",
+    "account_statement": _REPLAY_ALL + _STATEMENT + " WHERE p.acc_id = 7",
     "command_check": f"""WITH {_COMMANDS}
 SELECT cmd_id, kind, fault IS NULL AS valid, fault AS reason FROM checked""",
     "account_replay": _REPLAY_OWN + "SELECT * FROM verdicts",
     "transfer_replay": _REPLAY_ALL + "SELECT * FROM verdicts",
     "postings": _REPLAY_ALL + "SELECT * FROM postings",
-    "statement": _REPLAY_ALL
-    + """SELECT p.acc_id, ts, cmd_id, kind, indicator, p.amount, CAST(a.opening + sum(
-    CASE WHEN indicator = 'Credit' THEN p.amount ELSE -p.amount END)
-    OVER (PARTITION BY p.acc_id ORDER BY ts, cmd_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS balance
-FROM postings p JOIN accounts a ON a.acc_id = p.acc_id""",
+    "statement": _REPLAY_ALL + _STATEMENT,
     "statement_compat": _REPLAY_ALL + "SELECT * FROM postings WHERE starts_with(sort, 'TX_')",
     "balances": _REPLAY_ALL
     + """, requested AS (SELECT DISTINCT acc_id FROM (

@@ -162,3 +162,19 @@ def account_creations(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("acc_id"),
         F.col("o_totalprice").cast(MONEY).alias("init_balance"),
     )
+
+
+def later_creations(spark: SparkSession, folder: str) -> DataFrame:
+    """Creations among the commands, some of accounts that are there already."""
+    made = account_creations(spark, folder)
+    return made.where("cmd_id % 29 = 0")
+
+
+def commands_beside_creations(spark: SparkSession, folder: str) -> DataFrame:
+    """The commands that are no creations."""
+    return commands(spark, folder).where("cmd_id % 29 <> 0")
+
+
+def first_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """The accounts that are there before the first command."""
+    return accounts(spark, folder).where("acc_id % 5 <> 0")
