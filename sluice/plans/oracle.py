@@ -468,6 +468,15 @@ UNION ALL SELECT 'region', region, count(*) FROM kpi_events WHERE {_WHOLE_RAW} G
   FROM every_event WHERE {_UPTO}) WHERE items.ingest_time
   + to_seconds(CASE period WHEN 'PT1M' THEN 60 WHEN 'PT10M' THEN 600 ELSE 3600 END) <= upto""",
     ),
+    "intake_stats": _WIRE + _STATS,
+    "late_accounts": _CREATED.replace("FROM commands WHERE cmd_id % 29 <> 0", "FROM commands WHERE cmd_id % 29 <> 0 AND kind <> 'MoneyTransfer'")
+    + """, own AS (SELECT *, coalesce(src, dst) AS acc_id FROM verdicts),
+moves AS (SELECT acc_id, ts, cmd_id, 1 AS turn, CASE WHEN accepted THEN CASE WHEN src IS NULL THEN amount ELSE -amount END ELSE 0 END AS change, accepted, reason FROM own
+  UNION ALL SELECT dst, ts, cmd_id, 0, amount, NULL, NULL FROM chosen WHERE kind = 'Create'
+  UNION ALL SELECT acc_id, NULL, NULL, 0, opening, NULL, NULL FROM accounts),
+cut AS (SELECT *, sum(1 - turn) OVER (PARTITION BY acc_id ORDER BY ts NULLS FIRST, cmd_id, turn ROWS UNBOUNDED PRECEDING) AS segment FROM moves)
+SELECT cmd_id, acc_id, accepted, reason, CASE WHEN segment > 0 THEN CAST(sum(change) OVER (PARTITION BY acc_id, segment ORDER BY ts NULLS FIRST, cmd_id, turn ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) END AS balance
+FROM cut QUALIFY turn = 1""",
     "upsert_view": _items(
         "SELECT pk, sk, kpi1 + CASE WHEN n_rec % 2 = 0 THEN 1000 ELSE 0 END AS kpi1, n_rec FROM items", "REGION", "PT1H"
     ),

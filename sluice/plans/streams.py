@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from sluice.sources.records import in_envelope, rollup_record
 from sluice.sources.streams import parse_events, typed_folder
 from sluice.streaming import fanout
 from sluice.streaming.delivery import rollup_json, to_table
+from sluice.streaming.intake import take_in
 from sluice.streaming.ledger import account_stream as account_verdicts
 from sluice.streaming.rollups import rollups_to_store
 
@@ -30,6 +32,17 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def _result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Runs a stream over what there is, into a table in the scratch folder."""
     base = scratch_folder(spark, label)
@@ -136,6 +149,16 @@ def final_items(spark: SparkSession, folder: str) -> DataFrame:
     return store.final_rows(spark, f"{base}/store", PERIODS).select(*ITEMS)
 
 
+def intake_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of rollup records that a stream has taken in, as it observed them."""
+    base = scratch_folder(spark, "intake")
+    envelopes = tables.wire_records(spark, folder).select("event_id", in_envelope(rollup_record(KPIS)).alias("data"))
+    envelopes.repartition(3, F.col("event_id") % 3).select("data").write.parquet(f"{base}/in")
+    feed = spark.readStream.schema("data string").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    take_in(feed, f"{base}/store", f"{base}/checkpoint").awaitTermination()
+    return fanout.delivered(spark, f"{base}/store")
+
+
 def upsert_view(spark: SparkSession, folder: str) -> DataFrame:
     """Items of an intake table whose second batch has some of the first one's keys again, with other values."""
     items = keyed(rollup_all(tables.kpi_events(spark, folder), ["REGION"], ["PT1H"])).select("pk", "sk", "kpi1", "n_rec")
@@ -149,12 +172,20 @@ def account_stream(spark: SparkSession, folder: str) -> DataFrame:
         tables.table_stream(spark, folder, "orders"), tables.table(spark, folder, "customer")
     )
     verdicts = account_verdicts(commands, tables.accounts(spark, folder))
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
+    with rocksdb(spark):
         return _result(spark, verdicts.drop("balance"), "stream-accounts")
-    finally:
-        spark.conf.set(PROVIDER, before)
+
+
+def late_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Deposits and withdrawals of accounts some of which are created, or created again, by the stream."""
+    commands = tables.commands_beside_creations(spark, folder).where("kind <> 'MoneyTransfer'")
+    base = scratch_folder(spark, "late")
+    commands.write.parquet(f"{base}/commands")
+    tables.later_creations(spark, folder).write.parquet(f"{base}/creations")
+    feeds = [spark.readStream.schema(spark.read.parquet(f"{base}/{n}").schema).parquet(f"{base}/{n}") for n in ("commands", "creations")]
+    verdicts = account_verdicts(feeds[0], tables.first_accounts(spark, folder), feeds[1], held=20)
+    with rocksdb(spark):
+        return _result(spark, verdicts, "late-accounts").select("cmd_id", "acc_id", "accepted", "reason", "balance")
 
 
 def parsed_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,4 +228,6 @@ QUERIES = {
     "purged": purged,
     "final_items": final_items,
     "upsert_view": upsert_view,
+    "intake_stats": intake_stats,
+    "late_accounts": late_accounts,
 }

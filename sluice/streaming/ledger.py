@@ -1,12 +1,15 @@
 """Deposits and withdrawals as a stream, with each account's balance as state.
 
+Accounts may be there from the start or come as creations, which are rows of the stream and take effect in their place.
 Transfers tie accounts together and are left to the batch replay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,54 +19,128 @@ from sluice.functions.money import from_cents, to_cents
 from sluice.operators.replay import INVALID_AMOUNT, TOO_LITTLE, UNKNOWN_ACCOUNT
 
 OUT = "cmd_id bigint, acc_id bigint, accepted boolean, reason string, cents bigint"
+#: An account's rows of a micro-batch that are held at once; more go into the state, by time.
+HELD = 100_000
+#: How much time goes into a piece of the state.
+PIECE = timedelta(hours=1)
+#: Rows that are added up at once: a rejection makes the rest of them be added up again.
+BLOCK = 1024
+
+ROW = ["at", "turn", "cmd_id", "change", "valid"]
+
+
+def decide(cents: int, change: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which changes of a balance are accepted, and the balance after each. Up to the next debit that is not covered the
+    balance is a running sum."""
+    accepted, after, at = np.zeros(len(change), bool), np.empty(len(change), np.int64), 0
+    while at < len(change):
+        here = slice(at, at + BLOCK)
+        total = cents + np.cumsum(np.where(valid[here], change[here], 0))
+        short = np.flatnonzero(valid[here] & (change[here] < 0) & (total < 0))
+        n = int(short[0]) if len(short) else len(total)
+        accepted[at : at + n], after[at : at + n] = valid[at : at + n], total[:n]
+        cents = int(total[n - 1]) if n else cents
+        if len(short):
+            after[at + n] = cents
+        at += n + bool(len(short))
+    return accepted, after
 
 
 class AccountBalance(StatefulProcessor):
-    """Applies an account's commands of a micro-batch in order; state is the balance in cents."""
+    """Applies an account's rows of a micro-batch in order of time; state is the balance in cents.
+
+    Rows come unordered and in chunks. Those of most accounts are few and sorted as they are. Where an account has more than
+    ``held``, its rows go into the state in pieces of time and are applied piece by piece, so that one piece is in memory,
+    whatever the account's share of the batch.
+    """
+
+    def __init__(self, held: int = HELD, piece: timedelta = PIECE):
+        self._most, self._width = held, piece // timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.balance = handle.getValueState("balance", "cents bigint")
+        self.pieces = handle.getMapState("pieces", "piece bigint", "rows binary")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         self.balance.update((int(initialState["opening"].iloc[0]),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        todo = pd.concat(rows).sort_values(["at", "cmd_id"])
-        known = self.balance.exists()
-        cents = self.balance.get()[0] if known else 0
+        cents = self.balance.get()[0] if self.balance.exists() else None
+        held, n, stored = [], 0, set()
+        for chunk in rows:
+            held.append(chunk[ROW].to_numpy(np.int64))
+            n += len(chunk)
+            if n > self._most:
+                stored |= self._put_aside(np.concatenate(held))
+                held, n = [], 0
+        if stored and held:
+            stored |= self._put_aside(np.concatenate(held))
+        if stored:
+            for piece in sorted(stored):
+                own = np.frombuffer(bytes(self.pieces.getValue((piece,))[0]), np.int64).reshape(-1, len(ROW))
+                self.pieces.removeKey((piece,))
+                cents, out = self._applied(key[0], cents, own)
+                yield out
+        elif held:
+            cents, out = self._applied(key[0], cents, np.concatenate(held))
+            yield out
+        if cents is not None:
+            self.balance.update((cents,))
+
+    def _put_aside(self, rows: np.ndarray) -> set[int]:
+        of = rows[:, 0] // self._width
+        for piece in np.unique(of).tolist():
+            own = rows[of == piece].tobytes()
+            if self.pieces.containsKey((piece,)):
+                own = bytes(self.pieces.getValue((piece,))[0]) + own
+            self.pieces.updateValue((piece,), (own,))
+        return set(np.unique(of).tolist())
+
+    @staticmethod
+    def _applied(account: int, cents: int | None, rows: np.ndarray) -> tuple[int | None, pd.DataFrame]:
+        # In order of time and command; a creation comes before a command of the same number.
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 2], rows[:, 0]))]
+        made = rows[:, 1] == 0
         out = []
-        for cmd, change, valid in zip(todo["cmd_id"], todo["change"], todo["valid"]):
-            if not valid:
-                reason = INVALID_AMOUNT
-            elif not known:
-                reason = UNKNOWN_ACCOUNT
-            elif change < 0 and cents + change < 0:
-                reason = TOO_LITTLE
+        for part in np.split(rows, np.flatnonzero(made)):
+            if not len(part):
+                continue
+            if part[0, 1] == 0:
+                cents, part = int(part[0, 3]), part[1:]
+            valid = part[:, 4] == 1
+            if cents is None:
+                accepted, after = np.zeros(len(part), bool), pd.array([None] * len(part), "Int64")
+                reason = np.where(valid, UNKNOWN_ACCOUNT, INVALID_AMOUNT)
             else:
-                reason = None
-                cents += int(change)
-            out.append((cmd, key[0], reason is None, reason, cents if known else None))
-        if known:
-            self.balance.update((cents,))
-        yield pd.DataFrame(out, columns=["cmd_id", "acc_id", "accepted", "reason", "cents"]).astype({"cents": "Int64"})
+                accepted, own = decide(cents, part[:, 3], valid)
+                reason = np.where(accepted, None, np.where(valid, TOO_LITTLE, INVALID_AMOUNT))
+                cents, after = int(own[-1]) if len(own) else cents, pd.array(own, "Int64")
+            out.append(pd.DataFrame({"cmd_id": part[:, 2], "acc_id": account, "accepted": accepted, "reason": reason, "cents": after}))
+        return cents, pd.concat(out) if out else pd.DataFrame(columns=["cmd_id", "acc_id", "accepted", "reason", "cents"])
 
     def close(self) -> None:
         pass
 
 
-def account_stream(commands: DataFrame, accounts: DataFrame) -> DataFrame:
+def account_stream(commands: DataFrame, accounts: DataFrame, creations: DataFrame | None = None, held: int = HELD, piece: timedelta = PIECE) -> DataFrame:
     """Verdict and balance after each deposit or withdrawal, in order within each micro-batch.
 
-    Needs the RocksDB state store provider. The source's limit per micro-batch bounds what one account can have in a task.
+    ``accounts`` are there from the start; ``creations`` (``cmd_id``, ``ts``, ``acc_id``, ``init_balance``) is a stream too.
+    Needs the RocksDB state store provider.
     """
+    at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
     amount = to_cents(F.col("amount"))
     moves = commands.filter(F.col("src").isNull() | F.col("dst").isNull()).select(
         F.coalesce("src", "dst").alias("acc_id"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        at,
+        F.lit(1).alias("turn"),
         "cmd_id",
         F.when(F.col("src").isNull(), amount).otherwise(-amount).alias("change"),
-        (F.col("amount").cast("bigint") > 0).alias("valid"),
+        (F.col("amount").cast("bigint") > 0).cast("int").alias("valid"),
     )
+    if creations is not None:
+        made = creations.select("acc_id", at, F.lit(0).alias("turn"), "cmd_id", to_cents(F.col("init_balance")).alias("change"), F.lit(1).alias("valid"))
+        moves = moves.unionByName(made)
     openings = accounts.select("acc_id", to_cents(F.col("opening")).alias("opening")).groupBy("acc_id")
-    verdicts = moves.groupBy("acc_id").transformWithStateInPandas(AccountBalance(), OUT, "append", "none", openings)
+    verdicts = moves.groupBy("acc_id").transformWithStateInPandas(AccountBalance(held, piece), OUT, "append", "none", openings)
     return verdicts.select("cmd_id", "acc_id", "accepted", "reason", from_cents(F.col("cents")).alias("balance"))

@@ -7,15 +7,20 @@ import json
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
+from brute import money
 from brute import replay as one_by_one
 from pyspark.sql import functions as F
+from test_ledger_store import plain as one_by_one_with_creations
+from test_replay import ACCOUNTS, COMMANDS, T0, made_up
 
+from sluice.operators.intake import load_stats
 from sluice.operators.rollup import keyed, minutes, rollup, rollup_all
 from sluice.schema import GRAINS, KPI_SUMS, PERIODS
 from sluice.sinks import store, wide
 from sluice.sources import streams, tables
-from sluice.streaming import delivery, ledger, rollups
+from sluice.streaming import delivery, fanout, intake, ledger, rollups
 
 
 def rows(df):
@@ -176,6 +181,53 @@ def test_account_stream_equals_replay(spark, small, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("held", [40, 100_000])
+def test_account_stream_with_a_hot_account_and_late_ones(spark, tmp_path, held):
+    """An account with a third of the feed, in pieces, and creations among the rows."""
+    commands, openings = made_up(9, 900, 20, 0.35, 2, transfer_share=0)
+    openings = {a: v for a, v in openings.items() if a % 4 != 1 and a}
+    made = [(10**6 + k, T0 + timedelta(seconds=29 * k), [0, 0, 5, 1][k % 4], money(100 * k)) for k in range(12)]
+    want, _, lines = one_by_one_with_creations(commands, openings, made)
+    feeds = []
+    for name, data, schema in (("commands", commands, COMMANDS), ("made", made, "cmd_id bigint, ts timestamp_ntz, acc_id bigint, init_balance decimal(18,2)")):
+        spark.createDataFrame(data, schema).repartition(3).write.parquet(str(tmp_path / name))
+        feeds.append(spark.readStream.schema(schema).parquet(str(tmp_path / name)))
+    acc = spark.createDataFrame(list(openings.items()), ACCOUNTS)
+    stream = ledger.account_stream(feeds[0], acc, feeds[1], held, timedelta(seconds=30))
+    delivery.to_table(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r.cmd_id: r.reason for r in got} == want and len(got) == len(commands)
+    assert Counter((r.acc_id, r.cmd_id, r.balance) for r in got if r.accepted) == lines
+
+
+def test_decisions_equal_one_by_one():
+    rng = np.random.default_rng(3)
+    for n, start in ((0, 5), (1, -3), (3000, 40), (5000, 0)):
+        change, valid = rng.integers(-30, 30, n), rng.random(n) < 0.9
+        cents, want = start, []
+        for c, v in zip(change.tolist(), valid.tolist(), strict=True):
+            ok = v and not (c < 0 and cents + c < 0)
+            cents += c if ok else 0
+            want.append((ok, cents))
+        accepted, after = ledger.decide(start, change, valid)
+        assert list(zip(accepted.tolist(), after.tolist(), strict=True)) == want
+
+
+def test_intake_in_one_job(spark, tmp_path):
+    """The same counts as of the batch, also for regions that the dimension does not know; a restart adds nothing."""
+    (tmp_path / "in").mkdir()
+    records = [*RECORDS, record(region="ELSEWHERE"), record(type="BY_STATE_PT1H", state="ZZ")]
+    (tmp_path / "in" / "a.txt").write_text("\n".join(records))
+    source = spark.readStream.text(str(tmp_path / "in")).withColumnRenamed("value", "data")
+    for _ in range(2):
+        intake.take_in(source, str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
+        kept = intake.read_intake(spark, str(tmp_path / "s"))
+        assert kept.count() == len(records) and {r.data for r in kept.where("reason = 'bad_payload'").collect()} == set(RECORDS[-2:])
+        assert {r.status for r in intake.read_intake(spark, str(tmp_path / "s"), "ok", "dead_letter").collect()} == {"ok", "dead_letter"}
+        assert rows(fanout.delivered(spark, str(tmp_path / "s"))) == rows(load_stats(kept))
+    assert ("region", "ELSEWHERE", 1) in rows(fanout.delivered(spark, str(tmp_path / "s")))
+
+
 def test_store_sinks(spark, small, tmp_path):
     events = tables.kpi_events(spark, small)
     items = keyed(rollup(events, "STATE", "PT1H"))
