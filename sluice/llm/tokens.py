@@ -19,8 +19,8 @@ from sluice.llm import words, worker
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "word_bpe_49k.json"
-#: Different words kept with their ids in a Python worker; beyond it the table starts anew.
-KNOWN_WORDS = 150_000
+#: Different words kept with their ids in a Python worker, some 40 bytes each; beyond it the table starts anew.
+KNOWN_WORDS = 500_000
 CHUNK_BYTES = 1 << 20
 #: Letters or digits and then plain punctuation, which the vocabulary's own rule cuts between.
 STEM_AND_TAIL = r"^(?P<stem>[\p{L}\p{N}]+)(?P<tail>[,.;:!?*$%&#|<>=()/_-]+)$"
@@ -28,6 +28,8 @@ STEM_AND_TAIL = r"^(?P<stem>[\p{L}\p{N}]+)(?P<tail>[,.;:!?*$%&#|<>=()/_-]+)$"
 #: A part that is one word to the vocabulary. Many go in one call, since the last token of a word is marked as such.
 ONE_WORD = r"^\p{L}+$"
 WORD_END = "</w>"
+#: Another order of the bytes, for a second hash of a word.
+OTHER = np.random.default_rng(20_240_131).permutation(256).astype(np.uint8)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -49,7 +51,9 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._known: dict[str, int] = {}
+        # Words are known by two hashes, in order of the first; ids of the word at a place lie between two entries of _at.
+        self._hash, self._check = np.zeros((2, 0), np.uint64)
+        self._place = np.zeros(0, np.int32)
         self._ids = np.zeros(0, np.uint32)
         self._at = np.zeros(1, np.int64)
 
@@ -81,32 +85,55 @@ class Encoder:
         return taken.flatten().to_numpy(), taken.offsets.to_numpy()[n].astype(np.int64)
 
     def _places(self, parts: pa.Array) -> np.ndarray:
-        if len(self._known) > KNOWN_WORDS:
+        data, at = words.buffer(parts)
+        own, check = (words.hashes(x, at[:-1], at[1:]) for x in (data, OTHER[data]))
+        place = self._found(own, check)
+        if (place < 0).any() and len(self._place) + (place < 0).sum() > KNOWN_WORDS:
             self._clear()
-        known, texts = self._known, parts.to_numpy(zero_copy_only=False).tolist()
-        plain = pc.match_substring_regex(parts, ONE_WORD).to_numpy(zero_copy_only=False).tolist()
-        letters, rest = [], []
-        for p, one in zip(texts, plain, strict=True):
-            if p not in known:
-                (letters if one else rest).append(p)
+            place = self._found(own, check)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = self._learned(parts.take(pa.array(new)))
+            self._hash = np.concatenate([self._hash, own[new]])
+            order = np.argsort(self._hash, kind="stable")
+            self._hash = self._hash[order]
+            self._check = np.concatenate([self._check, check[new]])[order]
+            self._place = np.concatenate([self._place, place[new].astype(np.int32)])[order]
+        return place
+
+    def _found(self, own: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Places of words by their hashes, -1 for words that are not known."""
+        if not len(self._hash):
+            return np.full(len(own), -1)
+        at = np.minimum(np.searchsorted(self._hash, own), len(self._hash) - 1)
+        return np.where((self._hash[at] == own) & (self._check[at] == check), self._place[at], -1).astype(np.int64)
+
+    def _learned(self, parts: pa.Array) -> np.ndarray:
+        """Encodes words and gives their places."""
+        plain = pc.match_substring_regex(parts, ONE_WORD).to_numpy(zero_copy_only=False)
+        texts, rest = parts.to_pylist(), np.flatnonzero(~plain).tolist()
+        letters, turn, ids, sizes = np.flatnonzero(plain).tolist(), [], [], []
         for i in range(0, len(letters), 2048):
             some = letters[i : i + 2048]
-            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self._ends[ids]) + 1
+            got = np.array(self._tokenizer.encode(" ".join(texts[k] for k in some), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self._ends[got]) + 1
             if len(ends) == len(some):
-                self._add(some, ids, np.diff(ends, prepend=0))
+                turn.append(some)
+                ids.append(got)
+                sizes.append(np.diff(ends, prepend=0))
             else:
                 rest += some
         for i in range(0, len(rest), 2048):
-            some = [e.ids for e in self._tokenizer.encode_batch_fast(rest[i : i + 2048], add_special_tokens=False)]
-            self._add(rest[i : i + 2048], np.array([x for ids in some for x in ids], np.uint32), np.array([len(ids) for ids in some]))
-        return np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
-
-    def _add(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self._known)
-        self._known.update(zip(texts, range(n, n + len(texts)), strict=True))
-        self._ids = np.concatenate([self._ids, ids])
-        self._at = np.concatenate([self._at, self._at[-1] + np.cumsum(sizes)])
+            some = rest[i : i + 2048]
+            got = [e.ids for e in self._tokenizer.encode_batch_fast([texts[k] for k in some], add_special_tokens=False)]
+            turn.append(some)
+            ids.append(np.array([x for own in got for x in own], np.uint32))
+            sizes.append(np.array([len(own) for own in got]))
+        place = np.empty(len(texts), np.int64)
+        place[np.concatenate(turn)] = len(self._at) - 1 + np.arange(len(texts))
+        self._ids = np.concatenate([self._ids, *ids])
+        self._at = np.concatenate([self._at, self._at[-1] + np.cumsum(np.concatenate(sizes))])
+        return place
 
 
 def encoder(path: str) -> Encoder:
