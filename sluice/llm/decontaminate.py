@@ -12,9 +12,9 @@ the best to join on. The steps, all of DataFrame functions:
    it, which the block carries along.
 3. Hits of a document are merged to the words that they cover, and windows to the items that have them.
 
-The benchmark's tables go to all tasks when they have at most ``BROADCAST_ROWS`` rows; beyond that they are joined by a
-shuffle. Texts are never shuffled, only hits are, by document; and the same passage in a third of all documents spreads
-as these do.
+The benchmark's tables go to all tasks when they have at most ``BROADCAST_BYTES``; beyond that words meet them by a shuffle
+of word hashes and places alone, and only what meets is joined with its block. Texts are not shuffled otherwise, only hits
+are, by document; and the same passage in a third of all documents spreads as these do.
 
 Edge cases: a null or empty text has no words and no hits, and an item without words has no window. An empty benchmark
 leaves everything clean. Rows that repeat an id are judged by their own texts, equal ones alike. Items that repeat an id
@@ -31,7 +31,7 @@ from sluice.session import scratch_folder, through_table
 
 WINDOW = 13
 BLOCK = 1024
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What is between words: ASCII but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -53,10 +53,12 @@ def _key(word: Column) -> Column:
     return F.xxhash64(F.lower(word))
 
 
-def _sized(df: DataFrame, label: str) -> DataFrame:
-    """The stored table, for broadcast where it is small enough."""
+def _sized(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """The stored table, for broadcast where it is small enough, and whether it is."""
     stored = through_table(df, scratch_folder(df.sparkSession, label))
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+    width = sum((F.octet_length(c) if kind == "string" else F.lit(16) for c, kind in stored.dtypes), F.lit(32))
+    small = (stored.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
+    return (F.broadcast(stored) if small else stored), small
 
 
 def windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -71,8 +73,8 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataF
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """``row``, ``block`` (words as they stand), ``before`` (words in it that are the end of the block before it) and
-    ``begin`` (place in the text of its first word)."""
+    """``row``, ``number`` and ``block`` (words as they stand), ``before`` (words in it that are the end of the block before
+    it) and ``begin`` (place in the text of its first word)."""
     # Empty words, which only a text's ends can have, are in no window.
     whole = rows.select("row", F.split(F.coalesce("text", F.lit("")), BETWEEN).alias("words"))
     starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK))
@@ -81,7 +83,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
         before = F.least(own, F.lit(WINDOW - 1))
         return F.struct(before.alias("before"), (own - before).alias("begin"), F.slice("words", own - before + 1, before + BLOCK + WINDOW - 1).alias("block"))
 
-    return whole.select("row", F.explode(F.transform(starts, cut)).alias("b")).select("row", "b.before", "b.begin", "b.block")
+    return whole.select("row", F.posexplode(F.transform(starts, cut)).alias("number", "b")).select("row", "number", "b.before", "b.begin", "b.block")
 
 
 def _row(key: str, text: str) -> Column:
@@ -102,7 +104,7 @@ def _judged(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: st
     every = windows(items, item_key).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
     listed = through_table(every.select(F.xxhash64("words").alias("window"), "words", "items"), scratch_folder(spark, "windows"))
     parts = through_table(listed.select("window", F.posexplode("words").alias("inside", "word")).withColumn("word", _key(F.col("word"))), scratch_folder(spark, "parts"))
-    wanted = _sized(parts.select("word").distinct(), "wanted")
+    wanted, _ = _sized(parts.select("word").distinct(), "wanted")
     met = rows.select(F.explode(F.split(F.col("text"), BETWEEN)).alias("word")).select(_key(F.col("word")).alias("word"))
     counted = met.join(wanted, "word").groupBy("word").agg(F.count("*").alias("times"))
     rarest = (
@@ -113,11 +115,17 @@ def _judged(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: st
         .join(listed.select("window", folded(F.col("words")).alias("wanted"), F.size("words").alias("length")), "window")
         .select("window", "p.*", "wanted", "length")
     )
-    prefixes = _sized(rarest, "prefixes")
+    prefixes, small = _sized(rarest, "prefixes")
 
-    spread = _blocks(rows).select("row", "before", "begin", "block", F.posexplode("block").alias("at", "found"))
+    blocks = _blocks(rows)
+    spread = blocks.select("row", "number", "before", "begin", "block", F.posexplode("block").alias("at", "found"))
     own = (F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + BLOCK)
-    candidates = spread.where(own).withColumn("word", _key(F.col("found"))).join(prefixes, "word")
+    spread = spread.where(own).withColumn("word", _key(F.col("found")))
+    if small:
+        candidates = spread.join(prefixes, "word")
+    else:
+        met = spread.select("row", "number", "at", "word").join(prefixes, "word").withColumnsRenamed({"row": "met_row", "number": "met_number"})
+        candidates = met.join(blocks, F.col("row").eqNullSafe(F.col("met_row")) & (F.col("number") == F.col("met_number")))
     place = F.col("at") - F.col("inside")
     fits = (place >= 0) & (place + F.col("length") <= F.size("block"))
     same = F.when(fits, folded(F.slice("block", place + 1, F.col("length"))) == F.col("wanted"))
@@ -128,7 +136,7 @@ def _judged(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: st
     before = Window.partitionBy("row").orderBy("first", "end").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.greatest(F.coalesce(F.max("end").over(before), F.lit(0)), F.col("first"))
     covered = hits.select("row", F.greatest(F.col("end") - reached, F.lit(0)).alias("more")).groupBy("row").agg(F.sum("more").alias("n_hit"))
-    holders = _sized(listed.select("window", F.explode("items").alias("item")), "holders")
+    holders, _ = _sized(listed.select("window", F.explode("items").alias("item")), "holders")
     found = hits.select("row", "window").distinct().join(holders, "window").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
     result = covered.join(found, covered["row"].eqNullSafe(found["row"])).select(covered["row"].alias("hit_row"), "n_hit", "items")
     sized = rows.select("key", "row", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
