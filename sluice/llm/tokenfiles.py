@@ -44,6 +44,8 @@ SHARD_BYTES = 64 << 20
 INDEX_KEYS = 50_000
 KEYS_PER_PILOT = 2
 READ_IDS = 1 << 20
+#: Documents whose places are held at once when files are read.
+READ_ROWS = 100_000
 HEADER = np.dtype([("keys", "<i8"), ("pilots", "<i8")])
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<i4"), ("first", "<i8"), ("count", "<i8")])
 
@@ -305,25 +307,29 @@ def read_all(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_
 
 
 def _digests(folder: str, width: int, shard: int, base: int, keys: pa.Array, first: np.ndarray, count: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
-    """The documents of some slots of one shard, read in runs of about ``READ_IDS`` ids."""
-    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-    keys = keys.take(pa.array(np.repeat(np.arange(len(count)), count)))
-    low = int(place.min())
-    at = _range(folder, f"shard-{shard:05d}.at", low * 8, (int(place.max()) - low + 2) * 8, "<i8")
-    begin, end = at[place - low], at[place - low + 1]
-    checks = np.zeros(len(place), np.int64)
-    system, path = _place(folder, f"shard-{shard:05d}.ids")
-    with system.open_input_file(path) as f:
-        k = 0
-        while k < len(place):
-            # Rows are in the order of the file, so a run of them is one read.
-            last = max(k + 1, int(np.searchsorted(end, begin[k] + READ_IDS, "right")))
-            run = f.read_at(int(end[last - 1] - begin[k]) * width, int(begin[k]) * width)
-            run = memoryview(np.frombuffer(run, f"<u{width}").astype("<u4").tobytes())  # checksums are of 32-bit ids
-            for j in range(k, last):
-                checks[j] = zlib.crc32(run[int(begin[j] - begin[k]) * 4 : int(end[j] - begin[k]) * 4])
-            k = last
-    yield pa.RecordBatch.from_arrays([keys, pa.array(begin + base), pa.array(end - begin), pa.array(checks)], [key, "start", "n_tokens", "ids_crc32"])
+    """The documents of some slots of one shard, ``READ_ROWS`` at a time, so that a key with very many takes no more memory;
+    of these, runs of about ``READ_IDS`` ids are read at once."""
+    ends = np.cumsum(count)
+    for lo in range(0, int(ends[-1]), READ_ROWS):
+        n = np.arange(lo, min(lo + READ_ROWS, int(ends[-1])))
+        slot = np.searchsorted(ends, n, "right")
+        place = first[slot] + n - (ends - count)[slot]
+        low = int(place.min())
+        at = _range(folder, f"shard-{shard:05d}.at", low * 8, (int(place.max()) - low + 2) * 8, "<i8")
+        begin, end = at[place - low], at[place - low + 1]
+        checks = np.zeros(len(place), np.int64)
+        system, path = _place(folder, f"shard-{shard:05d}.ids")
+        with system.open_input_file(path) as f:
+            k = 0
+            while k < len(place):
+                # Rows are in the order of the file, so a run of them is one read.
+                last = max(k + 1, int(np.searchsorted(end, begin[k] + READ_IDS, "right")))
+                run = f.read_at(int(end[last - 1] - begin[k]) * width, int(begin[k]) * width)
+                run = memoryview(np.frombuffer(run, f"<u{width}").astype("<u4").tobytes())  # checksums are of 32-bit ids
+                for j in range(k, last):
+                    checks[j] = zlib.crc32(run[int(begin[j] - begin[k]) * 4 : int(end[j] - begin[k]) * 4])
+                k = last
+        yield pa.RecordBatch.from_arrays([keys.take(pa.array(slot)), pa.array(begin + base), pa.array(end - begin), pa.array(checks)], [key, "start", "n_tokens", "ids_crc32"])
 
 
 def contract(docs: DataFrame) -> DataFrame:
