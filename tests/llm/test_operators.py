@@ -236,6 +236,7 @@ def test_encoder_equals_the_library():
 
 def test_token_files_round_trip(spark, medium, odd, none, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfiles, "SHARD_BYTES", 500_000)
+    monkeypatch.setattr(tokenfiles, "READ_ROWS", 7)
     texts = dict(sorted(texts_of(spark, medium).items()))
     rows, before = by_id(QUERIES["op5_token_files"](spark, medium)), 0
     for i, own in zip(texts, real_ids(list(texts.values())), strict=True):
@@ -373,6 +374,15 @@ def test_decontamination_of_odd_rows(spark, odd, none):
     assert decontaminate.keep(odd, items).columns == odd.columns
 
 
+def test_decontamination_without_broadcasts(spark, medium, odd, monkeypatch):
+    """Benchmarks that are too large to send are joined by a shuffle, with the same result."""
+    docs, items = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "benchmark"))
+    odd_items = spark.sql("select * from values ('a', 'One two'), (null, 'text HERE'), ('d', 'öl öl end') t(item_id, text)")
+    want = [Counter(map(tuple, decontaminate.contract(d, i).collect())) for d, i in ((docs, items), (odd, odd_items))]
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    assert [Counter(map(tuple, decontaminate.contract(d, i).collect())) for d, i in ((docs, items), (odd, odd_items))] == want
+
+
 def test_decontamination_keeps_clean_rows_of_null_and_repeated_ids(spark):
     items = spark.sql("select * from values ('a', 'one two') t(item_id, text)")
     rows = [(None, "one two"), (None, "clean"), (None, None), (1, "one two"), (1, "clean as well"), (1, "One Two"), (2, "other"), (2, "other")]

@@ -147,7 +147,8 @@ def test_paths_are_compact():
     """Copies of a text become one path, and every edge is in one."""
     text = "a b c d e f g h, x b c d e y"
     corpus = collocations.Corpus(pa.array([text] * 5 + ["c d e f"]), pa.array(["en"] * 6))
-    graph = collocations.Graph(corpus, np.full(collocations.FREQUENT_BITS // 8, 255, np.uint8), 4)
+    every = np.full(collocations.FREQUENT_BITS // 8, 255, np.uint8)
+    graph = collocations.Graph(corpus, every, every, 4)
     begin, size, weight = graph.paths()
     word = [corpus.low[a:b].tobytes().decode() for a, b in zip(corpus.starts, corpus.ends, strict=True)]
     paths = Counter({" ".join(word[graph.word[i]] for i in range(b, b + n)): int(w) for b, n, w in zip(begin, size, weight, strict=True)})
