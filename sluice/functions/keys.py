@@ -12,6 +12,10 @@ DEFAULT_TIME = "2019-01-01"
 DEFAULT_STORE = "0"
 UNKNOWN_PERIOD = "UNK"
 
+# --- fixed values: beginnings of posting keys and the format of their time ---
+LISTED, NOT_LISTED = "TX_", "TX#"
+POSTING_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 # --- fixed value: splits a sort key into period, time and suffix ---
 SORT_KEY_PATTERN = "(.*)#(.*)#(.*)"
 
@@ -70,5 +74,5 @@ def posting_key(ts: Column, tx_id: Column, listed: Column) -> Column:
 
     The transaction id takes the place of a random suffix, so no two postings share a key.
     """
-    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.when(listed, "TX_").otherwise("TX#"), text, F.lit("#"), tx_id.cast("string"))
+    text = F.date_format(ts, POSTING_TIME)
+    return F.concat(F.when(listed, LISTED).otherwise(NOT_LISTED), text, F.lit("#"), tx_id.cast("string"))

@@ -23,11 +23,6 @@ def step_seconds(seconds_since_epoch: Column, width: Column | int) -> Column:
     return seconds_since_epoch - F.pmod(seconds_since_epoch, width)
 
 
-def step(ts: Column, width: int) -> Column:
-    """Floor of a timestamp to a multiple of ``width`` seconds."""
-    return F.timestamp_seconds(step_seconds(F.unix_seconds(ts), width))
-
-
 def border(ts: Column) -> Column:
     """Timestamp as it leaves the library: UTC wall clock without a zone."""
     return ts.cast("timestamp_ntz")
@@ -43,14 +38,19 @@ def local_time(ts: Column, zone: str = REPORT_ZONE) -> Column:
     return F.from_utc_timestamp(ts, zone)
 
 
+# --- fixed values: dashboard labels and their periods ---
+LABELS = {"Hours": "PT1H", "10-Minute": "PT10M"}
+NO_LABEL = "PT1M"
+
+
 def period_of_label(label: Column) -> Column:
     """Period that a dashboard label asks for; anything unknown means one minute."""
-    return F.when(label == "Hours", "PT1H").when(label == "10-Minute", "PT10M").otherwise("PT1M")
+    return F.coalesce(*[F.when(label == name, period) for name, period in LABELS.items()], F.lit(NO_LABEL))
 
 
 def period_for_label(label: str) -> str:
     """Same as :func:`period_of_label` for a job parameter."""
-    return {"Hours": "PT1H", "10-Minute": "PT10M"}.get(label, "PT1M")
+    return LABELS.get(label, NO_LABEL)
 
 
 def period_seconds(period: str) -> int:

@@ -11,10 +11,14 @@ from sluice.operators.replay import check
 from sluice.operators.running import running_total
 from sluice.schema import MONEY
 
+# --- fixed values: indicators, the name of what is outside the bank, and kinds of commands ---
 CREDIT, DEBIT = "Credit", "Debit"
 EXTERNAL = "External"
 ONE_ACCOUNT = ["MoneyDeposit", "MoneyWithdraw"]
 
+# --- fixed value: the message of a balance query for an unknown account ---
+NO_DATA = "No account data found!"
+
 
 def command_check(commands: DataFrame, accounts: DataFrame) -> DataFrame:
     """Static verdicts: everything that can be said without a balance."""
@@ -96,7 +100,7 @@ def balance_answers(requested: DataFrame, balances: DataFrame) -> DataFrame:
         F.coalesce("balance", F.lit(0).cast(MONEY)).alias("balance"),
         F.lit(CREDIT).alias("indicator"),
         found.alias("result"),
-        F.when(~found, "No account data found!").alias("error_msg"),
+        F.when(~found, NO_DATA).alias("error_msg"),
     )
 
 

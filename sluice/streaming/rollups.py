@@ -57,6 +57,8 @@ def rollups_to_store(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if store.is_done(versions.load(batch.sparkSession, path), name, batch_id):
             return
+        if "bad_record" in batch.columns:  # records that cannot be read have no place; ``fan_out`` keeps them
+            batch = batch.where("bad_record is null")
         if batch.isEmpty():  # nothing to write or to observe
             versions.commit(batch.sparkSession, path, lambda now: store.added_to(now, name, batch_id, {}))
             return
