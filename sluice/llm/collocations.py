@@ -4,9 +4,10 @@ A node is a phrase of ``LONGEST`` - 1 words, an edge one of ``LONGEST`` words, f
 weight is how often the phrase occurs. A graph holds no shorter phrases: how often one occurs is the weight that flows out
 of the nodes that begin with it, plus the pieces that end with it.
 
-1. Words are counted per language as pairs of hashes. A word with fewer than ``least`` occurrences is in no phrase that
-   counts, so it ends a piece like punctuation does. Which words are frequent goes to all tasks as a bitset of
-   ``FREQUENT_BITS``, whatever the corpus: where it is wrong, a rare word stays in, which changes no result.
+1. Words are counted per language by hash, then pairs of neighbours. A word with fewer than ``least`` occurrences is in no
+   phrase that counts, so it ends a piece like punctuation does; and no such phrase crosses a pair with fewer, so pieces
+   are cut there as well. What is frequent goes to all tasks as two bitsets of ``FREQUENT_BITS``, whatever the corpus: where
+   one is wrong, something rare stays in, which changes no result.
 2. Each task builds the graph of some megabytes of text at a time, with the weights added up, and compacts it: edges that
    follow one another over nodes with one edge in and one out, of the same weight, become one path, written as its words.
    Copies of a text thus leave the task as one path with their number as its weight. The last words of pieces are added up
@@ -26,7 +27,7 @@ Texts are whole; a very long one is a graph of its own. Other columns are never
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,14 +87,31 @@ def _bit(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(FREQUENT_BITS)).astype(np.int64)
 
 
-def _frequent(rows: DataFrame, least: int) -> np.ndarray:
-    """A bit for the hash of each word of ``least`` occurrences or more."""
+def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = _bit(hashes)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _kept(corpus: Corpus, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the frequent words, and whether each begins a piece: at the begin of one, or after a rare word."""
+    stays = _has(frequent, corpus.hash)
+    piece = np.cumsum(corpus.begins | ~stays | np.append(False, ~stays[:-1]))
+    word = np.flatnonzero(stays)
+    return word, np.append(True, piece[word][1:] != piece[word][:-1])[: len(word)]
+
+
+def _pairs(corpus: Corpus, word: np.ndarray) -> np.ndarray:
+    return words.joined(corpus.hash[word[:-1]], corpus.hash[word[1:]])
+
+
+def _frequent(rows: DataFrame, least: int, hashes: Callable[[Corpus], np.ndarray]) -> np.ndarray:
+    """A bit for each hash that there is ``least`` times or more."""
 
     @worker.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _corpora(batches):
-            hashes, n = np.unique(c.hash, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
+            own, n = np.unique(hashes(c), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["hash", "n"])
 
     seen = rows.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     # The low bits of the hash, as in _bit, 64 of them in a row.
@@ -109,20 +127,13 @@ class Graph:
     """The de Bruijn graph of some texts: numbers of the words that stay, and of their phrases of each size up to
     ``longest``, equal for equal phrases."""
 
-    def __init__(self, corpus: Corpus, frequent: np.ndarray, longest: int):
-        at = _bit(corpus.hash)
-        stays = (frequent[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        # A word begins a piece too if a rare one is before it.
-        begins = corpus.begins.copy()
-        begins[1:] |= ~stays[:-1]
-        self.word = np.flatnonzero(stays)
-        piece = np.cumsum(begins)[self.word]
-        # Of pieces that only rare words are in, none is left; numbers need not be without gaps.
+    def __init__(self, corpus: Corpus, frequent: np.ndarray, together: np.ndarray, longest: int):
+        self.word, begins = _kept(corpus, frequent)
+        begins[1:] |= ~_has(together, _pairs(corpus, self.word))
         self.longest = longest
-        self.left = np.zeros(len(self.word), np.int64)
-        if len(self.word):
-            last = np.append(np.flatnonzero(piece[1:] != piece[:-1]), len(piece) - 1)
-            self.left = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(piece)) + 1
+        #: Words of the piece from each on.
+        last = np.append(np.flatnonzero(begins[1:]), len(begins) - 1)[: len(begins)]
+        self.left = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(begins)) + 1
         ids = np.unique(corpus.hash[self.word], return_inverse=True)[1]
         size = int(ids.max(initial=0)) + 2
         self.phrase = [ids]
@@ -167,14 +178,14 @@ class Graph:
         return tuple(np.concatenate(x) for x in (begin, size, weight))
 
 
-def _graphs(rows: DataFrame, longest: int, frequent) -> DataFrame:
+def _graphs(rows: DataFrame, longest: int, frequent, together) -> DataFrame:
     """``lang``, ``path`` (words), ``weight`` and whether it is the ``ending`` of a piece; with a null path the number of all
     words."""
 
     @worker.tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _corpora(batches):
-            graph = Graph(c, frequent.value, longest)
+            graph = Graph(c, frequent.value, together.value, longest)
             for (begin, size, weight), ending in ((graph.paths(), False), (graph.endings(), True)):
                 first = np.append(0, np.cumsum(size))
                 inside = np.arange(first[-1]) - np.repeat(first[:-1], size) + np.repeat(begin, size)
@@ -249,8 +260,14 @@ def phrases(
         return through_table(df, scratch_folder(spark, label))
 
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    frequent = spark.sparkContext.broadcast(_frequent(rows, least))
-    graphs = stored(_graphs(rows, longest, frequent), "graphs")
+    frequent = spark.sparkContext.broadcast(_frequent(rows, least, lambda c: c.hash))
+
+    def neighbours(c: Corpus) -> np.ndarray:
+        word, begins = _kept(c, frequent.value)
+        return _pairs(c, word)[~begins[1:]]
+
+    together = spark.sparkContext.broadcast(_frequent(rows, least, neighbours))
+    graphs = stored(_graphs(rows, longest, frequent, together), "graphs")
     totals = graphs.where("path is null").groupBy("lang").agg(F.sum("weight").alias("n"))
     counts = stored(_counts(graphs, longest, least), "phrases")
     left = _scored(counts, totals).join(_covered(counts, percent), ["lang", "phrase"], "left_anti")
