@@ -4,18 +4,20 @@ A node is a phrase of ``LONGEST`` - 1 words, an edge one of ``LONGEST`` words, f
 weight is how often the phrase occurs. A graph holds no shorter phrases: how often one occurs is the weight that flows out
 of the nodes that begin with it, plus the pieces that end with it.
 
-1. Words are counted per language by hash, then pairs of neighbours. A word with fewer than ``least`` occurrences is in no
-   phrase that counts, so it ends a piece like punctuation does; and no such phrase crosses a pair with fewer, so pieces
-   are cut there as well. What is frequent goes to all tasks as two bitsets of ``FREQUENT_BITS``, whatever the corpus: where
-   one is wrong, something rare stays in, which changes no result.
+1. Words, pairs and triples of neighbours are counted by hash, each in a pass that leaves out what the one before has found
+   to be rare. A phrase with ``least`` occurrences holds no word, pair or triple with fewer. So rare words and pairs cut
+   pieces, like punctuation does, and a phrase reaches no further than to a rare triple. Counts are kept in
+   ``BUCKETS`` buckets, whatever the corpus, and leave a task compressed, about a byte for each different phrase; what is
+   frequent goes to all tasks as a bitset of 8 MB. Where buckets are shared something rare stays in, which changes no
+   result.
 2. Each task builds the graph of some megabytes of text at a time, with the weights added up, and compacts it: edges that
    follow one another over nodes with one edge in and one out, of the same weight, become one path, written as its words.
-   Copies of a text thus leave the task as one path with their number as its weight. The last words of pieces are added up
-   likewise.
-3. Paths are opened to edges again, which are added up over all tasks. Then the flow out of nodes, with the piece ends,
-   gives the counts of phrases one word shorter, these those of the next, down to single words. What a step has below
-   ``least`` goes on in the sums of its beginnings only. Every sum is added up before the shuffle, so a frequent phrase,
-   word or language is a row for each task.
+   Copies of a text thus leave the task as one path with their number as its weight. Phrases that end short of an edge, at
+   the end of a piece or before a rare triple, are added up likewise.
+3. Paths are opened to edges again, which are added up over all tasks. Then the flow out of nodes, with the phrases that
+   end there, gives the counts of phrases one word shorter, these those of the next, down to single words. What a step has
+   below ``least`` goes on in the sums of its beginnings only. Every sum is added up before the shuffle, so a frequent
+   phrase, word or language is a row for each task.
 4. Frequent phrases are scored by their worst cut, dropped where a longer one has most of their occurrences, and each
    language's best are taken, cut to their number before the shuffle.
 
@@ -27,7 +29,9 @@ Texts are whole; a very long one is a graph of its own. Other columns are never
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import zlib
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +50,10 @@ BEST = 2000
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
 CHUNK_BYTES = 2 << 20
-FREQUENT_BITS = 1 << 26
+#: Buckets of counts and bits of a bitset, and those of a piece of it.
+BUCKETS, PIECE = 1 << 26, 1 << 16
+#: Counted buckets that a task holds before it gives them out.
+HELD = 4 << 20
 
 #: Bytes that end a piece, and those in words.
 ENDS = np.zeros(256, bool)
@@ -83,63 +90,122 @@ def _corpora(batches: Iterator[pa.RecordBatch]) -> Iterator[Corpus]:
             done += len(part)
 
 
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(FREQUENT_BITS)).astype(np.int64)
+class Frequent:
+    """The bitsets of what is frequent: words, pairs and triples, as far as they are counted yet."""
 
+    def __init__(self, buckets: int, *bits: np.ndarray):
+        self.buckets, self.bits = buckets, bits
 
-def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _bit(hashes)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    def bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes % np.uint64(self.buckets)).astype(np.int64)
 
+    def has(self, size: int, hashes: np.ndarray) -> np.ndarray:
+        """Which phrases of a size are frequent."""
+        at = self.bucket(_neighbours(hashes, size))
+        return (self.bits[size - 1][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-def _kept(corpus: Corpus, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the frequent words, and whether each begins a piece: at the begin of one, or after a rare word."""
-    stays = _has(frequent, corpus.hash)
-    piece = np.cumsum(corpus.begins | ~stays | np.append(False, ~stays[:-1]))
-    word = np.flatnonzero(stays)
-    return word, np.append(True, piece[word][1:] != piece[word][:-1])[: len(word)]
+    def words(self, corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the frequent words, and whether each begins a piece: at the begin of one, or after something rare."""
+        if not self.bits:
+            return np.arange(len(corpus.hash)), corpus.begins
+        stays = self.has(1, corpus.hash)
+        piece = np.cumsum(corpus.begins | ~stays | np.append(False, ~stays[:-1]))
+        word = np.flatnonzero(stays)
+        begins = np.append(True, piece[word][1:] != piece[word][:-1])[: len(word)]
+        if len(self.bits) > 1:
+            begins[1:] |= ~self.has(2, corpus.hash[word])
+        return word, begins
 
+    def next(self, corpus: Corpus) -> np.ndarray:
+        """Buckets of all phrases of one word more than are counted, inside pieces."""
+        word, begins = self.words(corpus)
+        size = len(self.bits) + 1
+        if len(word) < size:
+            return np.zeros(0, np.int64)
+        inside = np.ones(len(word) - size + 1, bool)
+        for k in range(1, size):
+            inside &= ~begins[k : k + len(inside)]
+        return self.bucket(_neighbours(corpus.hash[word], size)[inside])
 
-def _pairs(corpus: Corpus, word: np.ndarray) -> np.ndarray:
-    return words.joined(corpus.hash[word[:-1]], corpus.hash[word[1:]])
 
+def _neighbours(hashes: np.ndarray, size: int) -> np.ndarray:
+    n = max(len(hashes) - size + 1, 0)
+    return words.joined(*(hashes[k : k + n] for k in range(size)))
 
-def _frequent(rows: DataFrame, least: int, hashes: Callable[[Corpus], np.ndarray]) -> np.ndarray:
-    """A bit for each hash that there is ``least`` times or more."""
+
+def _count_rows(buckets: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of buckets, in order, as a row for each piece of them: steps from bucket to bucket, and counts, compressed."""
+    piece = buckets // PIECE
+    cuts = [0, *(np.flatnonzero(piece[1:] != piece[:-1]) + 1).tolist(), len(piece)] if len(piece) else []
+    for a, b in pairwise(cuts):
+        steps = np.diff(buckets[a:b] % PIECE, prepend=0).astype("<u2")
+        rows = [[int(piece[a])], [zlib.compress(steps.tobytes(), 1)], [zlib.compress(np.minimum(counts[a:b], 1 << 31).astype("<u4").tobytes(), 1)]]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["piece", "steps", "counts"])
+
+
+def _frequent(rows: DataFrame, least: int, known) -> np.ndarray:
+    """The bitset of phrases of one word more than those of ``known`` (a broadcast ``Frequent``)."""
 
     @worker.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for c in _corpora(batches):
-            own, n = np.unique(hashes(c), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["hash", "n"])
-
-    seen = rows.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    # The low bits of the hash, as in _bit, 64 of them in a row.
-    bit = F.col("hash").bitwiseAND(FREQUENT_BITS - 1)
-    cells = seen.groupBy(F.shiftright(bit, 6).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits"))
-    found = cells.toPandas()
-    out = np.zeros(FREQUENT_BITS // 64, np.uint64)
-    out[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return out.view(np.uint8)
+            own = np.unique(known.value.next(c), return_counts=True)
+            buckets, place = np.unique(np.concatenate([held[0], own[0]]), return_inverse=True)
+            held = buckets, np.bincount(place, np.concatenate([held[1], own[1]]), len(buckets)).astype(np.int64)
+            if len(buckets) > HELD:
+                yield from _count_rows(*held)
+                held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        yield from _count_rows(*held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come in order of pieces, so one piece at a time is held.
+        piece, total = None, np.zeros(PIECE, np.int64)
+
+        def ended() -> pa.RecordBatch:
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([bits], pa.binary())], ["piece", "bits"])
+
+        for batch in batches:
+            for k, steps, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != piece:
+                    if piece is not None:
+                        yield ended()
+                    piece = k
+                    total[:] = 0
+                at = np.cumsum(np.frombuffer(zlib.decompress(steps), "<u2").astype(np.int64))
+                total[at] += np.frombuffer(zlib.decompress(counts), "<u4")
+        if piece is not None:
+            yield ended()
+
+    counted = rows.mapInArrow(count, "piece int, steps binary, counts binary").repartition("piece").sortWithinPartitions("piece")
+    out = np.zeros((-(-known.value.buckets // PIECE), PIECE // 8), np.uint8)
+    for row in counted.mapInArrow(merge, "piece int, bits binary").collect():
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
 
 
 class Graph:
     """The de Bruijn graph of some texts: numbers of the words that stay, and of their phrases of each size up to
     ``longest``, equal for equal phrases."""
 
-    def __init__(self, corpus: Corpus, frequent: np.ndarray, together: np.ndarray, longest: int):
-        self.word, begins = _kept(corpus, frequent)
-        begins[1:] |= ~_has(together, _pairs(corpus, self.word))
-        self.longest = longest
-        #: Words of the piece from each on.
-        last = np.append(np.flatnonzero(begins[1:]), len(begins) - 1)[: len(begins)]
-        self.left = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(begins)) + 1
+    def __init__(self, corpus: Corpus, frequent: Frequent, longest: int):
+        self.word, begins = frequent.words(corpus)
+        self.longest, n = longest, len(begins)
+        last = np.append(np.flatnonzero(begins[1:]), n - 1)[:n]
+        left = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(n) + 1
+        #: Words of the longest phrase that begins with each word, in its piece and up to a rare triple.
+        self.reach = np.minimum(left, longest)
+        if len(frequent.bits) > 2 and n > 2:
+            rare = np.flatnonzero(~frequent.has(3, corpus.hash[self.word]))
+            following = np.append(rare, 2 * n)[np.searchsorted(rare, np.arange(n))]
+            self.reach = np.minimum(self.reach, following - np.arange(n) + 2)
         ids = np.unique(corpus.hash[self.word], return_inverse=True)[1]
         size = int(ids.max(initial=0)) + 2
         self.phrase = [ids]
         for k in range(1, longest):
-            longer = np.full(len(ids), -1)
-            whole = np.flatnonzero(self.left > k)
+            longer = np.full(n, -1)
+            whole = np.flatnonzero(self.reach > k)
             longer[whole] = np.unique(self.phrase[-1][whole] * size + ids[whole + k], return_inverse=True)[1]
             self.phrase.append(longer)
 
@@ -161,31 +227,23 @@ class Graph:
         return first[begin], np.diff(np.append(begin, len(first))) + self.longest - 1, weight[begin]
 
     def endings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The last words of pieces, one fewer than an edge has or all, in the same form."""
-        begin, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        weight = [np.zeros(0, np.int64)]
+        """Phrases that end short of an edge, in the same form."""
+        out = []
         for k in range(1, self.longest):
-            # The last k words; for fewer than an edge's nodes have, only whole pieces.
-            at = np.flatnonzero(self.left == k)
-            if k < self.longest - 1:
-                whole = np.ones(len(at), bool)
-                whole[at > 0] = self.left[at[at > 0] - 1] == 1
-                at = at[whole]
+            at = np.flatnonzero(self.reach == k)
             _, first, n = np.unique(self.phrase[k - 1][at], return_index=True, return_counts=True)
-            begin.append(at[first])
-            size.append(np.full(len(first), k))
-            weight.append(n)
-        return tuple(np.concatenate(x) for x in (begin, size, weight))
+            out.append((at[first], np.full(len(first), k), n))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _graphs(rows: DataFrame, longest: int, frequent, together) -> DataFrame:
-    """``lang``, ``path`` (words), ``weight`` and whether it is the ``ending`` of a piece; with a null path the number of all
+def _graphs(rows: DataFrame, longest: int, frequent) -> DataFrame:
+    """``lang``, ``path`` (words), ``weight`` and whether it is an ``ending``; with a null path the number of all
     words."""
 
     @worker.tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _corpora(batches):
-            graph = Graph(c, frequent.value, together.value, longest)
+            graph = Graph(c, frequent.value, longest)
             for (begin, size, weight), ending in ((graph.paths(), False), (graph.endings(), True)):
                 first = np.append(0, np.cumsum(size))
                 inside = np.arange(first[-1]) - np.repeat(first[:-1], size) + np.repeat(begin, size)
@@ -218,9 +276,7 @@ def _counts(graphs: DataFrame, longest: int, least: int) -> DataFrame:
         own = F.when(F.col("f") >= least, F.struct("phrase", "size"))
         shorter = F.when(F.col("size") == size + 1, F.struct(_begin(F.col("phrase"), size).alias("phrase"), F.lit(size).alias("size")))
         flow = now.select("lang", "f", F.explode(F.array(own, shorter)).alias("p")).where("p is not null").select("lang", "p.phrase", "p.size", "f")
-        # Pieces that end with the phrase: of each ending its last words.
-        corrected = ends.where(F.col("size") >= size).select("lang", F.substring_index("phrase", " ", -size).alias("phrase"), F.lit(size).alias("size"), "f")
-        now = flow.unionByName(corrected).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+        now = flow.unionByName(ends.where(F.col("size") == size).select("lang", "phrase", "size", "f")).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     return now.where(F.col("f") >= least)
 
 
@@ -260,14 +316,10 @@ def phrases(
         return through_table(df, scratch_folder(spark, label))
 
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    frequent = spark.sparkContext.broadcast(_frequent(rows, least, lambda c: c.hash))
-
-    def neighbours(c: Corpus) -> np.ndarray:
-        word, begins = _kept(c, frequent.value)
-        return _pairs(c, word)[~begins[1:]]
-
-    together = spark.sparkContext.broadcast(_frequent(rows, least, neighbours))
-    graphs = stored(_graphs(rows, longest, frequent, together), "graphs")
+    known = spark.sparkContext.broadcast(Frequent(BUCKETS))
+    for _ in range(min(longest - 1, 3)):
+        known = spark.sparkContext.broadcast(Frequent(BUCKETS, *known.value.bits, _frequent(rows, least, known)))
+    graphs = stored(_graphs(rows, longest, known), "graphs")
     totals = graphs.where("path is null").groupBy("lang").agg(F.sum("weight").alias("n"))
     counts = stored(_counts(graphs, longest, least), "phrases")
     left = _scored(counts, totals).join(_covered(counts, percent), ["lang", "phrase"], "left_anti")
@@ -286,9 +338,12 @@ WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
     FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
 ), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
-f AS (
-    SELECT lang, size, array_to_string(w[p : p + size - 1], ' ') AS phrase, count(*) AS f
-    FROM pieces, generate_series(1, 4) s(size), generate_series(1, len(w) - size + 1) g(p) GROUP BY ALL HAVING count(*) >= 30
+grams AS (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda p: w[p] || ' ' || w[p + 1])) FROM pieces
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda p: w[p] || ' ' || w[p + 1] || ' ' || w[p + 2])) FROM pieces
+    UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(w) - 2), lambda p: w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3])) FROM pieces
+), f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
 ), cuts AS (
     SELECT c.lang, c.phrase, c.size, c.f AS a, k, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * c.f) // (l.f + r.f) AS BIGINT) AS score
     FROM f c, generate_series(1, 3) g(k)

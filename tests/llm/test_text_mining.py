@@ -134,7 +134,7 @@ def test_phrases_equal_plain_ones(spark, monkeypatch, chunk, least, best):
 
 def test_phrases_with_a_full_bitset_and_of_other_lengths(spark, monkeypatch):
     """Rare words that are taken for frequent ones change nothing."""
-    monkeypatch.setattr(collocations, "FREQUENT_BITS", 64)
+    monkeypatch.setattr(collocations, "BUCKETS", 64)
     rows = made_up_pieces(6, 80, 200)
     docs = spark.createDataFrame(rows, "lang string, text string").selectExpr("*", "1 as n", "'x' as phrase", "'y' as size")
     for longest in (2, 3, 5):
@@ -147,14 +147,13 @@ def test_paths_are_compact():
     """Copies of a text become one path, and every edge is in one."""
     text = "a b c d e f g h, x b c d e y"
     corpus = collocations.Corpus(pa.array([text] * 5 + ["c d e f"]), pa.array(["en"] * 6))
-    every = np.full(collocations.FREQUENT_BITS // 8, 255, np.uint8)
-    graph = collocations.Graph(corpus, every, every, 4)
+    graph = collocations.Graph(corpus, collocations.Frequent(64), 4)
     begin, size, weight = graph.paths()
     word = [corpus.low[a:b].tobytes().decode() for a, b in zip(corpus.starts, corpus.ends, strict=True)]
     paths = Counter({" ".join(word[graph.word[i]] for i in range(b, b + n)): int(w) for b, n, w in zip(begin, size, weight, strict=True)})
     assert paths == Counter({"a b c d": 5, "b c d e": 10, "c d e f": 6, "d e f g h": 5, "x b c d": 5, "c d e y": 5})
     endings = {" ".join(word[graph.word[i]] for i in range(b, b + n)): int(w) for b, n, w in zip(*graph.endings(), strict=True)}
-    assert endings == {"f g h": 5, "d e y": 5, "d e f": 1}
+    assert endings == {"f g h": 5, "g h": 5, "h": 5, "d e y": 5, "e y": 5, "y": 5, "d e f": 1, "e f": 1, "f": 1}
 
 
 def test_exact_scores_of_huge_counts(spark):
