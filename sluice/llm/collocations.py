@@ -53,7 +53,7 @@ CHUNK_BYTES = 2 << 20
 #: Buckets of counts and bits of a bitset, and those of a piece of it.
 BUCKETS, PIECE = 1 << 26, 1 << 16
 #: Counted buckets that a task holds before it gives them out.
-HELD = 4 << 20
+HELD = 2 << 20
 
 #: Bytes that end a piece, and those in words.
 ENDS = np.zeros(256, bool)
@@ -143,20 +143,27 @@ def _count_rows(buckets: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["piece", "steps", "counts"])
 
 
+def _added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets in order with their counts added up."""
+    buckets, place = np.unique(np.concatenate([b for b, _ in counted]), return_inverse=True)
+    return buckets, np.bincount(place, np.concatenate([n for _, n in counted]), len(buckets)).astype(np.int64)
+
+
 def _frequent(rows: DataFrame, least: int, known) -> np.ndarray:
     """The bitset of phrases of one word more than those of ``known`` (a broadcast ``Frequent``)."""
 
     @worker.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
         for c in _corpora(batches):
-            own = np.unique(known.value.next(c), return_counts=True)
-            buckets, place = np.unique(np.concatenate([held[0], own[0]]), return_inverse=True)
-            held = buckets, np.bincount(place, np.concatenate([held[1], own[1]]), len(buckets)).astype(np.int64)
-            if len(buckets) > HELD:
-                yield from _count_rows(*held)
-                held = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield from _count_rows(*held)
+            held.append(np.unique(known.value.next(c), return_counts=True))
+            n += len(held[-1][0])
+            if n > HELD:
+                yield from _count_rows(*_added(held))
+                held, n = [], 0
+        if held:
+            yield from _count_rows(*_added(held))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come in order of pieces, so one piece at a time is held.
