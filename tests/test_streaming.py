@@ -8,6 +8,7 @@ from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pandas as pd
 import pytest
 from brute import money
 from brute import replay as one_by_one
@@ -213,6 +214,72 @@ def test_decisions_equal_one_by_one():
         assert list(zip(accepted.tolist(), after.tolist(), strict=True)) == want
 
 
+def test_decisions_of_many_balances_equal_one_by_one():
+    rng = np.random.default_rng(4)
+    size = np.append(rng.integers(0, 9, 400), [ledger.SHORT + 1, 0, 3 * ledger.BLOCK, 1])
+    change, valid, cents = rng.integers(-30, 30, size.sum()), rng.random(size.sum()) < 0.9, rng.integers(-5, 40, len(size))
+    accepted, after = ledger.decide_each(cents, size, change, valid)
+    for k, own in enumerate(np.split(np.arange(size.sum()), np.cumsum(size)[:-1])):
+        want = ledger.decide(int(cents[k]), change[own], valid[own])
+        assert accepted[own].tolist() == want[0].tolist() and after[own].tolist() == want[1].tolist()
+
+
+class Kept:
+    """State of one key in memory."""
+
+    def __init__(self):
+        self.value, self.rows = None, {}
+        self.get, self.exists = lambda: self.value, lambda: self.value is not None
+        self.getValue, self.clear = self.rows.get, self.rows.clear
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+
+def test_a_group_with_many_rows_goes_by_pieces(monkeypatch):
+    """The same verdicts and balances, however many rows of a group or of an account are held."""
+    rng, n = np.random.default_rng(6), 4000
+    acc = np.where(rng.random(n) < 0.3, 3, rng.integers(0, 60, n))
+    rows = np.stack([acc, rng.integers(0, 10**8, n), rng.random(n) > 0.02, np.arange(n), rng.integers(-30, 30, n), rng.random(n) < 0.9], 1).astype(np.int64)
+    found = []
+    for held, of_group in ((10**6, 10**6), (50, 10**6), (10**6, 900), (50, 700)):
+        monkeypatch.setattr(ledger, "HELD_OF_GROUP", of_group)
+        own = ledger.AccountBalance(held, timedelta(seconds=9))
+        own.balances, own.pieces = Kept(), Kept()
+        for k in (0, 20):  # the group's balances come in chunks
+            own.handleInitialState((0,), pd.DataFrame({"acc_id": range(k, k + 20), "opening": range(20)}), None)
+        out = pd.concat(own.handleInputRows((0,), (pd.DataFrame(c, columns=ledger.ROW) for c in np.array_split(rows, 13)), None))
+        found.append((sorted(map(str, out.itertuples(index=False))), own.balances.value))
+        assert not own.pieces.rows
+    assert all(f == found[0] for f in found) and len(found[0][0]) == (rows[:, 2] == 1).sum()
+
+
+def test_account_state_grows_by_groups_and_not_by_accounts(spark, tmp_path):
+    """Two batches; accounts share the keys of the state, and rows without an account or a balance are kept apart."""
+    n = 3 * ledger.GROUPS
+    acc = spark.range(n).selectExpr("id as acc_id", "cast(if(id = 5, null, 10) as decimal(18,2)) as opening")
+    schema = "cmd_id bigint, ts timestamp_ntz, kind string, src bigint, dst bigint, amount decimal(18,2)"
+    for at in (1, 2):
+        cmds = spark.range(n).selectExpr(f"id * 10 + {at} as cmd_id", f"timestamp_ntz'2024-01-0{at} 00:00:00' as ts", "'MoneyWithdraw' as kind", "id as src", "cast(null as bigint) as dst", "cast(7 as decimal(18,2)) as amount")
+        odd = spark.createDataFrame([(-at, datetime(2024, 1, at), "MoneyDeposit", None, None, money(500)), (-10 - at, None, "MoneyDeposit", None, 6, None)], schema)
+        cmds.unionByName(odd).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = delivery.to_table(ledger.account_stream(source, acc), str(tmp_path / "out"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= ledger.GROUPS
+    got = {r.cmd_id: (r.acc_id, r.reason, r.balance) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 2 * n + 4
+    assert got.pop(-1) == got.pop(-2) == (None, "No account data found", None)
+    assert [got.pop(-k)[1] for k in (11, 12)] == ["Invalid amount"] * 2
+    assert got.pop(51) == got.pop(52) == (5, "No account data found", None)
+    # Whichever of the two batches came first has what the account held.
+    assert Counter(v for k, v in got.items() if k // 10 == 7) == Counter({(7, None, money(300)): 1, (7, "Insufficient balance", money(300)): 1})
+    assert Counter(v[1] for v in got.values()) == Counter({None: n - 1, "Insufficient balance": n - 1})
+
+
 def test_intake_in_one_job(spark, tmp_path):
     """The same counts as of the batch, also for regions that the dimension does not know; a restart adds nothing."""
     (tmp_path / "in").mkdir()
