@@ -36,7 +36,7 @@ def served(spark: SparkSession, folder: str) -> str:
     key = spark.sparkContext.applicationId, folder
     if key not in _stores or not versions.numbers(spark, _stores[key]):
         path = scratch_folder(spark, "served")
-        store.write_store(_all_items(spark, folder), path, batch="events")
+        store.write_rollups(tables.kpi_events(spark, folder), path, batch="events")
         store.refresh(spark, path)
         _stores[key] = path
     return _stores[key]

@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from sluice.functions.keys import key_value
 from sluice.functions.time import DAY_KEY, MINUTE_KEY, MONTH_KEY
+from sluice.operators.rollup import keyed, rollup_all
 from sluice.operators.scan import Cursor, by_key, by_period, by_prefix, by_range, newest, page_after
-from sluice.schema import STORE_KPIS, columns
+from sluice.schema import GRAINS, PERIODS, STORE_KPIS, columns
+from sluice.session import apart, shuffled_for
 from sluice.sinks import versions
 from sluice.sinks.versions import Version
 from sluice.sources.records import event_record
@@ -66,6 +68,12 @@ def write_store(items: DataFrame, path: str, writer: str = "batch", batch: str |
         versions.commit(spark, path, lambda now: added_to(now, writer, batch, {ROLLUPS: added}))
 
 
+def write_rollups(events: DataFrame, path: str, writer: str = "batch", batch: str | int | None = None) -> None:
+    """Adds all rollups of events to the store, as one version."""
+    with shuffled_for(events.sparkSession, events.count() * len(GRAINS) * len(PERIODS)):
+        write_store(keyed(rollup_all(events)), path, writer, batch)
+
+
 def is_done(now: Version, writer: str, batch: str | int | None) -> bool:
     return isinstance(batch, int) and now.done.get(writer, -1) >= batch
 
@@ -94,7 +102,7 @@ def _rows(spark: SparkSession, path: str, folders: dict[str, list[str]]) -> Data
 def settled(items: DataFrame) -> DataFrame:
     """Items of the store with the partial rows of a key added up."""
     keys = [c for c in items.columns if c not in (*MEASURES, "writer", "batch", "event_date")]
-    return items.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return apart(items, *keys).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
 def read_settled(spark: SparkSession, path: str, version: int | None = None, first: str | None = None, last: str | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.rollup import keyed, rollup_all
 from sluice.schema import GRAINS, PERIODS, REGIONS, columns
+from sluice.session import shuffled_for
 from sluice.sinks import store, versions
 from sluice.sources.streams import parse_events
 from sluice.streaming.delivery import start
@@ -85,14 +86,15 @@ def fan_out(
             versions.commit(spark, path, lambda now: store.added_to(now, name, batch_id, {}))
             return
         label, seen, counted = str(batch_id), Observation(), Observation()
-        incoming = batch.select("value", "arrival").observe(seen, F.max(F.unix_micros("arrival")).alias("newest"))
+        incoming = batch.select("value", "arrival").observe(seen, F.max(F.unix_micros("arrival")).alias("newest"), F.count("*").alias("n"))
         incoming = incoming.withColumn(DAY, F.date_format("arrival", "yyyy-MM-dd"))
         added = {ARCHIVE: versions.write_parts(incoming, path, ARCHIVE, [DAY], name, label, "json", **JSON)}
         events = parsed(_archived(spark, path, {p: [f] for p, f in added[ARCHIVE].items()}))
         aside = events.observe(counted, *_counts()).where("reason is not null").select("value", F.col("ingest_time").alias("arrival"), "reason", DAY)
         added[QUARANTINE] = versions.write_parts(aside, path, QUARANTINE, [DAY], name, label)
         items = keyed(rollup_all(events.where("reason is null"), grains, periods))
-        added[store.ROLLUPS] = store.write_items(items, path, name, label)
+        with shuffled_for(spark, seen.get["n"] * len(grains) * len(periods)):
+            added[store.ROLLUPS] = store.write_items(items, path, name, label)
 
         def change(now: versions.Version) -> versions.Version | None:
             after = store.added_to(now, name, batch_id, added)

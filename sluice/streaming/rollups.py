@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.rollup import keyed, rollup_all
 from sluice.schema import GRAINS, PERIODS
+from sluice.session import shuffled_for
 from sluice.sinks import store, versions
 from sluice.streaming.delivery import start
 
@@ -59,12 +60,14 @@ def rollups_to_store(
             return
         if "bad_record" in batch.columns:  # records that cannot be read have no place; ``fan_out`` keeps them
             batch = batch.where("bad_record is null")
-        if batch.isEmpty():  # nothing to write or to observe
+        n = batch.count()
+        if not n:  # nothing to write or to observe
             versions.commit(batch.sparkSession, path, lambda now: store.added_to(now, name, batch_id, {}))
             return
         seen = Observation()
         observed = batch.observe(seen, F.max(F.unix_micros("ingest_time")).alias("newest"))
-        added = {store.ROLLUPS: store.write_items(keyed(rollup_all(observed, grains, periods)), path, name, str(batch_id))}
+        with shuffled_for(batch.sparkSession, n * len(grains) * len(periods)):
+            added = {store.ROLLUPS: store.write_items(keyed(rollup_all(observed, grains, periods)), path, name, str(batch_id))}
 
         def change(now: versions.Version) -> versions.Version | None:
             after = store.added_to(now, name, batch_id, added)

@@ -8,11 +8,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from sluice import session
 from sluice.operators import scan
 from sluice.operators.rollup import calendar_rollup, keyed, rollup_all
 from sluice.schema import PERIODS
 from sluice.sinks import store, versions
-from sluice.sources import tables
+from sluice.sources import streams, tables
 from sluice.streaming import fanout, rollups
 
 ITEM = ["pk", "sk", "grain", "period", *store.MEASURES]
@@ -248,3 +249,31 @@ def test_purge_leaves_all_other_parts(spark, events, tmp_path):
     assert store.purge_range(spark, path, "NORTHEAST", "BA", "2024-01-02", "2024-01-03") == after
     store.write_store(items(events.where("event_id % 2 = 1")), path, "w", 1)  # delivered again: does not come back
     assert settled(spark, path) == rows(want.where(f"not ({gone})").select(*ITEM))
+
+
+def test_shuffles_grow_with_the_rows(spark, events, tmp_path, monkeypatch):
+    """Tasks of a stream's batch, of a batch and of a settling reader hold a bounded number of rows."""
+    n, seen = events.count(), {}
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    write = store.write_items
+
+    def told(rows, path, writer, batch):
+        seen[writer] = int(rows.sparkSession.conf.get(session.PARTITIONS))
+        return write(rows, path, writer, batch)
+
+    monkeypatch.setattr(store, "write_items", told)
+    path = str(tmp_path / "store")
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    rollups.rollups_to_store(streams.typed_folder(spark, str(tmp_path / "in")), path, str(tmp_path / "c"), writer="stream").awaitTermination()
+    store.write_rollups(events, path, "more")
+    raw = store.publish(events, "event_time").select("value", F.col("event_time").alias("arrival"))
+    raw.write.parquet(str(tmp_path / "raw"))
+    feed = spark.readStream.schema("value string, arrival timestamp").parquet(str(tmp_path / "raw"))
+    fanout.fan_out(feed, str(tmp_path / "fan"), str(tmp_path / "c2"), writer="fan").awaitTermination()
+    assert seen == dict.fromkeys(("stream", "more", "fan"), -(-9 * n // 100))
+    assert int(spark.conf.get(session.PARTITIONS)) == 4
+    before = settled(spark, path)
+    monkeypatch.setattr(session, "TASK_BYTES", 10_000)
+    few = store.settled(store.read_store(spark, path))
+    assert "REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
+    assert settled(spark, path) == before
