@@ -58,6 +58,11 @@ def typed_events(e: DataFrame) -> DataFrame:
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events as raw JSON with their arrival, some of them broken, without a region or with a time that is none."""
+    return raw_records(kpi_events(spark, folder))
+
+
+def raw_records(events: DataFrame, *carried: str) -> DataFrame:
+    """The same from typed events."""
     event = F.to_json(event_record())
     turn = F.col("event_id") % 50
     value = (
@@ -66,11 +71,16 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         .when(turn == 2, F.to_json(event_record().withField("`event-time`", F.lit("never"))))
         .otherwise(event)
     )
-    return kpi_events(spark, folder).select("event_id", value.alias("value"), F.col("ingest_time").alias("arrival"))
+    return events.select("event_id", *carried, value.alias("value"), F.col("ingest_time").alias("arrival"))
 
 
 def wire_records(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded rollup records with every irregular case: unknown types and missing fields."""
+    return typed_records(kpi_events(spark, folder))
+
+
+def typed_records(events: DataFrame, *carried: str) -> DataFrame:
+    """The same from typed events."""
     i = F.col("event_id")
     # --- fixed values: the record types in turn ---
     types = [
@@ -84,8 +94,9 @@ def wire_records(spark: SparkSession, folder: str) -> DataFrame:
     def missing_every(n: int, c: str) -> F.Column:
         return F.when(i % n != 0, F.col(c)).alias(c)
 
-    return kpi_events(spark, folder).select(
+    return events.select(
         "event_id",
+        *carried,
         kind.alias("type"),
         missing_every(41, "region"),
         missing_every(43, "state"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice import session
 from sluice.operators import scan
 from sluice.operators.rollup import calendar_rollup, keyed, rollup_all
+from sluice.plans import streams as plans
 from sluice.schema import PERIODS
 from sluice.sinks import store, versions
 from sluice.sources import streams, tables
@@ -277,3 +278,18 @@ def test_shuffles_grow_with_the_rows(spark, events, tmp_path, monkeypatch):
     few = store.settled(store.read_store(spark, path))
     assert "REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
     assert settled(spark, path) == before
+
+
+def test_feeds_have_as_many_files_as_the_rows_need(spark, events, tmp_path):
+    """A large feed has several files for each turn, yet the same three batches."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "2k")
+    try:
+        feed = plans._feed(spark, events.repartition(8), str(tmp_path / "in"))
+    finally:
+        spark.conf.unset(size)
+    rollups.rollups_to_store(feed, str(tmp_path / "store"), str(tmp_path / "c"), ["PT1H"], ["REGION"], writer="w").awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "in")).count() == events.count()
+    assert len(list((tmp_path / "in").rglob("*.parquet"))) > 3
+    assert 1 <= versions.load(spark, str(tmp_path / "store")).done["w"] <= 2
+    assert settled(spark, str(tmp_path / "store")) == rows(keyed(rollup_all(events, ["REGION"], ["PT1H"])).select(*ITEM))
