@@ -223,7 +223,13 @@ def refresh(spark: SparkSession, path: str, grains: Sequence[str] = ("REGION", "
         finer = _calendar(spark, path, table, {p: [f] for p, f in written[table].items()})
         finer = finer.where(F.date_format("unit", MONTH_KEY).isin(touched["months"]))
 
-    per_key = rows.select("event_date", "grain", "period", "pk", "sk").distinct().groupBy("event_date", "grain", "period", "pk").agg(F.count("*").alias("n"))
+    # The rows of a day of one part are settled and need no comparison; those of the others are counted once for each key.
+    one, many = ({p: live[p] for p in days if p in live and (len(live[p]) > 1) == several} for several in (False, True))
+    keys = [*PARTITIONS, "pk", "sk"]
+    named = _rows(spark, path, one).select(*keys)
+    if many:
+        named = named.unionByName(apart(_rows(spark, path, many).select(*keys), *keys).distinct())
+    per_key = named.groupBy(*PARTITIONS, "pk").agg(F.count("*").alias("n"))
     counted = per_key.select("pk", "n", *PARTITIONS).hint("rebalance", "event_date").sortWithinPartitions(*PARTITIONS, "pk")
     written[COUNTS] = versions.write_parts(counted, path, COUNTS, PARTITIONS, "calendar", batch)
     replaced = {"slots": set(days), COUNTS: set(days), "days": {d[:7] for d in days}, "months": {d[:4] for d in days}}

@@ -293,3 +293,23 @@ def test_feeds_have_as_many_files_as_the_rows_need(spark, events, tmp_path):
     assert len(list((tmp_path / "in").rglob("*.parquet"))) > 3
     assert 1 <= versions.load(spark, str(tmp_path / "store")).done["w"] <= 2
     assert settled(spark, str(tmp_path / "store")) == rows(keyed(rollup_all(events, ["REGION"], ["PT1H"])).select(*ITEM))
+
+
+def test_counts_compare_only_rows_of_several_parts(spark, events, tmp_path, monkeypatch):
+    path, plan, write = str(tmp_path / "store"), [], versions.write_parts
+
+    def told(df, base, table, *rest, **options):
+        if table == store.COUNTS:
+            plan.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, base, table, *rest, **options)
+
+    monkeypatch.setattr(versions, "write_parts", told)
+    parts = items(events), items(events.where("event_time < timestamp'2024-01-03'"))
+    for k, part in enumerate(parts):
+        store.write_store(part, path, batch=f"b{k}")
+        store.refresh(spark, path)
+        own = store.counts(spark, path).select("event_date", "grain", "period", "pk", "n")
+        want = store.with_date(parts[0]).groupBy("event_date", "grain", "period", "pk").agg(F.count("*").alias("n"))
+        assert rows(own) == rows(want)
+        assert "sk#" not in plan[0]
+    assert "sk#" in plan[1]
