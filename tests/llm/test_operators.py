@@ -234,6 +234,43 @@ def test_encoder_equals_the_library():
     assert got == real_ids([*odd, ""])
 
 
+def encoded(encoder, texts):
+    import pyarrow as pa
+
+    return [ids[a:b].tolist() for ids, at in encoder.chunks(pa.array(texts)) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def test_encoder_sends_plain_words_to_the_merges_alone():
+    class Whole:
+        """The whole tokenizer, for parts that are not words of letters alone."""
+
+        def encode_batch_fast(self, parts, **options):
+            assert not [x for x in parts if x.isalpha()]
+            return library.encode_batch_fast(parts, **options)
+
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    library, encoder._tokenizer = encoder._tokenizer, Whole()
+    letters = "".join(map(chr, encoder._symbols))
+    assert {*"azßéñσςжё"} <= {*letters} and not {*"É×÷İΣ\u0301½"} & {*letters}
+    texts = ["Plain Words, größe niño слово λόγος", *letters, *(f"a{x}{x}a {x}e" for x in letters)]
+    assert encoded(encoder, texts) == real_ids(texts)
+
+
+def test_encoder_keeps_words_that_it_meets_again(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 8)
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 1)
+    encoder, learned = tokens.Encoder(tokens.vocabulary_path()), []
+    learn = encoder._learned
+    monkeypatch.setattr(encoder, "_learned", lambda parts: (learned.extend(parts.to_pylist()), learn(parts))[1])
+    rare = ["".join(chr(97 + int(d)) for d in str(k)) for k in range(100, 140)]
+    texts = [f"often {word} often, größe" for word in rare]
+    assert encoded(encoder, texts) == real_ids(texts)
+    assert len(learned) == len(rare) + 4 and len(encoder._place) <= 8
+    # More different words than the table holds, and more words that are met again.
+    texts = [" ".join(rare[:12]), "", *(" ".join(rare[k : k + 7]) for k in range(30)), *(" ".join(rare[:7]) for _ in range(3)), "often ÉÉ 1a"]
+    assert encoded(encoder, texts) == real_ids(texts)
+
+
 def test_token_files_round_trip(spark, medium, odd, none, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfiles, "SHARD_BYTES", 500_000)
     monkeypatch.setattr(tokenfiles, "READ_ROWS", 7)
